@@ -349,7 +349,7 @@ def echo_client_factory():
     """Deterministic stand-in for a generator: asks about the start of the prompt's text."""
 
     def client(prompt: str) -> dict:
-        text = prompt.split("about\n", 1)[1]
+        text = prompt.split("about\n", 1)[1].rsplit("\nEND", 1)[0]
         if text.startswith("A"):
             raise RuntimeError("refused")
         return {

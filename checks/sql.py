@@ -119,9 +119,9 @@ descr AS (
   FROM links JOIN part ON p_partkey = p
   WHERE p_partkey % 7 <> 3 AND k <> 111)"""
 SYNONYMS = """(CASE WHEN p_partkey % 5 = 0 THEN [] ELSE
-  list_filter([p_name, p_brand, p_type, '12', left(p_name, 2), left(p_name, 3), repeat('ab', 60), repeat('a', 105),
-               'a' || chr(1633) || chr(1634), '1a2', p_name],
-    x -> NOT regexp_matches(x, '\\p{Nd}\\p{Nd}') AND regexp_matches(x, '[a-zA-Z]') AND length(x) BETWEEN 3 AND 105) END)"""
+  [x FOR x IN [p_name, p_brand, p_type, '12', left(p_name, 2), left(p_name, 3), repeat('ab', 60), repeat('a', 105),
+               'a' || chr(1633) || chr(1634), '1a2', p_name]
+    IF NOT regexp_matches(x, '\\p{Nd}\\p{Nd}') AND regexp_matches(x, '[a-zA-Z]') AND length(x) BETWEEN 3 AND 105] END)"""
 
 # Responses: ten kinds of answer lines.
 RESPONSES = """resp AS (

@@ -10,6 +10,8 @@ FOOTER_PATTERN = (
     r"License:[\s\x1c-\x1f]*CC BY(?:-[A-Za-z]+)*[\s\x1c-\x1f]*4\.0"
 )
 SPACE_PATTERN = r"(?U)[\s\x1c-\x1f]+"
+# A character outside these ranges; text within them alone is in NFC already.
+NFC_CANDIDATE = r"[^\u0000-\u02FF\u2010-\u2027\u2030-\u205E\u4E00-\u9FFF]"
 EDGE_SPACE_PATTERN = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 # Paragraph filters: strictly more words, strictly higher mean log2 probability.

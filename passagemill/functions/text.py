@@ -14,16 +14,22 @@ from passagemill import constants as C
 def _nfc_udf():
     @F.arrow_udf("string")
     def to_nfc(texts):
-        import pyarrow.compute as pc
+        import unicodedata
 
-        return pc.utf8_normalize(texts, form="NFC")
+        import pyarrow as pa
+
+        done = [None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()]
+        return pa.array(done, pa.string())
 
     return to_nfc
 
 
 def nfc(col: Column) -> Column:
-    """Unicode NFC. Only texts with a non-ASCII character travel to a Python worker."""
-    return F.coalesce(_nfc_udf()(F.when(col.rlike(r"[^\x00-\x7F]"), col)), col)
+    """Unicode NFC. Only texts with a character that NFC could touch travel to a Python worker.
+
+    (Arrow's own ``utf8_normalize`` gives the decomposed form for "NFC", so it is not used.)
+    """
+    return F.coalesce(_nfc_udf()(F.when(col.rlike(C.NFC_CANDIDATE), col)), col)
 
 
 def strip_urls(col: Column) -> Column:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,9 +137,6 @@ def min_unigram_score(
 
 def score_text(df: DataFrame, scorer_factory: Callable, text: str, out: str = "score") -> DataFrame:
     """Score with a caller's model: the factory runs once per task and gives Series → Series."""
-    from collections.abc import Iterator
-
-    import pandas as pd
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = scorer_factory()

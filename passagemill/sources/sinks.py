@@ -28,7 +28,10 @@ def write_csv(df: DataFrame, path: str) -> None:
             for f in df.schema.fields
         ]
     )
-    flat.write.mode("overwrite").option("escape", '"').option("emptyValue", "").csv(path, header=True)
+    writer = flat.write.mode("overwrite").option("escape", '"').option("emptyValue", "")
+    for side in ("Leading", "Trailing"):  # Spark would trim fields on writing
+        writer = writer.option(f"ignore{side}WhiteSpace", False)
+    writer.csv(path, header=True)
 
 
 def write_document_arrays(df: DataFrame, path: str) -> None:

@@ -18,20 +18,23 @@ from passagemill.sources.readers import existing_table
 
 
 def stream_lines(spark: SparkSession, folder: str, glob: str = "*", files_per_batch: int = 1000) -> DataFrame:
-    """New files of a folder as lines ``(value, seq)``; ``seq`` orders by arrival of the file."""
+    """New files of a folder as lines ``(value, arrived, file, start)``."""
     reader = spark.readStream.format("text").option("pathGlobFilter", glob)
     meta = F.col("_metadata")
     return reader.option("maxFilesPerTrigger", files_per_batch).load(folder).select(
         "value",
-        F.struct(
-            meta["file_modification_time"].alias("arrived"),
-            meta["file_path"].alias("file"),
-            meta["file_block_start"].alias("start"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("seq"),
+        meta["file_modification_time"].alias("arrived"),
+        meta["file_path"].alias("file"),
+        meta["file_block_start"].alias("start"),
     )
 
 
+def arrival_order(batch: DataFrame) -> DataFrame:
+    """``(value, seq)`` of one batch: by arrival of the file, then by place in it."""
+    seq = F.struct("arrived", "file", "start", F.monotonically_increasing_id().alias("row"))
+    return batch.select("value", seq.alias("seq"))
+
+
 def ingest_preprints_stream(
     spark: SparkSession,
     folder: str,
@@ -46,7 +49,7 @@ def ingest_preprints_stream(
     """
 
     def append(batch: DataFrame, _: int) -> None:
-        build_preprint_table(batch, path, raw_path)
+        build_preprint_table(arrival_order(batch), path, raw_path)
 
     lines = stream_lines(spark, folder, files_per_batch=files_per_batch)
     return (

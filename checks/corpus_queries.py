@@ -12,7 +12,7 @@ from passagemill.operators import lm, work
 from passagemill.operators import paragraphs as P
 from passagemill.plans import corpus
 from passagemill.sources import readers, sinks
-from passagemill.sources.scratch import scratch_path
+from passagemill.sources.scratch import scratch_path, stored
 
 # Mean log2 probability that some paragraphs of the given tables reach and others do not.
 THRESHOLD = -6.3
@@ -53,7 +53,8 @@ def explode_paragraphs_joined(spark, sf):
 
 def _long_lines(spark, sf):
     lines = X.paragraphs(spark, sf).withColumn("paragraph", T.normalize_text(F.col("paragraph")))
-    return lines.filter(T.min_words(F.col("paragraph")))
+    # Numbering reads its input twice, so costly input is stored first.
+    return stored(lines.filter(T.min_words(F.col("paragraph"))), "long-lines")
 
 
 LONG = f"""{Q.LINES},

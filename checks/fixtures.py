@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagemill.functions.text import tokenize
+from passagemill.functions.text import explode_rows, tokenize
+from passagemill.sources.readers import spread
 from passagemill.sources.scratch import scratch_path
 
 TEI_HEAD = '<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body>'
@@ -17,7 +18,8 @@ TEI_TAIL = "</body></text></TEI>"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(scan) if name in ("documents", "conversations") else scan
 
 
 def dirty_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -115,7 +117,7 @@ def _uri(path: str) -> str:
 def unigram_counts(spark: SparkSession, sf: str) -> DataFrame:
     """``(word, n)``: tokens of the benchmark texts."""
     bench = table(spark, sf, "benchmark")
-    words = bench.select(F.explode(tokenize(F.col("text"))).alias("word"))
+    words = explode_rows(bench, [], tokenize(F.col("text")), "word")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -349,7 +349,7 @@ GENERATED = """generated AS (SELECT *, left(text, 1) = 'A' AS failed,
 @query(
     f"""WITH {GENERATED} SELECT doc_id, CASE WHEN failed THEN 'refused' END AS error,
     CASE WHEN failed THEN 0 ELSE length({Q.PROMPT}) END AS input_tokens,
-    CASE WHEN failed THEN 0 ELSE 3 END AS output_tokens FROM generated"""
+    CAST(CASE WHEN failed THEN 0 ELSE 3 END AS BIGINT) AS output_tokens FROM generated"""
 )
 def generate(spark, sf):
     prompt = pairs.render_prompt(X.TEMPLATE, F.col("text"))

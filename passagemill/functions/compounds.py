@@ -28,7 +28,7 @@ def first_string(information: Column) -> Column:
     return F.try_element_at(entry["Value"]["StringWithMarkup"], F.lit(1))["String"]
 
 
-def _bind(value: Column, body) -> Column:
+def bind(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body`` as a lambda variable."""
     return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
 
@@ -51,7 +51,7 @@ def last_per_number(entries: Column) -> Column:
         entries,
         lambda e, i: F.struct(e["ReferenceNumber"].alias("n"), i.alias("i"), e.alias("e")),
     )
-    return _bind(F.array_sort(placed), run_ends)
+    return bind(F.array_sort(placed), run_ends)
 
 
 def references(record: Column) -> Column:

@@ -5,12 +5,31 @@ from __future__ import annotations
 import string
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagemill import constants as C
 
 
+def run_once(udf):
+    """Keep the optimizer from copying a costly UDF into pushed-down filters.
+
+    A deterministic UDF column that a later filter or explode refers to is evaluated again
+    below that filter, together with everything computed from it.
+    """
+    return udf.asNondeterministic()
+
+
+def explode_rows(df: DataFrame, keep: Sequence[str | Column], array: Column, name: str) -> DataFrame:
+    """``keep`` and one row per array element.
+
+    A plain explode makes the optimizer push a "size > 0" filter below it, which computes the
+    array a second time. The outer form does not; its null rows are dropped here.
+    """
+    rows = df.select(*keep, F.explode_outer(array).alias(name))
+    return rows.filter(F.col(name).isNotNull())
+
+
 def _nfc_udf():
     @F.arrow_udf("string")
     def to_nfc(texts):
@@ -21,7 +40,7 @@ def _nfc_udf():
         done = [None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()]
         return pa.array(done, pa.string())
 
-    return to_nfc
+    return run_once(to_nfc)
 
 
 def nfc(col: Column) -> Column:
@@ -61,14 +80,12 @@ def normalize_text(col: Column, footer: str = C.FOOTER_PATTERN) -> Column:
 
 def word_count(col: Column) -> Column:
     """White-space separated tokens of a text whose words are separated by single spaces."""
-    return F.when(col == "", F.lit(0)).otherwise(
-        F.length(col) - F.length(F.replace(col, F.lit(" "), F.lit(""))) + 1
-    )
+    return F.size(F.array_remove(F.split(col, " "), ""))
 
 
 def min_words(col: Column, n: int = C.MIN_WORDS) -> Column:
     """True for strictly more than ``n`` words; expects normalised text."""
-    return word_count(col) > n
+    return (F.size(F.split(col, " ")) if n > 0 else word_count(col)) > n
 
 
 def is_textual(col: Column) -> Column:

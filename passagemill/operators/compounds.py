@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagemill.functions import compounds as P
+from passagemill.functions.text import explode_rows
 
 _REFERENCE = {
     "SourceName": "SourceName",
@@ -37,8 +38,7 @@ def described(record: Column) -> Column:
 
     def attach(refs: Column) -> Column:
         def one(d: Column) -> Column:
-            hit = F.filter(refs, lambda r: r["ReferenceNumber"] == d["ReferenceNumber"])
-            ref = F.try_element_at(hit, F.lit(1))
+            ref = F.try_element_at(refs, d["ReferenceNumber"])
             return F.struct(
                 d["Description"].alias("Description"),
                 d["ReferenceNumber"].alias("ReferenceNumber"),
@@ -48,14 +48,17 @@ def described(record: Column) -> Column:
 
         return F.transform(P.descriptions(P.names_section(record)), one)
 
-    return F.try_element_at(F.transform(F.array(P.references(record)), attach), F.lit(1))
+    numbered = F.filter(P.references(record), lambda r: r["ReferenceNumber"].isNotNull())
+    by_number = F.map_from_entries(
+        F.transform(numbered, lambda r: F.struct(r["ReferenceNumber"].alias("n"), r.alias("r")))
+    )
+    return P.bind(by_number, attach)
 
 
 def compound_references(df: DataFrame) -> DataFrame:
     """``(CID, ReferenceNumber, SourceName, SourceID, ReferenceDescription, URL)``."""
-    rows = df.select(
-        F.col("Record.RecordNumber").alias("CID"), F.explode(P.references(F.col("Record"))).alias("r")
-    )
+    cid = F.col("Record.RecordNumber").alias("CID")
+    rows = explode_rows(df, [cid], P.references(F.col("Record")), "r")
     fields = [F.col(f"r.{name}").alias(alias) for name, alias in _REFERENCE.items()]
     return rows.select("CID", "r.ReferenceNumber", *fields)
 
@@ -63,16 +66,14 @@ def compound_references(df: DataFrame) -> DataFrame:
 def compound_descriptions_raw(df: DataFrame) -> DataFrame:
     """``(CID, Title, ReferenceNumber, Description)``."""
     found = P.descriptions(P.names_section(F.col("Record")))
-    return df.select(
-        F.col("Record.RecordNumber").alias("CID"),
-        F.col("Record.RecordTitle").alias("Title"),
-        F.explode(found).alias("d"),
-    ).select("CID", "Title", "d.ReferenceNumber", "d.Description")
+    keep = [F.col("Record.RecordNumber").alias("CID"), F.col("Record.RecordTitle").alias("Title")]
+    rows = explode_rows(df, keep, found, "d")
+    return rows.select("CID", "Title", "d.ReferenceNumber", "d.Description")
 
 
 def explode_described(df: DataFrame) -> DataFrame:
     """Rows of the descriptions table from ``(CID, Title, described)``, with ``matched``."""
-    rows = df.select("CID", "Title", F.explode("described").alias("d"))
+    rows = explode_rows(df, ["CID", "Title"], F.col("described"), "d")
     return rows.select(
         "CID",
         "Title",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagemill import constants as C
-from passagemill.functions.text import tokenize
+from passagemill.functions.text import explode_rows, run_once, tokenize
 
 _SALTS = 32
 
@@ -63,7 +63,7 @@ def score_by_join(
 
     Words are counted per row before the look-up, so a frequent word is one row per paragraph.
     """
-    words = df.select(*key, F.explode(tokenize(F.col(text))).alias("word"))
+    words = explode_rows(df, key, tokenize(F.col(text)), "word")
     counted = words.groupBy(*key, "word").agg(F.count(F.lit(1)).alias("_n"))
     scores = (
         lookup_logp(counted, model)
@@ -109,7 +109,7 @@ def model_scorer(model: DataFrame, nested: bool = False):
         offsets = np.concatenate([[0], np.cumsum(sizes(tokens))]).astype("int32")
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(means(tokens.flatten())))
 
-    return mean_logp
+    return run_once(mean_logp)
 
 
 def unigram_score(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagemill import constants as C
+from passagemill.functions.text import run_once
 from passagemill.operators.work import number_in_group
 
 # Paragraphs per array row, so that one hot document never becomes one huge row.
@@ -93,7 +94,7 @@ def tei_divisions(
         texts = [None if d is None else walk(d) for d in documents.to_pylist()]
         return pa.array(texts, pa.list_(pa.list_(pa.string())))
 
-    return divisions(content)
+    return run_once(divisions)(content)
 
 
 def paragraph_array(divisions: Column, concat_p: bool = False) -> Column:

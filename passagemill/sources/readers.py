@@ -113,11 +113,21 @@ def read_passages(
             ]
         )
     else:
-        df = spark.read.parquet(path)
+        df = spread(spark.read.parquet(path))
     require_columns(df, [*id_cols, text_col])
     return df
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work on a scan of few files.
+
+    Only a scan with fewer partitions than the session has cores is shuffled, so this never
+    touches large inputs. ``scan`` must be a plain read: its partitions are counted.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def require_columns(df: DataFrame, names: Sequence[str]) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

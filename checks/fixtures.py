@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagemill.functions.text import explode_rows, tokenize
+from passagemill.functions.common import explode_rows
+from passagemill.functions.text import tokenize
 from passagemill.sources.readers import spread
 from passagemill.sources.scratch import scratch_path
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from passagemill.functions.common import bind
 from passagemill.schemas import CORRUPT
 
 # Types as the VARIANT reader names them, per field type; int is accepted for a float field.
@@ -27,8 +28,9 @@ def _as_variants(col: Column, names: list[str]) -> Column:
     keys can be told from empty ones. A repeated key keeps its last value.
     """
     ddl = ", ".join([f"`{n}` VARIANT" for n in names] + [f"{CORRUPT} STRING"])
-    parsed = F.from_json(col, ddl, _OPTIONS)
-    return F.when(parsed[CORRUPT].isNull(), parsed)
+    # A failed parse raises inside the reader, which is slow: texts of no object are not tried.
+    text = F.when(col.rlike(r"^\s*\{"), col)
+    return bind(F.from_json(text, ddl, _OPTIONS), lambda p: F.when(p[CORRUPT].isNull(), p))
 
 
 def fence_body(col: Column) -> Column:
@@ -47,7 +49,7 @@ def lenient_object(col: Column, names: list[str]) -> Column:
 
 def json_question(col: Column, field: str = "question") -> Column:
     """Text of one field of an answer, unvalidated; null when absent, null or unparsable."""
-    return lenient_object(col, [field])[field].cast("string")
+    return bind(col, lambda c: lenient_object(c, [field]))[field].cast("string")
 
 
 def empty_output(schema: T.StructType) -> Column:
@@ -81,11 +83,16 @@ def _validated(parsed: Column, schema: T.StructType) -> Column:
 
 def parse_structured(col: Column, schema: T.StructType) -> Column:
     """Parse and validate an answer; retry on its outermost braces; else the empty answer."""
-    names = schema.fieldNames()
-    inner = F.regexp_extract(col, r"(?s)(\{.*\})", 1)
-    first = _validated(lenient_object(col, names), schema)
-    second = _validated(lenient_object(inner, names), schema)
-    return F.coalesce(first, second, empty_output(schema))
+
+    def attempt(text: Column) -> Column:
+        parsed = lenient_object(text, schema.fieldNames())
+        return bind(parsed, lambda p: _validated(p, schema))
+
+    def answer(text: Column) -> Column:
+        inner = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
+        return F.coalesce(attempt(text), attempt(inner), empty_output(schema))
+
+    return bind(col, answer)
 
 
 def content_blocks(col: Column, style: str = "tool_use") -> Column:

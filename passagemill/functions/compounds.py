@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from passagemill import constants as C
+from passagemill.functions.common import bind
 from passagemill.functions.text import keep_synonyms
 
 
@@ -28,11 +29,6 @@ def first_string(information: Column) -> Column:
     return F.try_element_at(entry["Value"]["StringWithMarkup"], F.lit(1))["String"]
 
 
-def bind(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable."""
-    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
-
-
 def last_per_number(entries: Column) -> Column:
     """Entries ``struct(ReferenceNumber, …)`` of an array, the last one of every number."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagemill.functions import compounds as P
-from passagemill.functions.text import explode_rows
+from passagemill.functions.common import bind, explode_rows
 
 _REFERENCE = {
     "SourceName": "SourceName",
@@ -52,7 +52,7 @@ def described(record: Column) -> Column:
     by_number = F.map_from_entries(
         F.transform(numbered, lambda r: F.struct(r["ReferenceNumber"].alias("n"), r.alias("r")))
     )
-    return P.bind(by_number, attach)
+    return bind(by_number, attach)
 
 
 def compound_references(df: DataFrame) -> DataFrame:

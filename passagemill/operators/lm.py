@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagemill import constants as C
-from passagemill.functions.text import explode_rows, run_once, tokenize
+from passagemill.functions.common import explode_rows, run_once
+from passagemill.functions.text import tokenize
 
 _SALTS = 32
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagemill import constants as C
-from passagemill.functions.text import run_once
+from passagemill.functions.common import run_once
 from passagemill.operators.work import number_in_group
 
 # Paragraphs per array row, so that one hot document never becomes one huge row.

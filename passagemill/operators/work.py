@@ -34,15 +34,19 @@ def has_id_and_url(id_col: str | Column, url_col: str | Column) -> Column:
     return has_id(id_col) & has_id(url_col)
 
 
-def skip_existing_ids(new: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
+def skip_existing_ids(
+    new: DataFrame, existing: DataFrame, key: Sequence[str], few_new: bool = False
+) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``.
 
-    ``existing`` is usually the far larger side. It is first reduced to the keys of ``new`` by a
-    semi join, which broadcasts the new keys when they are few, so that the stored ids are then
-    scanned but not shuffled.
+    ``few_new`` is for a small batch against a large table: the table is first reduced to the
+    keys of the batch by a semi join. Spark broadcasts those keys when their size allows, and
+    the stored ids are then scanned but not shuffled.
     """
-    known = existing.select(*key).join(_keys(new, key), list(key), "left_semi").distinct()
-    return new.join(known, list(key), "left_anti")
+    known = existing.select(*key)
+    if few_new:
+        known = known.join(_keys(new, key), list(key), "left_semi")
+    return new.join(known.distinct(), list(key), "left_anti")
 
 
 def restrict_to_sample(df: DataFrame, ids: DataFrame, id_cols: Sequence[str]) -> DataFrame:
@@ -228,7 +232,13 @@ def sample_ids(
     if k > rows:
         raise ValueError(f"cannot sample {k} of {rows} rows")
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in id_cols])
-    ranked = _keys(df, id_cols).withColumn("_h", F.md5(text))
+    hashed = df.select(*id_cols, F.md5(text).alias("_h"))
+    # Hashes are uniform: ids below twice the expected cut are nearly always enough, and only
+    # those are made distinct. If they are not (many repeats), all ids are.
+    cut = min((2 * k + 100) / rows, 1.0)
+    ranked = hashed.filter(F.col("_h") < format(int(cut * 0xFFFFFFFF), "08x")).distinct()
+    if cut == 1.0 or ranked.count() < k:
+        ranked = hashed.distinct()
     return _smallest(ranked, ["_h", *id_cols], k).select(*id_cols)
 
 

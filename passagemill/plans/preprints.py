@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +10,6 @@ from passagemill.operators.preprints import project_preprints
 from passagemill.operators.work import distinct_by_key, has_id, skip_existing_ids
 from passagemill.sources import sinks
 from passagemill.sources.readers import existing_table, parse_preprints
-from passagemill.sources.scratch import stored
 
 
 def accepted_hits(lines: DataFrame) -> DataFrame:
@@ -29,13 +29,14 @@ def build_preprint_table(lines: DataFrame, path: str, raw_path: str | None = Non
     the appended rows.
     """
     spark = lines.sparkSession
-    accepted = accepted_hits(lines)
-    target = existing_table(spark, path, preprint_table(accepted).schema)
+    new = accepted_hits(lines)
+    target = existing_table(spark, path, preprint_table(new).schema)
     if target is not None:
-        accepted = skip_existing_ids(accepted, target, ["id"])
-    new = stored(accepted.select("id", "value"), "hits")  # read by both outputs
+        new = skip_existing_ids(new, target, ["id"], few_new=True)
+    table = preprint_table(new)
     if raw_path:
+        new.persist(StorageLevel.DISK_ONLY)  # read by both outputs; a lost part is recomputed
         sinks.append_raw_log(new, raw_path)
-    table = preprint_table(new)
     table.write.mode("append").parquet(path)
+    new.unpersist()
     return table

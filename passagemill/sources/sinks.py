@@ -15,7 +15,7 @@ from passagemill.sources.readers import existing_table
 def append_table(df: DataFrame, path: str, key: Sequence[str]) -> None:
     """Append rows whose key is not stored yet. ``df`` itself must be unique on the key."""
     target = existing_table(df.sparkSession, path, df.schema)
-    new = df if target is None else skip_existing_ids(df, target, key)
+    new = df if target is None else skip_existing_ids(df, target, key, few_new=True)
     new.write.mode("append").parquet(path)
 
 

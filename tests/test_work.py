@@ -23,7 +23,9 @@ def test_shards_are_exact_and_parallel(spark):
 def test_hot_value_spreads_over_partitions(spark):
     """A third of all rows share one sort value; they must not end up in one partition."""
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     placed = work.with_global_position(df, ["k"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sorted(r.position for r in placed.collect()) == list(range(3000))
     stored = placed._jdf.inputFiles()
     hot = [spark.read.parquet(f).filter("k = 7").count() for f in stored]
@@ -50,9 +52,28 @@ def test_first_per_key_combines_before_the_shuffle(spark):
 
 def test_anti_join_plan(spark):
     new, old = spark.range(10), spark.range(5)
-    left = work.skip_existing_ids(new, old, ["id"])
-    assert sorted(r.id for r in left.collect()) == [5, 6, 7, 8, 9]
-    assert "LeftAnti" in plan_of(left)
+    for few_new in (False, True):
+        left = work.skip_existing_ids(new, old, ["id"], few_new)
+        assert sorted(r.id for r in left.collect()) == [5, 6, 7, 8, 9]
+        assert "LeftAnti" in plan_of(left)
+
+
+def test_hot_join_keys_are_split(spark):
+    """Adaptive execution splits the left side of joins on a key that holds most rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    for name, value in {"skewedPartitionThresholdInBytes": "2KB", "skewedPartitionFactor": "2.0"}.items():
+        spark.conf.set(f"spark.sql.adaptive.skewJoin.{name}", value)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2KB")
+    try:
+        hot = spark.range(0, 40000, 1, 8).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(F.lit(7)).alias("id"), F.md5(F.col("id").cast("string")).alias("t"))
+        ids = spark.range(0, 40000, 1, 8)
+        for left in (work.restrict_to_sample(hot, ids, ["id"]), work.skip_existing_ids(hot, ids, ["id"]), hot.join(ids, "id")):
+            left.collect()
+            assert "skew=true" in plan_of(left)
+    finally:
+        for name in ("autoBroadcastJoinThreshold", "adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                     "adaptive.skewJoin.skewedPartitionFactor", "adaptive.advisoryPartitionSizeInBytes"):
+            spark.conf.unset(f"spark.sql.{name}")
 
 
 def test_semi_join_keeps_repeats(spark):

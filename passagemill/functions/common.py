@@ -22,6 +22,17 @@ def run_once(udf):
     return udf.asNondeterministic()
 
 
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns so that later filters on them do not compute them again.
+
+    A filter moves below a projection and takes a copy of the expression along; it does not
+    move below a generator of its column. The generator here has one element per row.
+    """
+    for name, value in columns.items():
+        df = df.select("*", F.explode_outer(F.array(value)).alias(name))
+    return df
+
+
 def explode_rows(df: DataFrame, keep: Sequence[str | Column], array: Column, name: str) -> DataFrame:
     """``keep`` and one row per array element.
 

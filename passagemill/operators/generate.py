@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from passagemill import constants as C
 from passagemill import schemas as S
 from passagemill.functions.answers import content_blocks, parse_structured
+from passagemill.functions.common import bind, compute_once
 
 _CALL = (
     "content STRING, input_tokens BIGINT, output_tokens BIGINT, latency DOUBLE, "
@@ -82,9 +83,9 @@ def result_record(
     A failed call has null answer fields; an unreadable answer has the empty ones. Reasoning
     tokens are not reported by clients and stay 0.
     """
-    blocks = df.withColumn("_b", content_blocks(F.try_parse_json("content"), style))
+    blocks = compute_once(df, _b=bind(F.try_parse_json("content"), lambda c: content_blocks(c, style)))
     parsed = F.when(F.col("error").isNull(), parse_structured(F.coalesce("_b.raw_response", F.lit("")), schema))
-    return blocks.withColumn("_a", parsed).select(
+    return compute_once(blocks, _a=parsed).select(
         *[F.col(f"_a.{n}").alias(n) for n in schema.fieldNames()],
         F.struct(*raw_cols).alias("raw"),
         F.col("_b.raw_response").alias("raw_response"),

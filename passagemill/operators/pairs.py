@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from passagemill import constants as C
 from passagemill import schemas as S
 from passagemill.functions.answers import json_question
+from passagemill.functions.common import compute_once
 from passagemill.functions.text import count_tokens, split_custom_id
 from passagemill.sources.readers import drop_malformed, parse_lines
 
@@ -92,10 +93,8 @@ def completion_token_total(messages: DataFrame) -> DataFrame:
 
 def parsed_responses(lines: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     """Id columns as text, and ``generated_query``."""
-    return response_message(lines).select(
-        *split_custom_id(F.col("custom_id"), id_cols),
-        json_question(F.col("content")).alias("generated_query"),
-    )
+    answered = compute_once(response_message(lines), generated_query=json_question(F.col("content")))
+    return answered.select(*split_custom_id(F.col("custom_id"), id_cols), "generated_query")
 
 
 def cast_ids(df: DataFrame, schema: T.StructType, id_cols: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ def pdf_url(item: Column) -> Column:
     return item["asset"]["original"]["url"]
 
 
-def project_preprints(df: DataFrame, item: str = "item") -> DataFrame:
+def project_preprints(df: DataFrame, item: str = "item", keep: Sequence[str] = ()) -> DataFrame:
+    """The twelve columns, and after them the columns named in ``keep``."""
     it = F.col(item)
     plain = ["id", "doi", "title", "abstract", "publishedDate", "submittedDate", "status", "version"]
     return df.select(
@@ -21,4 +24,5 @@ def project_preprints(df: DataFrame, item: str = "item") -> DataFrame:
         join_keywords(it["keywords"]).alias("keywords"),
         format_authors(it["authors"]).alias("authors"),
         pdf_url(it).alias("pdf_url"),
+        *keep,
     )

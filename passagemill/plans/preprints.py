@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from passagemill.operators.preprints import project_preprints
 from passagemill.operators.work import distinct_by_key, has_id, skip_existing_ids
@@ -12,28 +11,29 @@ from passagemill.sources import sinks
 from passagemill.sources.readers import existing_table, parse_preprints
 
 
-def accepted_hits(lines: DataFrame) -> DataFrame:
-    """``(id, value, seq)``: first well-formed line of every id, before anything is projected."""
-    hits = parse_preprints(lines).filter(has_id("item.id"))
-    return distinct_by_key(hits.select(F.col("item.id").alias("id"), "value", "seq"), ["id"], "seq")
-
+def first_preprints(lines: DataFrame, keep_line: bool = False) -> DataFrame:
+    """The table's columns, from the first well-formed line of every id.
 
-def preprint_table(accepted: DataFrame) -> DataFrame:
-    return project_preprints(parse_preprints(accepted))
+    Lines are parsed once and projected before the shuffle; the line itself travels along only
+    for the raw log.
+    """
+    hits = parse_preprints(lines).filter(has_id("item.id"))
+    rows = project_preprints(hits, keep=["seq", *(["value"] if keep_line else [])])
+    return distinct_by_key(rows, ["id"], "seq").drop("seq")
 
 
 def build_preprint_table(lines: DataFrame, path: str, raw_path: str | None = None) -> DataFrame:
     """Append new preprints to the table at ``path`` and their lines to the raw log.
 
-    Only lines whose id is not stored are appended, so repeating a run adds nothing. Returns
-    the appended rows.
+    Only preprints whose id is not stored are appended, so repeating a run adds nothing.
+    Returns the appended rows.
     """
-    spark = lines.sparkSession
-    new = accepted_hits(lines)
-    target = existing_table(spark, path, preprint_table(new).schema)
+    new = first_preprints(lines, keep_line=raw_path is not None)
+    table = new.drop("value")
+    target = existing_table(lines.sparkSession, path, table.schema)
     if target is not None:
         new = skip_existing_ids(new, target, ["id"], few_new=True)
-    table = preprint_table(new)
+        table = new.drop("value")
     if raw_path:
         new.persist(StorageLevel.DISK_ONLY)  # read by both outputs; a lost part is recomputed
         sinks.append_raw_log(new, raw_path)

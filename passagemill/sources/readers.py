@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from passagemill import constants as C
 from passagemill import schemas as S
+from passagemill.functions.common import compute_once
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
@@ -33,7 +34,7 @@ def parse_lines(lines: DataFrame, schema: str, col: str = "value") -> DataFrame:
     parsed = F.from_json(
         col, f"{schema}, {S.CORRUPT} STRING", {"columnNameOfCorruptRecord": S.CORRUPT}
     )
-    return lines.withColumn("j", parsed)
+    return compute_once(lines, j=parsed)
 
 
 def _malformed(col: str):

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from passagemill import schemas as S
 from passagemill.functions.text import render_prompt
 from passagemill.operators import generate as G
-from passagemill.operators.work import persisted_sample, skip_processed
+from passagemill.operators.work import persisted_sample, sample_rows, skip_processed
 from passagemill.sources import sinks
 from passagemill.sources.readers import existing_table, require_columns
 
@@ -61,21 +61,25 @@ def run_generation(
     seed: int | None = None,
     size: int | None = None,
     frac: float | None = None,
-    answer: T.StructType = S.QUESTION,
+    answer: T.StructType | str = S.QUESTION,
     style: str = "tool_use",
     workers: int | None = None,
     cooldown: float = 0.0,
     rounds: int = 1,
     retry_errors: bool = False,
+    path: str | None = None,
 ) -> DataFrame:
     """Generate for every passage not cached yet, append to the cache, return the final table.
 
     Each round is one commit, so a failed run loses at most one round of calls. The final table
-    covers the whole cache, also rows outside the current sample.
+    covers the whole cache, also rows outside the current sample; ``path`` writes it as CSV.
     """
     require_columns(passages, [*id_cols, text])
+    answer = S.answer_schema(answer)
     if sample_path:
         passages = persisted_sample(passages, id_cols, sample_path, seed, size, frac)
+    else:
+        passages = sample_rows(passages, id_cols, seed, size, frac)
     spark, schema = passages.sparkSession, cache_schema(passages, answer)
     for number in range(rounds):
         part = passages
@@ -86,4 +90,7 @@ def run_generation(
         fresh = generated(todo, text, template, client_factory, answer, style, workers, cooldown)
         sinks.append_results(fresh, cache_path)
     cache = spark.read.schema(schema).parquet(cache_path)
-    return G.final_projection(cache, id_cols, text)
+    final = G.final_projection(cache, id_cols, text)
+    if path:
+        sinks.write_csv(final, path)
+    return final

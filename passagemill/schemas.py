@@ -46,6 +46,16 @@ TWO_HOP = T.StructType(
 )
 ANSWER_SCHEMAS = {"QueryGeneration": QUESTION, "TwoHopQueryGeneration": TWO_HOP}
 
+
+def answer_schema(answer: T.StructType | str) -> T.StructType:
+    """A schema itself, or one of the two named ones."""
+    if isinstance(answer, T.StructType):
+        return answer
+    if answer not in ANSWER_SCHEMAS:
+        raise ValueError(f"unknown answer schema {answer}; known: {', '.join(ANSWER_SCHEMAS)}")
+    return ANSWER_SCHEMAS[answer]
+
+
 # Columns of the result cache that are not answer fields.
 TELEMETRY = [
     "raw", "raw_response", "input_tokens", "output_tokens", "reasoning_tokens",

@@ -180,6 +180,6 @@ def existing_table(spark: SparkSession, path: str, schema) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise

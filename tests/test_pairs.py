@@ -152,6 +152,16 @@ def test_generation_over_a_stored_sample(spark, passages, tmp_path):
     assert result.count() == 2 and len(list(tmp_path.iterdir())) == 2
 
 
+def test_generation_of_named_schema_to_csv(spark, passages, tmp_path):
+    cache, path = scratch_path(spark, "cache"), scratch_path(spark, "csv")
+    args = (["id"], "text", "{text}", failing_twice_factory(str(tmp_path)), cache)
+    generation.run_generation(passages, *args, seed=3, size=1, answer="TwoHopQueryGeneration", path=path)
+    written = spark.read.csv(path, header=True)
+    assert written.columns == ["id", "text", "question", "chunk1", "chunk2"] and written.count() == 1
+    with pytest.raises(ValueError, match="unknown answer schema"):
+        generation.run_generation(passages, *args, answer="Other")
+
+
 def test_unreadable_answer_is_empty_and_failure_is_null(spark, passages):
     def factory():
         return lambda prompt: {"content": "no json"} if "one" in prompt else 1 / 0

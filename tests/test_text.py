@@ -78,6 +78,7 @@ def test_synonym_filter_keeps_repeats(one):
 def test_tokens(one):
     assert one(T.tokenize, "Don't stop—3.5 Été!") == ["don", "'", "t", "stop", "—", "3", ".", "5", "été", "!"]
     assert one(T.count_tokens, "abc 12345 ?!") == 4
+    assert one(lambda c: T.count_tokens(c, F.length), "abc") == 3
 
 
 def test_prompt(one):

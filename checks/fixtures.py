@@ -102,6 +102,24 @@ def write_files(df: DataFrame, folder: str) -> None:
     df.mapInArrow(run, "name STRING").count()
 
 
+def write_lines(df: DataFrame, folder: str, suffix: str) -> None:
+    """Write column ``value`` as one line file per task; a retried task writes the same name."""
+
+    def run(batches):
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        name = f"part-{TaskContext.get().partitionId():05d}{suffix}"
+        system, path = fs.FileSystem.from_uri(f"{folder}/{name}")
+        with system.open_output_stream(path) as out:
+            for batch in batches:
+                for line in batch.column(0).to_pylist():
+                    out.write(line.encode() + b"\n")
+                yield batch.slice(0, 0)
+
+    df.select("value").mapInArrow(run, "value STRING").count()
+
+
 def tei_folder(spark: SparkSession, sf: str) -> str:
     folder = scratch_path(spark, "tei")
     spark.range(0).write.mode("overwrite").parquet(folder)  # creates the folder
@@ -130,7 +148,7 @@ def unigram_folder(spark: SparkSession, sf: str) -> str:
     two = counts.select(F.concat("word", F.lit(","), (F.col("n") + 1).cast("string")).alias("value"))
     head = counts.limit(1).select(F.lit("word,count").alias("value"))
     for i, part in enumerate([head, one, two]):
-        part.coalesce(1).write.text(f"{folder}/{i}")
+        part.write.text(f"{folder}/{i}")
     return folder
 
 
@@ -155,7 +173,7 @@ def preprint_lines(spark: SparkSession, sf: str) -> DataFrame:
             F.when(key % 30 == 29, F.lit("")).when(key % 30 == 28, F.lit(None)).otherwise(text).alias("id"),
             F.concat(F.lit("10.1/"), text).alias("doi"),
             title.alias("title"),
-            F.left("text", F.lit(200)).alias("abstract"),
+            F.col("text").alias("abstract"),
             F.lit("2024-01-02T00:00:00Z").alias("publishedDate"),
             F.lit("2024-01-01T00:00:00Z").alias("submittedDate"),
             F.lit("PUBLISHED").alias("status"),
@@ -278,7 +296,7 @@ def response_lines(spark: SparkSession, sf: str) -> DataFrame:
     """``(conv_id, turn, kind, value)``: answers to assistant turns, ten kinds of good and bad."""
     talk = table(spark, sf, "conversations").filter("role = 'assistant'")
     kind = (F.col("conv_id") + F.col("turn")) % 10
-    question = F.concat(F.lit("Q "), F.left("text", F.lit(40)))
+    question = F.concat(F.lit("Q "), "text")
     answer = F.to_json(F.struct(question.alias("question"), F.lit(1).alias("extra")))
     content = (
         F.when(kind == 2, F.concat(F.lit("```json\n"), answer, F.lit("\n```")))
@@ -311,7 +329,7 @@ def cache(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "documents").join(labels, "doc_id")
     failed = F.col("toxic") == 1
     return rows.select(
-        F.when(~failed, F.concat(F.lit("Q "), F.left("text", F.lit(20)))).alias("question"),
+        F.when(~failed, F.concat(F.lit("Q "), "text")).alias("question"),
         F.struct("doc_id", "source", "text").alias("raw"),
         F.lit(None).cast("string").alias("raw_response"),
         F.when(failed, F.lit(0)).otherwise(F.col("n_chars")).cast("bigint").alias("input_tokens"),
@@ -349,7 +367,7 @@ def job_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def echo_client_factory():
-    """Deterministic stand-in for a generator: asks about the start of the prompt's text."""
+    """Deterministic stand-in for a generator: asks about the text of the prompt."""
 
     def client(prompt: str) -> dict:
         text = prompt.split("about\n", 1)[1].rsplit("\nEND", 1)[0]
@@ -358,7 +376,7 @@ def echo_client_factory():
         return {
             "content": [
                 {"type": "reasoning_content", "reasoning_content": {"text": "because"}},
-                {"type": "tool_use", "input": {"question": "Q " + text[:20]}},
+                {"type": "tool_use", "input": {"question": "Q " + text}},
             ],
             "input_tokens": len(prompt),
             "output_tokens": 3,
@@ -370,7 +388,7 @@ def echo_client_factory():
 
 def two_hop_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Passages with two chunks: sound, overlapping, foreign or empty by ``doc_id``."""
-    docs = table(spark, sf, "documents").filter(F.length("text") > 60)
+    docs = table(spark, sf, "documents")
     kind = F.col("doc_id") % 4
     return docs.select(
         "doc_id",

@@ -117,20 +117,11 @@ def _lines(spark, sf):
 @query(f"WITH {Q.RESPONSES} SELECT CAST(count(*) AS BIGINT) AS lines FROM resp")
 def read_responses(spark, sf):
     folder = scratch_path(spark, "responses")
-    _jsonl(_lines(spark, sf).repartition(3), folder)
+    spark.range(0).write.parquet(folder)  # creates the folder
+    X.write_lines(_lines(spark, sf), X._uri(folder), ".jsonl")
     return readers.read_responses(spark, folder).agg(F.count(F.lit(1)).alias("lines"))
 
 
-def _jsonl(lines, folder):
-    """One ``.jsonl`` file per partition, written from the tasks."""
-    lines.sparkSession.range(0).write.parquet(folder)
-    rows = lines.withColumn("part", F.spark_partition_id()).groupBy("part").agg(
-        F.encode(F.concat(F.array_join(F.collect_list("value"), "\n"), F.lit("\n")), "UTF-8").alias("content")
-    )
-    name = F.concat(F.lit("r"), F.col("part").cast("string"), F.lit(".jsonl"))
-    X.write_files(rows.select(name.alias("name"), "content"), X._uri(folder))
-
-
 @query(f"WITH {Q.RESPONSES} SELECT conv_id, turn FROM resp UNION ALL SELECT conv_id, turn FROM resp WHERE kind > 5")
 def union_lines(spark, sf):
     lines = _lines(spark, sf)
@@ -179,11 +170,11 @@ def json_question(spark, sf):
 
 
 @query(
-    f"""WITH {Q.RESPONSES} SELECT conv_id, turn, CASE WHEN kind = 3 THEN q WHEN kind = 6 THEN NULL ELSE question END AS question
-    FROM answered"""
+    f"""WITH {Q.RESPONSES} SELECT conv_id, turn, CASE kind WHEN 4 THEN '' WHEN 5 THEN NULL WHEN 6 THEN NULL
+      WHEN 9 THEN 'cut of' ELSE q END AS question FROM resp"""
 )
 def parse_structured(spark, sf):
-    rows = _lines(spark, sf).filter("kind NOT IN (0, 1, 7)")
+    rows = _lines(spark, sf)
     return rows.select("conv_id", "turn", A.parse_structured(F.col("content"), S.QUESTION).alias("a")).select(
         "conv_id", "turn", "a.*"
     )
@@ -204,7 +195,7 @@ def _blocks(spark, sf):
     """VARIANT contents: plain text, a list of three blocks, or an empty list, by turn."""
     talk = X.table(spark, sf, "conversations")
     block = [
-        F.struct(F.lit("reasoning_content").alias("type"), F.struct(F.left("text", F.lit(9)).alias("text")).alias("reasoning_content")),
+        F.struct(F.lit("reasoning_content").alias("type"), F.struct(F.col("text").alias("text")).alias("reasoning_content")),
         F.struct(F.lit("text").alias("type"), F.col("text").alias("text")),
         F.struct(F.lit("tool_use").alias("type"), F.struct(F.col("role").alias("question")).alias("input")),
     ]
@@ -218,7 +209,7 @@ def _blocks(spark, sf):
 @query(
     """SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN text WHEN 1 THEN text END AS by_text,
     CASE turn % 3 WHEN 0 THEN text WHEN 1 THEN '{"question":"' || role || '"}' END AS by_tool,
-    CASE WHEN turn % 3 = 1 THEN left(text, 9) END AS reasoning FROM conversations"""
+    CASE WHEN turn % 3 = 1 THEN text END AS reasoning FROM conversations"""
 )
 def content_blocks(spark, sf):
     rows = _blocks(spark, sf)
@@ -233,16 +224,12 @@ def content_blocks(spark, sf):
 
 
 @query(
-    f"""WITH {Q.RESPONSES} SELECT CASE WHEN length(q) > 20 THEN conv_id END AS conv_id, turn FROM resp"""
+    "SELECT CASE WHEN length(text) > 100 THEN conv_id END AS conv_id, turn FROM conversations"
 )
 def cast_ids(spark, sf):
-    talk = _lines(spark, sf)
-    good = F.length(F.get_json_object(F.col("content"), "$.question")) > 20
     source = X.table(spark, sf, "conversations")
-    text = X.table(spark, sf, "conversations").filter("role = 'assistant'").select(
-        F.when(F.length(F.concat(F.lit("Q "), F.left("text", F.lit(40)))) > 20, F.col("conv_id").cast("string"))
-        .otherwise(F.lit("not a number"))
-        .alias("conv_id"),
+    text = source.select(
+        F.when(F.length("text") > 100, F.col("conv_id").cast("string")).otherwise(F.lit("not a number")).alias("conv_id"),
         F.col("turn").cast("string").alias("turn"),
     )
     return P.cast_ids(text, source.schema, ["conv_id", "turn"])
@@ -291,11 +278,11 @@ def response_rejects(spark, sf):
     """SELECT doc_id, question, chunk1, chunk2, CAST(start1 AS BIGINT) AS start1, CAST(start2 AS BIGINT) AS start2,
     CASE WHEN start1 = 0 OR start2 = 0 OR chunk1 = '' OR chunk2 = '' THEN 'missing chunk'
          WHEN start1 < start2 + length(chunk2) AND start2 < start1 + length(chunk1) THEN 'overlap' ELSE 'ok' END AS verdict
-    FROM (SELECT *, CASE WHEN chunk1 = '' THEN 1 ELSE instr(text, chunk1) END AS start1, instr(text, chunk2) AS start2 FROM (
+    FROM (SELECT *, CASE WHEN chunk1 = '' THEN 1 ELSE instr(text, chunk1) END AS start1, CASE WHEN chunk2 = '' THEN 1 ELSE instr(text, chunk2) END AS start2 FROM (
       SELECT doc_id, text, 'Q ' || doc_id AS question, CASE WHEN doc_id % 4 = 3 THEN '' ELSE left(text, 20) END AS chunk1,
         CASE doc_id % 4 WHEN 1 THEN substr(text, 11, 20) WHEN 2 THEN chr(1) || ' not in any passage'
           ELSE substr(text, 31, 20) END AS chunk2
-      FROM documents WHERE length(text) > 60))"""
+      FROM documents))"""
 )
 def two_hop_pairs(spark, sf):
     report = pairs.two_hop_pairs(X.two_hop_rows(spark, sf), "text").drop("text")
@@ -343,7 +330,7 @@ def skip_processed_retry(spark, sf):
 
 
 GENERATED = """generated AS (SELECT *, left(text, 1) = 'A' AS failed,
-    CASE WHEN left(text, 1) <> 'A' THEN 'Q ' || left(text, 20) END AS question FROM documents)"""
+    CASE WHEN left(text, 1) <> 'A' THEN 'Q ' || text END AS question FROM documents)"""
 
 
 @query(
@@ -396,14 +383,15 @@ def generation_telemetry(spark, sf):
     return rows.withColumn("mean_latency", F.round("mean_latency", 6)).withColumn("error_rate", F.round("error_rate", 6))
 
 
-@query(f"WITH {GENERATED} SELECT doc_id, source, text, question FROM generated WHERE doc_id % 2 = 0 OR source < 'src2'")
+@query(f"WITH {GENERATED} SELECT doc_id, source, text, question FROM generated")
 def run_generation(spark, sf):
     """Two runs into one cache; the second only generates what the first did not."""
     path = scratch_path(spark, "cache")
     docs = X.passages(spark, sf)
     args = (IDS, "text", X.TEMPLATE, X.echo_client_factory, path)
-    generation.run_generation(docs.filter("doc_id % 2 = 0"), *args)
-    return generation.run_generation(docs.filter("source < 'src2'"), *args, rounds=2)
+    labelled = work.restrict_to_sample(docs, X.table(spark, sf, "labels"), ["doc_id"])
+    generation.run_generation(labelled, *args)
+    return generation.run_generation(docs, *args, rounds=2)
 
 
 @query(f"WITH {GENERATED} SELECT doc_id, question FROM generated")
@@ -411,7 +399,7 @@ def generate_stream(spark, sf):
     folder, path, marks = (scratch_path(spark, n) for n in ("passages", "cache", "marks"))
     docs = X.passages(spark, sf)
     for part in ("doc_id % 3 < 2", "doc_id % 3 > 0"):
-        docs.filter(part).coalesce(1).write.mode("append").parquet(folder)
+        docs.filter(part).write.mode("append").parquet(folder)
         source = spark.readStream.schema(docs.schema).parquet(folder)
         ingest.generate_stream(source, IDS, "text", X.TEMPLATE, X.echo_client_factory, path, marks).awaitTermination()
     return spark.read.parquet(path).select("raw.doc_id", "question")

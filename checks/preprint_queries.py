@@ -16,11 +16,11 @@ from passagemill.sources.scratch import scratch_path
 from passagemill.streaming import ingest
 
 
-def _log(spark, sf, parts=1):
+def _log(spark, sf):
     """The hit lines as text files, in line order within and across files."""
     folder = scratch_path(spark, "hits")
     lines = X.preprint_lines(spark, sf)
-    lines.repartitionByRange(parts, "seq").sortWithinPartitions("seq").select("value").write.text(folder)
+    lines.repartitionByRange("seq").sortWithinPartitions("seq").select("value").write.text(folder)
     return folder
 
 
@@ -30,7 +30,7 @@ def _hits(spark, sf):
 
 @query(f"WITH {Q.HITS} SELECT id, title FROM all_hits")
 def read_preprints(spark, sf):
-    return readers.read_preprints(spark, _log(spark, sf, 4)).select("item.id", "item.title")
+    return readers.read_preprints(spark, _log(spark, sf)).select("item.id", "item.title")
 
 
 @query("SELECT doc_id AS seq FROM documents WHERE doc_id % 40 = 7")
@@ -86,6 +86,8 @@ def distinct_by_key(spark, sf):
     return work.distinct_by_key(hits, ["id"], "seq")
 
 
+# Lines before the repeated ones.
+ORIGINAL = "seq < 1099511627776"
 FIRST = f"WITH {Q.HITS} SELECT {Q.HIT_COLUMNS} FROM first_hits LEFT JOIN customer ON c_custkey = doc_id"
 
 
@@ -93,7 +95,7 @@ FIRST = f"WITH {Q.HITS} SELECT {Q.HIT_COLUMNS} FROM first_hits LEFT JOIN custome
 def build_preprint_table(spark, sf):
     path = scratch_path(spark, "preprints")
     lines = X.preprint_lines(spark, sf)
-    plan.build_preprint_table(lines.filter("seq % 2 = 0 AND seq < 1000000"), path)
+    plan.build_preprint_table(lines.filter(f"seq % 2 = 0 AND {ORIGINAL}"), path)
     plan.build_preprint_table(lines, path)
     return spark.read.parquet(path)
 
@@ -107,19 +109,19 @@ def append_raw_log(spark, sf):
 
 @query(FIRST)
 def ingest_preprints_stream(spark, sf):
-    """Three overlapping files, in two runs, the second of which sees all files again."""
+    """Three overlapping deliveries; the last one repeats everything and adds second versions."""
     folder, path, marks = (scratch_path(spark, n) for n in ("log", "preprints", "marks"))
     lines = X.preprint_lines(spark, sf)
-    for part in ("seq < 1000000 AND seq % 3 < 2", "seq < 1000000 AND seq % 3 > 0", "true"):
-        lines.filter(part).coalesce(1).select("value").write.mode("append").text(folder)
-        ingest.ingest_preprints_stream(spark, folder, path, marks, files_per_batch=2).awaitTermination()
+    for part in (f"{ORIGINAL} AND seq % 3 < 2", f"{ORIGINAL} AND seq % 3 > 0", "true"):
+        lines.filter(part).select("value").write.mode("append").text(folder)
+        ingest.ingest_preprints_stream(spark, folder, path, marks).awaitTermination()
     return spark.read.parquet(path)
 
 
 @query(f"WITH {Q.HITS} SELECT DISTINCT id FROM hits")
 def dedupe_stream(spark, sf):
-    folder, path, marks = _log(spark, sf, 3), scratch_path(spark, "ids"), scratch_path(spark, "marks")
-    hits = readers.parse_preprints(ingest.stream_lines(spark, folder, files_per_batch=2))
+    folder, path, marks = _log(spark, sf), scratch_path(spark, "ids"), scratch_path(spark, "marks")
+    hits = readers.parse_preprints(ingest.stream_lines(spark, folder, files_per_batch=4))
     ids = hits.filter(work.has_id("item.id")).select("item.id")
     writer = ingest.dedupe_stream(ids).writeStream.option("checkpointLocation", marks)
     writer.format("parquet").trigger(availableNow=True).start(path).awaitTermination()
@@ -144,28 +146,28 @@ def download_worklist(spark, sf):
 
 @query(
     """SELECT printf('shard-%03d.jsonl', o_orderkey) AS shard, printf('shard-%03d-response.jsonl', o_orderkey) AS name
-    FROM orders WHERE o_orderkey % 3 <> 0"""
+    FROM orders WHERE o_orderstatus <> 'F'"""
 )
 def pending_outputs(spark, sf):
     status = X.job_status(spark, sf)
-    stored = status.filter("o_orderkey % 3 = 0").select(work.response_name(F.col("shard")).alias("name"))
+    stored = status.filter("status = 'completed'").select(work.response_name(F.col("shard")).alias("name"))
     return work.pending_outputs(status.select("shard"), stored)
 
 
 @query(
-    """SELECT o_orderpriority AS priority, bool_and(o_orderstatus = 'F') AS completed FROM orders WHERE o_orderkey < 4
-    GROUP BY 1 UNION ALL SELECT 'none', true UNION ALL SELECT 'all', bool_and(o_orderstatus = 'F') FROM orders"""
+    """SELECT 'all' AS jobs, coalesce(bool_and(o_orderstatus = 'F'), true) AS completed FROM orders
+    UNION ALL SELECT 'finished', true UNION ALL SELECT 'none', true"""
 )
 def all_completed(spark, sf):
     status = X.job_status(spark, sf)
-    orders = X.table(spark, sf, "orders").filter("o_orderkey < 4")
-    few = status.filter("o_orderkey < 4").join(orders, "o_orderkey")
-    groups = few.groupBy(F.col("o_orderpriority").alias("priority")).agg(
-        F.bool_and(F.col("status") == "completed").alias("completed")
+    cases = {
+        "all": status,
+        "finished": status.filter("status = 'completed'"),
+        "none": status.filter("status = 'unknown'"),
+    }
+    return readers.union_lines(
+        [work.all_completed(jobs).select(F.lit(name).alias("jobs"), "completed") for name, jobs in cases.items()]
     )
-    none = work.all_completed(status.filter("o_orderkey < 0")).select(F.lit("none").alias("priority"), "completed")
-    every = work.all_completed(status).select(F.lit("all").alias("priority"), "completed")
-    return groups.unionByName(none).unionByName(every)
 
 
 @query(
@@ -184,14 +186,13 @@ def high_watermark(spark, sf):
 
 
 @query(
-    f"""WITH {Q.NAMES}, m AS (SELECT max(id) AS last FROM names WHERE name LIKE 'cid_%.json' AND id < 500)
-    SELECT CAST(unnest(range(last + 1, (SELECT CAST(max(p_partkey) AS BIGINT) FROM part) + 1)) AS BIGINT) AS id FROM m"""
+    f"""WITH {Q.NAMES}, m AS (SELECT max(id) AS last FROM names WHERE name LIKE 'cid_%.json')
+    SELECT CAST(unnest(range(last + 1, (SELECT CAST(2 * max(p_partkey) AS BIGINT) FROM part) + 1)) AS BIGINT) AS id FROM m"""
 )
 def resume_range(spark, sf):
-    names = X.stored_names(spark, sf).filter("id < 500")
-    last = work.high_watermark(names).first()["last_id"]
+    last = work.high_watermark(X.stored_names(spark, sf)).first()["last_id"]
     top = X.table(spark, sf, "part").agg(F.max("p_partkey")).first()[0]
-    return work.resume_range(spark, last, top)
+    return work.resume_range(spark, last, 2 * top)
 
 
 @query(
@@ -205,10 +206,16 @@ def resume_range_gaps(spark, sf):
     return work.resume_range(spark, 0, top, stored)
 
 
-@query("SELECT CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INTEGER) AS pos, p_partkey AS id FROM part")
+@query(
+    """SELECT 'ids-' || p_partkey // 1000 || '.json' AS list, p_partkey AS id,
+    CAST(row_number() OVER (PARTITION BY p_partkey // 1000 ORDER BY p_partkey) - 1 AS INTEGER) AS pos FROM part"""
+)
 def predefined_worklist(spark, sf):
-    """The list file is one JSON array of all part keys, as a user would give it."""
+    """List files of at most a thousand ids each, as users would give them."""
     folder = scratch_path(spark, "ids")
-    ids = X.table(spark, sf, "part").agg(F.array_sort(F.collect_list("p_partkey")).alias("ids"))
-    ids.select(F.to_json("ids").alias("value")).coalesce(1).write.text(folder)
-    return work.predefined_worklist(spark, folder)
+    spark.range(0).write.parquet(folder)  # creates the folder
+    number = F.floor(F.col("p_partkey") / 1000).alias("n")
+    lists = X.table(spark, sf, "part").groupBy(number).agg(F.array_sort(F.collect_list("p_partkey")).alias("ids"))
+    name = F.concat(F.lit("ids-"), F.col("n").cast("string"), F.lit(".json"))
+    X.write_files(lists.select(name.alias("name"), F.encode(F.to_json("ids"), "UTF-8").alias("content")), X._uri(folder))
+    return work.predefined_worklist(spark, f"{folder}/*.json")

@@ -100,7 +100,7 @@ HIT_AUTHORS = """(CASE doc_id % 6
     ELSE CASE WHEN c_name IS NULL THEN 'Anon; ' ELSE string_split(c_name, '#')[1] || ' ' || string_split(c_name, '#')[2] || '; ' END
   END) || 'Ada ' || lang"""
 HIT_URL = "CASE WHEN doc_id % 4 > 1 THEN 'https://x/' || CAST(doc_id AS VARCHAR) || '.pdf' END"
-HIT_COLUMNS = f"""id, '10.1/' || CAST(doc_id AS VARCHAR) AS doi, title, left(text, 200) AS abstract,
+HIT_COLUMNS = f"""id, '10.1/' || CAST(doc_id AS VARCHAR) AS doi, title, text AS abstract,
   '2024-01-02T00:00:00Z' AS "publishedDate", '2024-01-01T00:00:00Z' AS "submittedDate", 'PUBLISHED' AS status,
   CASE WHEN doc_id % 2 = 0 THEN '1' END AS version,
   CASE WHEN doc_id % 3 <> 0 THEN 'CC BY 4.0' END AS license,
@@ -125,7 +125,7 @@ SYNONYMS = """(CASE WHEN p_partkey % 5 = 0 THEN [] ELSE
 
 # Responses: ten kinds of answer lines.
 RESPONSES = """resp AS (
-  SELECT conv_id, turn, CAST((conv_id + turn) % 10 AS INTEGER) AS kind, 'Q ' || left(text, 40) AS q, text,
+  SELECT conv_id, turn, CAST((conv_id + turn) % 10 AS INTEGER) AS kind, 'Q ' || text AS q, text,
          CAST(conv_id AS VARCHAR) || '__' || CAST(turn AS VARCHAR) AS custom_id
   FROM conversations WHERE role = 'assistant'),
 answered AS (
@@ -135,7 +135,7 @@ answered AS (
 
 CACHE = """cache AS (
   SELECT d.doc_id, d.source, d.text, toxic = 1 AS failed,
-         CASE WHEN toxic = 1 THEN NULL ELSE 'Q ' || left(d.text, 20) END AS question,
+         CASE WHEN toxic = 1 THEN NULL ELSE 'Q ' || d.text END AS question,
          CASE WHEN toxic = 1 THEN 0 ELSE n_chars END AS input_tokens,
          CASE WHEN toxic = 1 THEN 0 ELSE 7 END AS output_tokens,
          CASE WHEN toxic = 1 THEN 0 ELSE (d.doc_id % 100) / 4 END AS latency,

@@ -108,11 +108,11 @@ def split_reasoning(spark, sf):
 
 
 @query(
-    """WITH n AS (SELECT doc_id, replace(left(text, 400), chr(10), '_') || '.pdf' AS name FROM documents)
+    """WITH n AS (SELECT doc_id, replace(text, chr(10), '_') || '.pdf' AS name FROM documents)
     SELECT doc_id, CASE WHEN length(name) <= 255 THEN name ELSE left(name, 251) || '.pdf' END AS name FROM n"""
 )
 def safe_filename(spark, sf):
-    name = F.concat(F.replace(F.left("text", F.lit(400)), F.lit("\n"), F.lit("_")), F.lit(".pdf"))
+    name = F.concat(F.replace(F.col("text"), F.lit("\n"), F.lit("_")), F.lit(".pdf"))
     return X.table(spark, sf, "documents").select("doc_id", T.safe_filename(name).alias("name"))
 
 

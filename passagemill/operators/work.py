@@ -117,17 +117,19 @@ def resume_range(
 
 
 def predefined_worklist(spark: SparkSession, ids: Sequence[int] | str) -> DataFrame:
-    """A given list, or a JSON file holding one, as ``(pos, id)``; nothing is skipped."""
+    """A given list, or JSON files holding one each, as ``(list, pos, id)``; nothing is skipped."""
     if isinstance(ids, str):
         text = spark.read.text(ids, wholetext=True)
         listed = F.coalesce(
             F.from_json("value", "array<bigint>"),
             F.raise_error(F.lit("the id file must hold a JSON list")).cast("array<bigint>"),
         )
-        return text.select(F.posexplode(listed).alias("pos", "id"))
+        name = F.element_at(F.split("_metadata.file_path", "/"), -1).alias("list")
+        return text.select(name, F.posexplode(listed).alias("pos", "id"))
     if not isinstance(ids, (list, tuple)):
         raise ValueError("ids must be a list")
-    return spark.createDataFrame(list(enumerate(ids)), "pos INT, id BIGINT")
+    rows = spark.createDataFrame(list(enumerate(ids)), "pos INT, id BIGINT")
+    return rows.select(F.lit("given").alias("list"), "pos", "id")
 
 
 def _tie_break(df: DataFrame) -> Column:

@@ -110,7 +110,7 @@ def test_watermark_and_ranges(spark):
 
 
 def test_given_ids(spark):
-    assert [tuple(r) for r in work.predefined_worklist(spark, [5, 3, 5]).collect()] == [(0, 5), (1, 3), (2, 5)]
+    assert [tuple(r) for r in work.predefined_worklist(spark, [5, 3, 5]).collect()] == [("given", 0, 5), ("given", 1, 3), ("given", 2, 5)]
     with pytest.raises(ValueError):
         work.predefined_worklist(spark, {"a": 1})
     path = scratch_path(spark, "ids")

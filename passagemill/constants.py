@@ -9,6 +9,7 @@ FOOTER_PATTERN = (
     r"(?dU)[\s\x1c-\x1f]*ORCID:[\s\x1c-\x1f]*.*?Content not peer-reviewed by ChemRxiv\. "
     r"License:[\s\x1c-\x1f]*CC BY(?:-[A-Za-z]+)*[\s\x1c-\x1f]*4\.0"
 )
+FOOTER_MARKER = "ORCID:"  # occurs in every match of the footer pattern
 SPACE_PATTERN = r"(?U)[\s\x1c-\x1f]+"
 # A character outside these ranges; text within them alone is in NFC already.
 NFC_CANDIDATE = r"[^\u0000-\u02FF\u2010-\u2027\u2030-\u205E\u4E00-\u9FFF]"

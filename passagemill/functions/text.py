@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from passagemill import constants as C
-from passagemill.functions.common import run_once
+from passagemill.functions.common import bind, run_once
 
 
 def _nfc_udf():
@@ -38,7 +38,11 @@ def strip_urls(col: Column) -> Column:
 
 
 def strip_footer(col: Column, pattern: str = C.FOOTER_PATTERN) -> Column:
-    return F.regexp_replace(col, pattern, "")
+    """Delete a page footer. With the usual pattern, texts without its marker are not searched."""
+    if pattern != C.FOOTER_PATTERN:
+        return F.regexp_replace(col, pattern, "")
+    marked = F.contains(col, F.lit(C.FOOTER_MARKER))
+    return F.when(marked, F.regexp_replace(col, pattern, "")).otherwise(col)
 
 
 def collapse_ws(col: Column) -> Column:
@@ -53,7 +57,7 @@ def strip(col: Column) -> Column:
 
 def clean_text(col: Column, footer: str = C.FOOTER_PATTERN) -> Column:
     """The part of :func:`normalize_text` after NFC; usable inside ``transform``."""
-    return collapse_ws(strip_footer(strip_urls(col), footer))
+    return collapse_ws(bind(strip_urls(col), lambda c: strip_footer(c, footer)))
 
 
 def normalize_text(col: Column, footer: str = C.FOOTER_PATTERN) -> Column:

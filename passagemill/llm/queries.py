@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .countmin_dedup import countmin_dedup
+from .decontaminate import contamination
+from .langid import identify_language, learn_languages
+from .quality import quality_rules
+from .secrets import secret_scan, span_text
 from .suffix_dedup import suffix_dedup
+from .urls import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +40,42 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left of each document after repeated strings of 50 bytes are removed."""
     found = suffix_dedup(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of all documents and the verdict of the quality rules."""
+    found = quality_rules(_table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "base_failed", "kept")
+
+
+@_query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: fixed patterns and inferred formats."""
+    found = secret_scan(_table(spark, sf_dir, "documents"), with_text=False)
+    base = F.sha2(span_text(F.col("spans"), base_only=True), 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", base, span_text(F.col("spans")).alias("spans"), "n_format")
+
+
+@_query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from three quarters of them."""
+    rows = _table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = learn_languages(rows.filter(fold != 2))
+    found = identify_language(rows, model)
+    return found.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the rules on the URL of every page."""
+    return url_filter(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside benchmark passages, and whether they are too many."""
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated")

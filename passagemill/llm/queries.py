@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from .countmin_dedup import countmin_dedup
 from .decontaminate import contamination
+from .jaccard_join import jaccard_join
 from .langid import identify_language, learn_languages
+from .pieces import encode_pieces
 from .quality import quality_rules
 from .secrets import secret_scan, span_text
 from .suffix_dedup import suffix_dedup
@@ -79,3 +81,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated")
+
+
+@_query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates and number of links of every document."""
+    return jaccard_join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@_query
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best segmentation of every text (its length and a hash), scores of the four best, and whether it decodes."""
+    found = encode_pieces(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.array_join("scores", ",").alias("scores"), "round_trip")

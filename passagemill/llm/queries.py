@@ -11,6 +11,7 @@ from .countmin_dedup import countmin_dedup
 from .decontaminate import contamination
 from .jaccard_join import jaccard_join
 from .langid import identify_language, learn_languages
+from .licenses import UNKNOWN, license_scan
 from .pieces import encode_pieces
 from .quality import quality_rules
 from .secrets import secret_scan, span_text
@@ -30,6 +31,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families in each document, and how many paragraphs are of a known or unknown one."""
+    found = license_scan(_table(spark, sf_dir, "documents"))
+    sure = F.filter("paragraphs", lambda x: x["family"] != UNKNOWN)
+    families = F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))), ",")
+    return found.select("doc_id", F.size(sure).cast("long").alias("n_licences"), (F.size("paragraphs") - F.size(sure)).cast("long").alias("n_unknown"), families.alias("families"))
+
+
 @_query
 def op4_countmin_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of each document after repeated passages of 50 words are removed."""

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stored
+from .keys import text_key
 
 #: Words of an item window.
 WINDOW = 13
@@ -65,8 +66,7 @@ def contamination(
     broadcast and the words of a document never leave their task; a larger one is joined on the
     rare words by a shuffle, and candidates are verified in a second join. Results are the same.
     """
-    key = F.struct(F.xxhash64(text_col).alias("a"), F.xxhash64(F.lit(7), F.col(text_col)).alias("b"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("text_key"), word_array(F.col(text_col)).alias("words"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), word_array(F.col(text_col)).alias("words"))
     windows = stored(item_windows(items, item_id_col, item_text_col, window), "item-windows")
     size = windows.agg(F.sum(F.octet_length(F.array_join("words", " ")) + F.octet_length(F.array_join("items", " ")) + 64).alias("n")).first()["n"] or 0
     small = size <= broadcast_bytes

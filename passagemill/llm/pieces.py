@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+import uuid
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -365,7 +366,15 @@ def decoder(vocabulary: Vocabulary):
     return decode
 
 
-_workers: dict[int, tuple[Encoder, object]] = {}
+_held: dict[tuple[str, int], tuple] = {}
+
+
+def _of_worker(token: str, shared, n: int) -> tuple:
+    """Encoder and decoder of this worker process: what it has segmented helps its later tasks."""
+    if (token, n) not in _held:
+        _held.clear()
+        _held[token, n] = (Encoder(shared.value, n), decoder(shared.value))
+    return _held[token, n]
 
 
 def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, vocabulary: Vocabulary | None = None) -> DataFrame:
@@ -381,14 +390,11 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     if n < 1:
         raise ValueError("n must be 1 or more")
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary())
+    shared, token = docs.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary()), uuid.uuid4().hex
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (shared.id, n) not in _workers:
-            _workers.clear()
-            _workers[shared.id, n] = (Encoder(shared.value, n), decoder(shared.value))
-        encoder, decode = _workers[shared.id, n]
+        encoder, decode = _of_worker(token, shared, n)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             first = 0

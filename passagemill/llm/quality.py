@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +64,7 @@ _STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     min_docs: int = 20, max_share: float = 0.1, max_removed: float = 0.5, with_text: bool = True,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, base statistics, ``base_failed``, ``depleted``, ``kept`` and ``cleaned``.
 
@@ -71,21 +72,23 @@ def quality_rules(
     a null text, and unless ``with_text``); ``n_removed_words`` counts their words. A document is
     depleted if more than ``max_removed`` of its words are removed. ``base_failed``: fewer than 20
     words, or more than 30 % of the words are in 8-word windows that the text has twice or more.
-    A null text has no words, so it fails. Other columns of ``docs``, whatever they are called,
-    are not read. The lines of all hosts are written to the shared folder; Spark broadcasts that
+    A null text has no words, so it fails. Columns named by ``carry`` come along in a struct
+    ``carried``; others, whatever they are called, are not read. The lines of all hosts are written to the shared folder; Spark broadcasts that
     table if its files are below its limit, and joins by host otherwise.
     """
     lines = stored(frequent_lines(docs, host_col, text_col, min_docs, max_share), "frequent-lines")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("of"), F.col(text_col).cast("string").alias("text"))
-    joined = rows.join(lines, F.col("of").eqNullSafe(F.col("host")), "left").select("doc_id", "text", "lines")
+    carried = F.struct(*carry) if carry else F.lit(None).cast("struct<none:int>")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("of"), F.col(text_col).cast("string").alias("text"), carried.alias("carried"))
+    joined = rows.join(lines, F.col("of").eqNullSafe(F.col("host")), "left").select("doc_id", "text", "lines", "carried")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _statistics(batch, with_text)
 
-    found = joined.mapInArrow(run, f"doc_id long, {_STATS}")
+    found = joined.mapInArrow(run, f"doc_id long, carried {rows.schema['carried'].dataType.simpleString()}, {_STATS}")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     depleted = F.col("n_removed_words") > max_removed * F.col("n_words")
+    found = found if carry else found.drop("carried")
     return found.withColumns({"base_failed": failed, "depleted": depleted}).withColumn("kept", ~(F.col("base_failed") | F.col("depleted")))
 
 
@@ -118,8 +121,8 @@ def _statistics(batch: pa.RecordBatch, with_text: bool) -> Iterator[pa.RecordBat
                     text = b"\n".join(x for x in rows if x not in bad)
             gone.append(removed)
             cleaned.append(None if null[first + i] or not with_text else text.decode())
-        columns = [ids.slice(first, n), words, chars, symbols, dups, repeat, gone, pa.array(cleaned, pa.string())]
-        names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "cleaned"]
+        columns = [ids.slice(first, n), batch.column("carried").slice(first, n), words, chars, symbols, dups, repeat, gone, pa.array(cleaned, pa.string())]
+        names = ["doc_id", "carried", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "cleaned"]
         arrays = [x if isinstance(x, pa.Array) else pa.array(x, pa.int64()) for x in columns]
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 

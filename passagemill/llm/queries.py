@@ -104,3 +104,11 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best segmentation of every text (its length and a hash), scores of the four best, and whether it decodes."""
     found = encode_pieces(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.array_join("scores", ",").alias("scores"), "round_trip")
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline, one after another."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

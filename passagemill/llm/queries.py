@@ -12,6 +12,7 @@ from .decontaminate import contamination
 from .jaccard_join import jaccard_join
 from .langid import identify_language, learn_languages
 from .licenses import UNKNOWN, license_scan
+from .oracles import ORACLES
 from .pieces import encode_pieces
 from .quality import quality_rules
 from .secrets import secret_scan, span_text
@@ -19,7 +20,7 @@ from .suffix_dedup import suffix_dedup
 from .urls import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _query(fn):

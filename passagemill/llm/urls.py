@@ -63,7 +63,7 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
 
     A rule (host, path, verdict) fits its host and all subdomains if the URL's path starts with
     the rule's, which begins and ends with a slash; the longest rule that fits decides, of equal
-    ones the blocking one. Without any, ``rule`` is null and ``verdict`` is ``default``. A null
+    length the blocking one, then the greater text. Without any, ``rule`` is null and ``verdict`` is ``default``. A null
     URL, or one without ``://``, has an empty host and path and fits no rule. Ids may be null or
     repeated. Expansion goes no further than the rules' own labels and slashes, so a long URL
     makes no more expressions than a short one, and none is lost. Other columns are not read.

@@ -140,6 +140,17 @@ def append_table(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("SELECT DISTINCT CAST(p_partkey // 2 AS BIGINT) AS k FROM part WHERE p_partkey % 5 <> 0")
+def append_table_repeats(spark, sf):
+    """A batch with repeated and null keys, appended twice."""
+    path = scratch_path(spark, "parts")
+    key = F.when(F.col("p_partkey") % 5 != 0, F.floor(F.col("p_partkey") / 2)).cast("bigint")
+    batch = X.table(spark, sf, "part").select(key.alias("k"), "p_name")
+    for _ in range(2):
+        sinks.append_table(batch, path, ["k"])
+    return spark.read.parquet(path).select("k")
+
+
 @query(
     f"""SELECT p_partkey AS "CID", CASE WHEN len({Q.SYNONYMS}) = 0 THEN '[]'
       ELSE '["' || array_to_string({Q.SYNONYMS}, '","') || '"]' END AS "Synonyms" FROM part"""

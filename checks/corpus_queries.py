@@ -8,6 +8,7 @@ from checks import fixtures as X
 from checks import sql as Q
 from checks.registry import query
 from passagemill.functions import text as T
+from passagemill.functions.common import compute_once
 from passagemill.operators import lm, work
 from passagemill.operators import paragraphs as P
 from passagemill.plans import corpus
@@ -52,7 +53,8 @@ def explode_paragraphs_joined(spark, sf):
 
 
 def _long_lines(spark, sf):
-    lines = X.paragraphs(spark, sf).withColumn("paragraph", T.normalize_text(F.col("paragraph")))
+    lines = compute_once(X.paragraphs(spark, sf), normal=T.normalize_text(F.col("paragraph")))
+    lines = lines.drop("paragraph").withColumnRenamed("normal", "paragraph")
     # Numbering reads its input twice, so costly input is stored first.
     return stored(lines.filter(T.min_words(F.col("paragraph"))), "long-lines")
 
@@ -69,15 +71,21 @@ def number_paragraphs(spark, sf):
     return rows.select("id", "idx", "paragraph")
 
 
-@query(
-    f"""WITH {LONG} SELECT id, CAST(idx // 3 AS INTEGER) AS chunk, string_agg(paragraph, '|' ORDER BY idx) AS paragraphs
-    FROM numbered GROUP BY ALL"""
-)
+@query(f"WITH {LONG} SELECT id, string_agg(paragraph, '|' ORDER BY idx) AS paragraphs FROM numbered GROUP BY ALL")
 def document_arrays(spark, sf):
     rows = P.number_paragraphs(_long_lines(spark, sf), document="id")
-    return P.document_arrays(rows, chunk_rows=3).select(
-        "id", "chunk", F.array_join("paragraphs", "|").alias("paragraphs")
-    )
+    return P.document_arrays(rows, file="id").select("id", F.array_join("paragraphs", "|").alias("paragraphs"))
+
+
+@query(
+    f"""WITH {LONG} SELECT id AS path, CAST(CAST(id AS BIGINT) % 7 AS VARCHAR) AS id,
+    string_agg(paragraph, '|' ORDER BY idx) AS paragraphs FROM numbered GROUP BY ALL"""
+)
+def document_arrays_shared_id(spark, sf):
+    """Many files to an id; their paragraphs do not mix."""
+    rows = P.number_paragraphs(_long_lines(spark, sf), document="id").withColumnRenamed("id", "path")
+    shared = rows.withColumn("id", (F.col("path").cast("bigint") % 7).cast("string"))
+    return P.document_arrays(shared).select("path", "id", F.array_join("paragraphs", "|").alias("paragraphs"))
 
 
 @query(
@@ -89,8 +97,8 @@ def write_document_arrays(spark, sf):
     path = scratch_path(spark, "document-arrays")
     rows = P.number_paragraphs(_long_lines(spark, sf), document="id")
     documents = X.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"))
-    sinks.write_document_arrays(P.all_document_arrays(documents, rows), path)
-    back = spark.read.schema("id STRING, chunk INT, paragraphs ARRAY<STRING>").json(path)
+    sinks.write_document_arrays(P.all_document_arrays(documents, rows, file="id"), path)
+    back = spark.read.schema("id STRING, paragraphs ARRAY<STRING>").json(path)
     return back.select("id", F.array_join("paragraphs", "|").alias("paragraphs"))
 
 

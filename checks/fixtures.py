@@ -293,8 +293,8 @@ TEMPLATE = 'Ask {{"question": ""}} about\n{text}\nEND $1 \\'
 
 
 def response_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """``(conv_id, turn, kind, value)``: answers to assistant turns, ten kinds of good and bad."""
-    talk = table(spark, sf, "conversations").filter("role = 'assistant'")
+    """``(conv_id, turn, kind, value)``: answers to all turns, ten kinds of good and bad."""
+    talk = table(spark, sf, "conversations")
     kind = (F.col("conv_id") + F.col("turn")) % 10
     question = F.concat(F.lit("Q "), "text")
     answer = F.to_json(F.struct(question.alias("question"), F.lit(1).alias("extra")))

@@ -268,6 +268,22 @@ def build_training_pairs(spark, sf):
     return back.withColumn("generated_query", F.coalesce("generated_query", F.lit("")))
 
 
+@query(
+    f"""WITH {Q.RESPONSES} SELECT outcome, count(*) AS n FROM (
+      SELECT CASE WHEN kind = 0 THEN 'malformed' WHEN kind IN (1, 7) THEN 'no choice'
+        WHEN kind IN (3, 5) THEN 'no question' ELSE 'pair' END AS outcome FROM resp) GROUP BY outcome"""
+)
+def training_pairs_rejects(spark, sf):
+    """Pairs and rejects account for every response line."""
+    rejects = scratch_path(spark, "rejects")
+    found = pairs.build_training_pairs(
+        X.table(spark, sf, "conversations"), _lines(spark, sf), ["conv_id", "turn"], rejects_path=rejects
+    )
+    outcomes = spark.read.parquet(rejects).select(F.col("reason").alias("outcome"))
+    every = outcomes.unionByName(found.select(F.lit("pair").alias("outcome")))
+    return every.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"WITH {Q.RESPONSES} SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn FROM answered "
        "WHERE question IS NULL")
 def response_rejects(spark, sf):
@@ -304,6 +320,16 @@ def sample_rows_fraction(spark, sf):
     return work.sample_rows(X.passages(spark, sf), IDS, seed=24, frac=0.25).select(*IDS)
 
 
+@query(
+    """SELECT doc_id, source FROM documents WHERE source IN (
+      SELECT source FROM (SELECT DISTINCT source FROM documents) ORDER BY md5('24|' || source), source LIMIT 5)"""
+)
+def sample_rows_repeated_ids(spark, sf):
+    """Many rows to an id: five ids are drawn, with all their rows."""
+    docs = X.passages(spark, sf)
+    return work.sample_rows(docs, ["source"], seed=24, size=5).select("doc_id", "source")
+
+
 @query(SAMPLE.format(k=150))
 def persisted_sample(spark, sf):
     path = scratch_path(spark, "sample")

@@ -107,6 +107,15 @@ def append_raw_log(spark, sf):
     return readers.read_preprints(spark, raw).select("item.id", "item.title")
 
 
+@query(FIRST + " WHERE seq % 2 <> 0")
+def build_preprint_table_returned(spark, sf):
+    """What a second run with a raw log returns: the rows that it appended."""
+    path, raw = scratch_path(spark, "preprints"), scratch_path(spark, "raw-log")
+    lines = X.preprint_lines(spark, sf)
+    plan.build_preprint_table(lines.filter(f"seq % 2 = 0 AND {ORIGINAL}"), path, raw)
+    return plan.build_preprint_table(lines, path, raw)
+
+
 @query(FIRST)
 def ingest_preprints_stream(spark, sf):
     """Three overlapping deliveries; the last one repeats everything and adds second versions."""

@@ -127,7 +127,7 @@ SYNONYMS = """(CASE WHEN p_partkey % 5 = 0 THEN [] ELSE
 RESPONSES = """resp AS (
   SELECT conv_id, turn, CAST((conv_id + turn) % 10 AS INTEGER) AS kind, 'Q ' || text AS q, text,
          CAST(conv_id AS VARCHAR) || '__' || CAST(turn AS VARCHAR) AS custom_id
-  FROM conversations WHERE role = 'assistant'),
+  FROM conversations),
 answered AS (
   SELECT *, CASE WHEN kind = 4 THEN 0 ELSE length(text) END AS completion_tokens,
          CASE kind WHEN 3 THEN NULL WHEN 4 THEN '' WHEN 5 THEN NULL WHEN 6 THEN '5' WHEN 9 THEN 'cut of' ELSE q END AS question

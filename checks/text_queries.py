@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as X
 from checks import sql as Q
 from checks.registry import query
+from passagemill.functions.common import compute_once
 from passagemill.functions import text as T
 from passagemill.operators import lm
 from passagemill.sources import readers
@@ -42,8 +43,8 @@ def normalize_text(spark, sf):
     SELECT doc_id, CAST({Q.words("text")} AS BIGINT) AS words FROM n WHERE {Q.words("text")} > 50"""
 )
 def min_words(spark, sf):
-    normal = X.dirty_text(spark, sf).select("doc_id", T.normalize_text(F.col("text")).alias("text"))
-    kept = normal.filter(T.min_words(F.col("text")))
+    normal = compute_once(X.dirty_text(spark, sf), normal=T.normalize_text(F.col("text")))
+    kept = normal.select("doc_id", F.col("normal").alias("text")).filter(T.min_words(F.col("text")))
     return kept.select("doc_id", T.word_count(F.col("text")).cast("bigint").alias("words"))
 
 
@@ -153,21 +154,35 @@ SCORED = f"WITH {Q.MODEL}, {Q.scores('documents', 'doc_id', 'text')} "
 @query(SCORED + "SELECT doc_id, round(score, 6) AS score FROM scores")
 def unigram_score(spark, sf):
     model = lm.unigram_model(X.unigram_counts(spark, sf))
-    scored = lm.unigram_score(X.table(spark, sf, "documents"), model, "text", ["doc_id"])
+    scored = lm.unigram_score(X.table(spark, sf, "documents"), model, "text")
     return scored.select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query(SCORED + "SELECT doc_id, round(score, 6) AS score FROM scores")
 def unigram_score_joined(spark, sf):
     model = lm.unigram_model(X.unigram_counts(spark, sf))
-    scored = lm.score_by_join(X.table(spark, sf, "documents"), model, "text", ["doc_id"])
+    scored = lm.score_by_join(X.table(spark, sf, "documents"), model, "text")
     return scored.select("doc_id", F.round("score", 6).alias("score"))
 
 
+@query(
+    SCORED
+    + """SELECT form, doc_id % 3 AS k, round(score, 6) AS score FROM scores,
+    (SELECT unnest(['in place', 'joined']) AS form)"""
+)
+def unigram_score_repeated_keys(spark, sf):
+    """Both forms score texts alike, whatever keys their rows have."""
+    model = lm.unigram_model(X.unigram_counts(spark, sf))
+    docs = X.table(spark, sf, "documents").select((F.col("doc_id") % 3).alias("k"), "text")
+    placed = lm.unigram_score(docs, model, "text").withColumn("form", F.lit("in place"))
+    joined = lm.score_by_join(docs, model, "text").withColumn("form", F.lit("joined"))
+    return placed.unionByName(joined).select("form", "k", F.round("score", 6).alias("score"))
+
+
 @query(SCORED + "SELECT doc_id FROM scores WHERE round(score, 9) > -6.31")
 def min_unigram_score(spark, sf):
     model = lm.unigram_model(X.unigram_counts(spark, sf))
-    scored = lm.unigram_score(X.table(spark, sf, "documents"), model, "text", ["doc_id"])
+    scored = lm.unigram_score(X.table(spark, sf, "documents"), model, "text")
     return lm.min_unigram_score(scored, threshold=-6.31).select("doc_id")
 
 

@@ -11,8 +11,6 @@ FOOTER_PATTERN = (
 )
 FOOTER_MARKER = "ORCID:"  # occurs in every match of the footer pattern
 SPACE_PATTERN = r"(?U)[\s\x1c-\x1f]+"
-# A character outside these ranges; text within them alone is in NFC already.
-NFC_CANDIDATE = r"[^\u0000-\u02FF\u2010-\u2027\u2030-\u205E\u4E00-\u9FFF]"
 EDGE_SPACE_PATTERN = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 # Paragraph filters: strictly more words, strictly higher mean log2 probability.
@@ -73,9 +71,12 @@ CSV_MISSING = (
 
 # --- Our own limits -----------------------------------------------------------------------------
 
-# A word model is broadcast only up to this many rows (about 60 MB of words and doubles).
+# A word model is broadcast only up to this many rows and bytes of words and doubles.
 BROADCAST_MODEL_ROWS = 2_000_000
+BROADCAST_MODEL_BYTES = 64 << 20
 # Exact samples up to this size use one top-k pass; larger ones use counted hash prefixes.
 TOP_K_ROWS = 100_000
-# Rows per numbering block and per array chunk, so that one hot document spreads over tasks.
+# Answers that a task holds back before it hands them on.
+CALLS_PER_BATCH = 64
+# Rows per numbering block, so that one hot document spreads over tasks.
 BLOCK_ROWS = 100_000

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from passagemill import constants as C
-from passagemill.functions.common import bind, run_once
+from passagemill.functions.common import bind
 
 
 def _nfc_udf():
@@ -22,15 +22,16 @@ def _nfc_udf():
         done = [None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()]
         return pa.array(done, pa.string())
 
-    return run_once(to_nfc)
+    return to_nfc
 
 
 def nfc(col: Column) -> Column:
-    """Unicode NFC. Only texts with a character that NFC could touch travel to a Python worker.
+    """Unicode NFC. Only texts with a character beyond ASCII travel to a Python worker.
 
-    (Arrow's own ``utf8_normalize`` gives the decomposed form for "NFC", so it is not used.)
+    (Arrow's own ``utf8_normalize`` gives the decomposed form for "NFC", so it is not used.) Put
+    the column into ``compute_once`` where filters on it follow.
     """
-    return F.coalesce(_nfc_udf()(F.when(col.rlike(C.NFC_CANDIDATE), col)), col)
+    return F.coalesce(_nfc_udf()(F.when(F.octet_length(col) != F.length(col), col)), col)
 
 
 def strip_urls(col: Column) -> Column:

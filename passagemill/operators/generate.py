@@ -64,12 +64,14 @@ def generate(
                 if cooldown:
                     time.sleep(cooldown)
 
-        for batch in batches:
-            rows = [call(t) for t in batch.column(prompt).to_pylist()]
-            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *columns], names=[*batch.schema.names, *names]
-            )
+        for whole in batches:
+            for first in range(0, whole.num_rows, C.CALLS_PER_BATCH):
+                batch = whole.slice(first, C.CALLS_PER_BATCH)
+                rows = [call(t) for t in batch.column(prompt).to_pylist()]
+                columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, *columns], names=[*batch.schema.names, *names]
+                )
 
     schema = T.StructType([*df.schema.fields, *T.StructType.fromDDL(_CALL).fields])
     return df.mapInArrow(run, schema)
@@ -114,6 +116,18 @@ def one_per_key(cache: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     return best.select("_r.*")
 
 
+def settled(cache: DataFrame, id_cols: Sequence[str]) -> DataFrame:
+    """The cache without failures that a later call made good, and one row per open failure.
+
+    Answered rows pass untouched; only failed rows, which are few, are compared with them.
+    """
+    good, bad = cache.filter(F.col("error").isNull()), cache.filter(F.col("error").isNotNull())
+    names = [f"_k{i}" for i in range(len(id_cols))]
+    key = [F.col(f"raw.{c}").alias(n) for c, n in zip(id_cols, names)]
+    open_ = bad.select("*", *key).join(good.select(*key).distinct(), names, "left_anti").drop(*names)
+    return good.unionByName(one_per_key(open_, id_cols))
+
+
 def generation_telemetry(cache: DataFrame) -> DataFrame:
     """Calls, tokens, latency and failures per day."""
     return cache.groupBy(F.substring("date", 1, 10).alias("day")).agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from passagemill import constants as C
 from passagemill.functions.common import explode_rows, run_once
 from passagemill.functions.text import tokenize
+from passagemill.sources.scratch import stored
 
 _SALTS = 32
 
@@ -31,9 +32,12 @@ def unigram_model(counts: DataFrame) -> DataFrame:
     return known.unionByName(unknown)
 
 
-def fits_broadcast(model: DataFrame, rows: int = C.BROADCAST_MODEL_ROWS) -> bool:
-    """Size check before a model is sent to every executor; counts at most ``rows + 1`` rows."""
-    return model.limit(rows + 1).count() <= rows
+def fits_broadcast(
+    model: DataFrame, rows: int = C.BROADCAST_MODEL_ROWS, size: int = C.BROADCAST_MODEL_BYTES
+) -> bool:
+    """Check of rows and bytes before a model is sent to every executor."""
+    found = model.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("word") + 8).alias("b")).first()
+    return found["n"] <= rows and (found["b"] or 0) <= size
 
 
 def _unknown_logp(model: DataFrame) -> Column:
@@ -57,21 +61,23 @@ def lookup_logp(tokens: DataFrame, model: DataFrame, word: str = "word") -> Data
     return joined.select(*tokens.columns, F.coalesce("_lp", _unknown_logp(model)).alias("logp"))
 
 
-def score_by_join(
-    df: DataFrame, model: DataFrame, text: str, key: Sequence[str], out: str = "score"
-) -> DataFrame:
+def score_by_join(df: DataFrame, model: DataFrame, text: str, out: str = "score") -> DataFrame:
     """Mean log2 probability per row by joins alone, for models of any size.
 
-    Words are counted per row before the look-up, so a frequent word is one row per paragraph.
+    A score depends on the text alone, so texts are named by two hashes of themselves, whatever
+    keys the rows have; texts that occur several times have the same mean. Words are counted per
+    text before the look-up, so a frequent word is one row per text.
     """
-    words = explode_rows(df, key, tokenize(F.col(text)), "word")
+    key = ["_t1", "_t2"]
+    named = df.withColumns({"_t1": F.xxhash64(text), "_t2": F.xxhash64(F.lit(7), F.col(text))})
+    words = explode_rows(named, key, tokenize(F.col(text)), "word")
     counted = words.groupBy(*key, "word").agg(F.count(F.lit(1)).alias("_n"))
     scores = (
         lookup_logp(counted, model)
         .groupBy(*key)
         .agg((F.sum(F.col("_n") * F.col("logp")) / F.sum("_n")).alias(out))
     )
-    joined = df.join(scores, list(key), "left")
+    joined = named.join(scores, key, "left")
     return joined.select(*df.columns, F.coalesce(out, F.lit(0.0)).alias(out))
 
 
@@ -79,30 +85,37 @@ def model_scorer(model: DataFrame, nested: bool = False):
     """Vectorised scorer of token arrays (or arrays of them) against a broadcast model.
 
     Rows are scored where they are, so no text is shuffled. The caller has checked the size of
-    the model with :func:`fits_broadcast`.
+    the model with :func:`fits_broadcast`. A worker builds its index of the words once; after that
+    a batch costs its own different words, however large the model is.
     """
     table = model.toArrow()
-    shared = model.sparkSession.sparkContext.broadcast(table)
+    shared = model.sparkSession.sparkContext.broadcast({"table": table})
     unknown = C.UNKNOWN_WORD
 
     @F.arrow_udf("array<double>" if nested else "double")
     def mean_logp(tokens):
         import numpy as np
+        import pandas as pd
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        words = shared.value.column("word").combine_chunks()
-        logp = shared.value.column("logp").to_numpy()
-        fallback = pc.index(words, unknown).as_py()
+        held = shared.value  # one object per worker process
+        if "index" not in held:
+            held["index"] = pd.Index(held["table"].column("word").to_pandas())
+            held["logp"] = held["table"].column("logp").to_numpy()
+            held["fallback"] = held["index"].get_loc(unknown)
+        logp = held["logp"]
 
         def sizes(lists):
             return pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
 
         def means(lists):
             n = sizes(lists)
-            at = pc.fill_null(pc.index_in(lists.flatten(), value_set=words), fallback)
+            coded = lists.flatten().dictionary_encode()
+            at = held["index"].get_indexer(coded.dictionary.to_pandas())
+            value = logp[np.where(at < 0, held["fallback"], at)]
             row = np.repeat(np.arange(len(n)), n)
-            sums = np.bincount(row, weights=logp[at.to_numpy()], minlength=len(n))
+            sums = np.bincount(row, weights=value[coded.indices.to_numpy()], minlength=len(n))
             return sums / np.maximum(n, 1)
 
         if not nested:
@@ -113,16 +126,17 @@ def model_scorer(model: DataFrame, nested: bool = False):
     return run_once(mean_logp)
 
 
-def unigram_score(
-    df: DataFrame, model: DataFrame, text: str, key: Sequence[str], out: str = "score"
-) -> DataFrame:
+def unigram_score(df: DataFrame, model: DataFrame, text: str, out: str = "score") -> DataFrame:
     """Mean log2 probability of the tokens of each text; 0 for a text without tokens.
 
-    Within the checked model size rows are scored in place; beyond it the join form is used.
+    Within the checked model size rows are scored in place; beyond it the join form is used,
+    which gives the same scores. The model is written to the shared folder first, as it is read
+    several times.
     """
+    model = stored(model, "word-model")
     if fits_broadcast(model):
         return df.withColumn(out, model_scorer(model)(tokenize(F.col(text))))
-    return score_by_join(df, model, text, key, out)
+    return score_by_join(df, model, text, out)
 
 
 def score_passes(score: Column, threshold: float = C.MIN_SCORE) -> Column:

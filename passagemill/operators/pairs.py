@@ -15,7 +15,7 @@ from passagemill import schemas as S
 from passagemill.functions.answers import json_question
 from passagemill.functions.common import compute_once
 from passagemill.functions.text import count_tokens, split_custom_id
-from passagemill.sources.readers import drop_malformed, parse_lines
+from passagemill.sources.readers import drop_malformed, is_malformed, parse_lines
 
 
 def request_line(
@@ -97,6 +97,39 @@ def parsed_responses(lines: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     return answered.select(*split_custom_id(F.col("custom_id"), id_cols), "generated_query")
 
 
+def judged_responses(
+    lines: DataFrame, source: DataFrame, id_cols: Sequence[str]
+) -> DataFrame:
+    """``(value, id columns, generated_query, reason)`` of every response line, parsed once.
+
+    ``reason`` is null for a line that gives pairs, else the first of: malformed, no choice, id does
+    not fit, no question, no passage.
+    """
+    parsed = parse_lines(lines, S.RESPONSE_LINE)
+    choices = F.coalesce(F.col("j.response.body.choices"), F.array())
+    content = F.coalesce(F.get(choices, F.lit(0))["message"]["content"], F.lit(""))
+    rows = parsed.select(
+        "value",
+        is_malformed("j").alias("_bad"),
+        F.when(F.size(choices) > 0, content).alias("_content"),
+        *split_custom_id(F.coalesce("j.custom_id", F.lit("")), id_cols),
+    )
+    answered = compute_once(rows, generated_query=json_question(F.col("_content")))
+    cast = cast_ids(answered, source.schema, id_cols)
+    unfit = F.lit(False)
+    for name in id_cols:
+        unfit = unfit | F.col(name).isNull()
+    known = source.select(*id_cols).distinct().withColumn("_known", F.lit(True))
+    reason = (
+        F.when(F.col("_bad"), "malformed")
+        .when(F.col("_content").isNull(), "no choice")
+        .when(unfit, "id does not fit")
+        .when(F.col("generated_query").isNull(), "no question")
+        .when(F.col("_known").isNull(), "no passage")
+    )
+    return cast.join(known, list(id_cols), "left").select("value", *id_cols, "generated_query", reason.alias("reason"))
+
+
 def cast_ids(df: DataFrame, schema: T.StructType, id_cols: Sequence[str]) -> DataFrame:
     """Give text ids the source's types; a text that does not fit becomes null."""
     types = {f.name: f.dataType for f in schema.fields}

@@ -9,9 +9,6 @@ from passagemill import constants as C
 from passagemill.functions.common import run_once
 from passagemill.operators.work import number_in_group
 
-# Paragraphs per array row, so that one hot document never becomes one huge row.
-ARRAY_ROWS = 10_000
-
 
 def tei_divisions(
     content: Column,
@@ -120,26 +117,22 @@ def number_paragraphs(df: DataFrame, document: str = "path", position: str = "po
     return number_in_group(df, [document], position)
 
 
-def document_arrays(df: DataFrame, doc: str = "id", chunk_rows: int = ARRAY_ROWS) -> DataFrame:
-    """``(id, chunk, paragraphs)``: paragraphs in order, at most ``chunk_rows`` per row."""
-    chunk = F.floor(F.col("idx") / F.lit(chunk_rows)).cast("int").alias("chunk")
+def document_arrays(df: DataFrame, doc: str = "id", file: str = "path") -> DataFrame:
+    """``(path, id, paragraphs)``: one row per file, its paragraphs in order.
+
+    Files that share an id stay apart. A file was one row before its paragraphs were spread, so
+    its array is bounded as well.
+    """
     pairs = F.array_sort(F.collect_list(F.struct("idx", "paragraph")))
-    return df.groupBy(doc, chunk).agg(F.transform(pairs, lambda p: p["paragraph"]).alias("paragraphs"))
-
-
-def all_document_arrays(documents: DataFrame, df: DataFrame, doc: str = "id") -> DataFrame:
-    """Like :func:`document_arrays`, with an empty array for documents without paragraphs."""
-    arrays = document_arrays(df, doc)
-    return (
-        documents.select(doc)
-        .distinct()
-        .join(arrays, doc, "left")
-        .select(
-            doc,
-            F.coalesce("chunk", F.lit(0)).alias("chunk"),
-            F.coalesce("paragraphs", F.array().cast("array<string>")).alias("paragraphs"),
-        )
-    )
+    names = [] if doc == file else [F.first(doc).alias(doc)]
+    return df.groupBy(file).agg(*names, F.transform(pairs, lambda p: p["paragraph"]).alias("paragraphs"))
+
+
+def all_document_arrays(documents: DataFrame, df: DataFrame, doc: str = "id", file: str = "path") -> DataFrame:
+    """Like :func:`document_arrays`, with an empty array for files without paragraphs."""
+    arrays = document_arrays(df, doc, file).select(file, "paragraphs")
+    found = documents.select(*dict.fromkeys([file, doc])).dropDuplicates([file]).join(arrays, file, "left")
+    return found.withColumn("paragraphs", F.coalesce("paragraphs", F.array().cast("array<string>")))
 
 
 def corpus_stats(arrays: DataFrame) -> DataFrame:

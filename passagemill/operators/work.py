@@ -225,7 +225,8 @@ def sample_ids(
     """Distinct ids of an exact, repeatable, uniform sample without replacement.
 
     Returns None when no sampling is asked for, that is without a seed or without a size and
-    fraction. ``size`` goes before ``frac``, which gives ``max(1, int(rows * frac))``.
+    fraction. ``size`` goes before ``frac``, which gives ``max(1, int(rows * frac))``. Repeated ids
+    count once; a sample of more ids than there are is an error.
     """
     if seed is None or not (size or frac):
         return None
@@ -241,6 +242,8 @@ def sample_ids(
     ranked = hashed.filter(F.col("_h") < format(int(cut * 0xFFFFFFFF), "08x")).distinct()
     if cut == 1.0 or ranked.count() < k:
         ranked = hashed.distinct()
+        if (found := ranked.count()) < k:
+            raise ValueError(f"cannot sample {k} of {found} different ids")
     return _smallest(ranked, ["_h", *id_cols], k).select(*id_cols)
 
 

@@ -23,6 +23,8 @@ def build_compound_tables(
     flat = stored(P.compounds_table(records, P.described(F.col("Record")).alias("described")), "compounds")
     compounds = flat.drop("described")
     descriptions = P.only_matched(P.explode_described(flat), strict)
+    if strict:
+        descriptions.write.format("noop").mode("overwrite").save()  # raises before anything is appended
     if compounds_path:
         sinks.append_table(compounds, compounds_path, ["CID"])
     if descriptions_path:

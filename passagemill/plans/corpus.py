@@ -40,6 +40,7 @@ def paragraph_arrays(
         F.when(F.col("all").isNotNull(), F.size("all")).alias("n_found"),
         F.filter("all", lambda p: min_words(p, words)).alias("long"),
     )
+    model = stored(model, "word-model")
     if lm.fits_broadcast(model):
         scores = lm.model_scorer(model, nested=True)(F.transform("long", tokenize))
         pairs = F.zip_with("long", "_s", lambda p, s: F.struct(p.alias("p"), s.alias("s")))
@@ -47,8 +48,9 @@ def paragraph_arrays(
         scored = long.withColumn("_s", scores)
         result = scored.withColumn("paragraphs", F.transform(kept, lambda z: z["p"]))
     else:
+        long = stored(long, "long-paragraphs")  # read three times below; the XML is walked once
         rows = long.select("path", F.posexplode("long").alias("pos", "p"))
-        scored = lm.score_by_join(rows, model, "p", ["path", "pos"])
+        scored = lm.score_by_join(rows, model, "p")
         kept = lm.min_unigram_score(scored, threshold=score).groupBy("path").agg(
             F.array_sort(F.collect_list(F.struct("pos", "p"))).alias("z")
         )  # bounded by one document, which was one row to begin with

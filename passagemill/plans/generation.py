@@ -14,6 +14,7 @@ from passagemill.operators import generate as G
 from passagemill.operators.work import persisted_sample, sample_rows, skip_processed
 from passagemill.sources import sinks
 from passagemill.sources.readers import existing_table, require_columns
+from passagemill.sources.scratch import stored
 
 
 def cache_schema(passages: DataFrame, answer: T.StructType) -> T.StructType:
@@ -65,32 +66,34 @@ def run_generation(
     style: str = "tool_use",
     workers: int | None = None,
     cooldown: float = 0.0,
-    rounds: int = 1,
+    rounds: int = 4,
     retry_errors: bool = False,
     path: str | None = None,
 ) -> DataFrame:
     """Generate for every passage not cached yet, append to the cache, return the final table.
 
-    Each round is one commit, so a failed run loses at most one round of calls. The final table
-    covers the whole cache, also rows outside the current sample; ``path`` writes it as CSV.
+    Each round is one commit, so a failed run loses at most one round of calls. What is left to do
+    is worked out once and written to the shared folder. Passages with a null id or text cannot
+    be asked about and are left out. The final table covers the whole cache, also rows outside
+    the current sample, without failures that a retry made good; ``path`` writes it as CSV.
     """
     require_columns(passages, [*id_cols, text])
+    passages = passages.na.drop(subset=[*id_cols, text])
     answer = S.answer_schema(answer)
     if sample_path:
         passages = persisted_sample(passages, id_cols, sample_path, seed, size, frac)
     else:
         passages = sample_rows(passages, id_cols, seed, size, frac)
     spark, schema = passages.sparkSession, cache_schema(passages, answer)
+    cache = existing_table(spark, cache_path, schema)
+    todo = passages if cache is None else skip_processed(passages, cache, id_cols, retry_errors)
+    todo = stored(todo, "to-do") if rounds > 1 else todo
     for number in range(rounds):
-        part = passages
-        if rounds > 1:
-            part = passages.filter(F.pmod(F.xxhash64(*id_cols), F.lit(rounds)) == number)
-        cache = existing_table(spark, cache_path, schema)
-        todo = part if cache is None else skip_processed(part, cache, id_cols, retry_errors)
-        fresh = generated(todo, text, template, client_factory, answer, style, workers, cooldown)
+        part = todo.filter(F.pmod(F.xxhash64(*id_cols), F.lit(rounds)) == number) if rounds > 1 else todo
+        fresh = generated(part, text, template, client_factory, answer, style, workers, cooldown)
         sinks.append_results(fresh, cache_path)
     cache = spark.read.schema(schema).parquet(cache_path)
-    final = G.final_projection(cache, id_cols, text)
+    final = G.final_projection(G.settled(cache, [*id_cols, text]), id_cols, text)
     if path:
         sinks.write_csv(final, path)
     return final

@@ -14,6 +14,7 @@ from passagemill.operators import pairs as P
 from passagemill.operators.work import assign_shards
 from passagemill.sources import sinks
 from passagemill.sources.readers import require_columns
+from passagemill.sources.scratch import stored
 
 
 def build_requests(
@@ -58,10 +59,24 @@ def build_training_pairs(
     id_cols: Sequence[str],
     path: str | None = None,
     counted: Observation | None = None,
+    rejects_path: str | None = None,
+    drop_blank: bool = False,
 ) -> DataFrame:
-    """The passages with their ``generated_query``; incomplete rows are dropped and counted."""
-    responses = P.parsed_responses(lines, id_cols)
-    pairs = P.drop_incomplete(P.attach_questions(source, responses, id_cols), counted)
+    """The passages with their ``generated_query``; incomplete rows are dropped and counted.
+
+    ``rejects_path`` appends every response line that gives no pair, with the reason. An empty
+    question is kept unless ``drop_blank``.
+    """
+    if rejects_path:
+        judged = stored(P.judged_responses(lines, source, id_cols), "responses")
+        judged.filter("reason is not null").select("value", "reason").write.mode("append").parquet(rejects_path)
+        usable = judged.filter("reason is null").select(*id_cols, "generated_query")
+        joined = source.join(usable, list(id_cols))
+    else:
+        joined = P.attach_questions(source, P.parsed_responses(lines, id_cols), id_cols)
+    pairs = P.drop_incomplete(joined, counted)
+    if drop_blank:
+        pairs = pairs.filter(F.trim("generated_query") != "")
     if path:
         sinks.write_csv(pairs, path)
     return pairs

@@ -2,41 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from passagemill import schemas as S
 from passagemill.operators.preprints import project_preprints
 from passagemill.operators.work import distinct_by_key, has_id, skip_existing_ids
 from passagemill.sources import sinks
-from passagemill.sources.readers import existing_table, parse_preprints
+from passagemill.sources.readers import existing_table, malformed, parse_lines, parse_preprints
+from passagemill.sources.scratch import stored
 
 
-def first_preprints(lines: DataFrame, keep_line: bool = False) -> DataFrame:
-    """The table's columns, from the first well-formed line of every id.
+def first_preprints(lines: DataFrame, keep_line: bool = False, known: DataFrame | None = None) -> DataFrame:
+    """The table's columns, from the first well-formed line of every id that ``known`` does not hold.
 
     Lines are parsed once and projected before the shuffle; the line itself travels along only
-    for the raw log.
+    for the raw log. Known ids go first, so that rows of stored preprints are not sorted or
+    compared; both steps deal rows by id, so they share one shuffle.
     """
     hits = parse_preprints(lines).filter(has_id("item.id"))
     rows = project_preprints(hits, keep=["seq", *(["value"] if keep_line else [])])
+    if known is not None:
+        rows = skip_existing_ids(rows, known, ["id"], few_new=True)
     return distinct_by_key(rows, ["id"], "seq").drop("seq")
 
 
+def preprint_rejects(lines: DataFrame) -> DataFrame:
+    """``(value, reason)`` of lines that cannot become a row: not readable, or without an id."""
+    broken = malformed(parse_lines(lines, S.PREPRINT_HIT)).select("value", F.lit("malformed").alias("reason"))
+    without = parse_preprints(lines).filter(~has_id("item.id"))
+    return broken.unionByName(without.select("value", F.lit("no id").alias("reason")))
+
+
 def build_preprint_table(lines: DataFrame, path: str, raw_path: str | None = None) -> DataFrame:
     """Append new preprints to the table at ``path`` and their lines to the raw log.
 
-    Only preprints whose id is not stored are appended, so repeating a run adds nothing.
-    Returns the appended rows.
+    Only preprints whose id is not stored are appended, so repeating a run adds nothing. New rows
+    are written to the shared folder once; both outputs and the returned rows are read from there.
     """
-    new = first_preprints(lines, keep_line=raw_path is not None)
+    schema = first_preprints(lines).schema
+    known = existing_table(lines.sparkSession, path, schema)
+    new = stored(first_preprints(lines, raw_path is not None, known), "preprints")
     table = new.drop("value")
-    target = existing_table(lines.sparkSession, path, table.schema)
-    if target is not None:
-        new = skip_existing_ids(new, target, ["id"], few_new=True)
-        table = new.drop("value")
     if raw_path:
-        new.persist(StorageLevel.DISK_ONLY)  # read by both outputs; a lost part is recomputed
         sinks.append_raw_log(new, raw_path)
     table.write.mode("append").parquet(path)
-    new.unpersist()
     return table

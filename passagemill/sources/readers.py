@@ -37,17 +37,17 @@ def parse_lines(lines: DataFrame, schema: str, col: str = "value") -> DataFrame:
     return compute_once(lines, j=parsed)
 
 
-def _malformed(col: str):
+def is_malformed(col: str):
     return F.col("j").isNull() | F.col(f"j.{S.CORRUPT}").isNotNull()
 
 
 def drop_malformed(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(~_malformed("j"))
+    return parsed.filter(~is_malformed("j"))
 
 
 def malformed(parsed: DataFrame) -> DataFrame:
     """The rejected lines, for a side table."""
-    return parsed.filter(_malformed("j")).drop("j")
+    return parsed.filter(is_malformed("j")).drop("j")
 
 
 def parse_preprints(lines: DataFrame, col: str = "value") -> DataFrame:

@@ -8,15 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from passagemill.operators.work import skip_existing_ids
+from passagemill.operators.work import distinct_by_key, skip_existing_ids
 from passagemill.sources.readers import existing_table
 
 
-def append_table(df: DataFrame, path: str, key: Sequence[str]) -> None:
-    """Append rows whose key is not stored yet. ``df`` itself must be unique on the key."""
+def append_table(df: DataFrame, path: str, key: Sequence[str]) -> DataFrame:
+    """Append rows whose key is not stored yet, one per key; returns the rejects, rows with a null key.
+
+    Of rows that share a key the one of least row hash is taken, so repeating a batch adds nothing.
+    """
     target = existing_table(df.sparkSession, path, df.schema)
-    new = df if target is None else skip_existing_ids(df, target, key, few_new=True)
+    usable = df.na.drop(subset=list(key))
+    new = usable if target is None else skip_existing_ids(usable, target, key, few_new=True)
+    if set(df.columns) != set(key):
+        plain = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        new = distinct_by_key(new.withColumn("_order", F.xxhash64(*plain)), key, "_order").drop("_order")
+    else:
+        new = new.distinct()
     new.write.mode("append").parquet(path)
+    return df.filter(~F.expr(" and ".join(f"`{c}` is not null" for c in key)))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -35,7 +45,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_document_arrays(df: DataFrame, path: str) -> None:
-    """One JSON line per document chunk: ``{id, chunk, paragraphs}``."""
+    """One JSON line per file: ``{id, paragraphs}``."""
     df.write.mode("overwrite").json(path)
 
 

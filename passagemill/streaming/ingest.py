@@ -85,11 +85,15 @@ def generate_stream(
     style: str = "tool_use",
     workers: int | None = None,
 ) -> StreamingQuery:
-    """Send passages of new files to the generator unless their id is cached already."""
+    """Send passages of new files to the generator unless their id is cached already.
+
+    As in the batch job, passages with a null id or text are left out, and all passages of a new
+    id are sent.
+    """
     schema = cache_schema(source, answer)
 
     def append(batch: DataFrame, _: int) -> None:
-        passages = batch.dropDuplicates(list(id_cols))
+        passages = batch.na.drop(subset=[*id_cols, text])
         cache = existing_table(batch.sparkSession, cache_path, schema)
         todo = passages if cache is None else skip_processed(passages, cache, id_cols)
         sinks.append_results(generated(todo, text, template, client_factory, answer, style, workers), cache_path)

@@ -134,6 +134,7 @@ def test_generation_resumes(spark, passages, tmp_path):
     assert len(list(tmp_path.iterdir())) == 3  # nothing was asked twice, not even the failure
     result = generation.run_generation(passages, *args, retry_errors=True)
     assert len(list(tmp_path.iterdir())) == 4
+    assert sorted(r.id for r in result.collect()) == [1, 2, 3]
     rows = spark.read.parquet(cache)
     assert rows.count() == 4 and G.one_per_key(rows, ["id"]).count() == 3
     good = rows.filter("raw.id = 1").first()
@@ -144,6 +145,51 @@ def test_generation_resumes(spark, passages, tmp_path):
     ]
 
 
+def test_generation_after_a_retry_and_without_nulls(spark, tmp_path):
+    """A failure that a retry made good is gone from the final table; nulls are never sent."""
+    folder = str(tmp_path)
+
+    def factory():
+        def client(prompt):
+            import os
+
+            assert prompt is not None
+            name = os.path.join(folder, prompt.replace(" ", "_"))
+            if "bad" in prompt and not os.path.exists(name):
+                open(name, "w").close()
+                raise ValueError("no answer")
+            return {"content": '{"question": "Q %s"}' % prompt, "latency": 1.0}
+
+        return client
+
+    cache = scratch_path(spark, "cache")
+    rows = [(1, "one"), (2, "bad two"), (None, "no id"), (4, None), (5, "five"), (5, "five again")]
+    passages = spark.createDataFrame(rows, "id BIGINT, text STRING")
+    args = (["id"], "text", "{text}", factory, cache)
+    first = set(map(tuple, generation.run_generation(passages, *args).collect()))
+    good = {(1, "one", "Q one"), (5, "five", "Q five"), (5, "five again", "Q five again")}
+    assert first == good | {(2, "bad two", None)}
+    second = generation.run_generation(passages, *args, retry_errors=True).collect()
+    assert len(second) == 4 and set(map(tuple, second)) == good | {(2, "bad two", "Q bad two")}
+
+
+def test_rejects_name_every_unused_response(spark):
+    def line(key, content):
+        return json.dumps({"custom_id": key, "response": {"body": {"choices": [{"message": {"content": content}}]}}})
+
+    rows = [line("1", '{"question": "Q"}'), line("x", '{"question": "Q"}'), line("9", '{"question": "Q"}'), line("2", '{"question": null}')]
+    rows += [json.dumps({"custom_id": "1", "response": {"body": {"choices": []}}}), rows[0][:20], line("2", '{"question": " "}')]
+    source = spark.createDataFrame([(1, "one"), (2, "two")], "id BIGINT, text STRING")
+    lines = spark.createDataFrame([(r,) for r in rows], "value STRING")
+    path = scratch_path(spark, "rejects")
+    made = pairs.build_training_pairs(source, lines, ["id"], rejects_path=path, drop_blank=True)
+    assert [tuple(r) for r in made.collect()] == [(1, "one", "Q")]
+    found = {r.value: r.reason for r in spark.read.parquet(path).collect()}
+    assert [found.get(r) for r in rows] == [
+        None, "id does not fit", "no passage", "no question", "no choice", "malformed", None,
+    ]
+
+
 def test_generation_over_a_stored_sample(spark, passages, tmp_path):
     cache, sample = scratch_path(spark, "cache"), scratch_path(spark, "sample")
     args = (["id"], "text", "{text}", failing_twice_factory(str(tmp_path)), cache)

@@ -86,15 +86,14 @@ def test_numbering_rejects_null_groups(spark):
         work.number_in_group(df, ["path"], "pos").collect()
 
 
-def test_document_arrays_are_chunked(spark):
-    df = spark.createDataFrame([("a", i, str(i)) for i in range(5)], "id STRING, idx INT, paragraph STRING")
-    docs = spark.createDataFrame([("a",), ("b",)], "id STRING")
-    assert [r.paragraphs for r in P.document_arrays(df, chunk_rows=2).orderBy("chunk").collect()] == [
-        ["0", "1"], ["2", "3"], ["4"],
-    ]
-    assert {(r.id, tuple(r.paragraphs)) for r in P.all_document_arrays(docs, df).collect()} == {
-        ("a", ("0", "1", "2", "3", "4")),
-        ("b", ()),
+def test_document_arrays_are_one_row_per_file(spark):
+    rows = [(f, "a", i, f"{f}p{i}") for f in ("f1", "f2") for i in range(12)]
+    df = spark.createDataFrame(rows, "path STRING, id STRING, idx INT, paragraph STRING")
+    docs = spark.createDataFrame([("f1", "a"), ("f2", "a"), ("f3", "b")], "path STRING, id STRING")
+    assert {(r.path, r.id, tuple(r.paragraphs)) for r in P.all_document_arrays(docs, df).collect()} == {
+        ("f1", "a", tuple(f"f1p{i}" for i in range(12))),
+        ("f2", "a", tuple(f"f2p{i}" for i in range(12))),
+        ("f3", "b", ()),
     }
 
 
@@ -117,7 +116,7 @@ def test_model(model):
 def test_scores_with_small_and_large_models(spark, model, monkeypatch, bound):
     monkeypatch.setattr(lm, "fits_broadcast", lambda m: bound > 0)
     df = spark.createDataFrame([(1, "The cat"), (2, "dog"), (3, ""), (4, "The the the cat dog")], "k INT, t STRING")
-    got = {r.k: r.score for r in lm.unigram_score(df, model, "t", ["k"]).collect()}
+    got = {r.k: r.score for r in lm.unigram_score(df, model, "t").collect()}
     p = dict(model.collect())
     expected = {
         1: (p["the"] + p["cat"]) / 2,
@@ -128,6 +127,20 @@ def test_scores_with_small_and_large_models(spark, model, monkeypatch, bound):
     assert got == {k: pytest.approx(v) for k, v in expected.items()}
 
 
+@pytest.mark.parametrize("bound", [10, 0])
+def test_scores_do_not_depend_on_keys(spark, model, monkeypatch, bound):
+    monkeypatch.setattr(lm, "fits_broadcast", lambda m: bound > 0)
+    df = spark.createDataFrame([(2, "the"), (2, "dog cat"), (None, "dog"), (None, None), (2, "the")], "k INT, t STRING")
+    p = dict(model.collect())
+    got = sorted(r.score for r in lm.unigram_score(df, model, "t").collect())
+    want = sorted([p["the"], p["the"], (p["<unk>"] + p["cat"]) / 2, p["<unk>"], 0.0])
+    assert got == pytest.approx(want)
+
+
+def test_model_is_measured_in_rows_and_bytes(spark, model):
+    assert lm.fits_broadcast(model) and not lm.fits_broadcast(model, rows=2) and not lm.fits_broadcast(model, size=20)
+
+
 def test_threshold_is_strict(spark):
     df = spark.createDataFrame([(-20.0,), (-19.999,), (None,), (-20.0 + 1e-13,)], "score DOUBLE")
     assert lm.min_unigram_score(df).count() == 2

@@ -115,6 +115,19 @@ def test_preprint_job_twice(spark):
     assert sorted(r.value for r in spark.read.text(raw).collect()) == sorted(LINES[:2])
 
 
+def test_preprint_job_returns_what_it_appends(spark):
+    path, raw = scratch_path(spark, "p"), scratch_path(spark, "raw")
+    one = lines(spark)
+    more = spark.createDataFrame([(json.dumps({"item": {"id": "z", "title": "new"}}), 0)], "value STRING, seq INT")
+    preprint_plan.build_preprint_table(one, path, raw)
+    returned = preprint_plan.build_preprint_table(one.unionByName(more), path, raw)
+    assert [r.id for r in returned.collect()] == ["z"]
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == ["a", "b", "z"]
+    assert spark.read.text(raw).count() == 3
+    reasons = sorted(r.reason for r in preprint_plan.preprint_rejects(one).collect())
+    assert reasons.count("malformed") == 3
+
+
 def test_preprint_stream_twice(spark):
     folder, path, marks = (scratch_path(spark, n) for n in ("log", "table", "marks"))
     counts = []

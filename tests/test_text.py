@@ -2,13 +2,14 @@ import re
 import unicodedata
 
 import pytest
+from conftest import plan_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import SparkRuntimeException  # noqa: F401
 from pyspark.sql import functions as F
 
-from passagemill import constants as C
 from passagemill.functions import text as T
+from passagemill.functions.common import compute_once
 
 FOOTER = " ORCID: 0000-0001 {} Content not peer-reviewed by ChemRxiv. License: CC BY-NC-ND 4.0"
 
@@ -33,15 +34,15 @@ def test_footer(one):
 
 def test_nfc_and_its_shortcut(one):
     assert one(T.nfc, "e\u0301", "\u212b", "plain", None) == ["\u00e9", "\u00c5", "plain", None]
-    ranges = re.findall(r"\\u(\w{4})-\\u(\w{4})", C.NFC_CANDIDATE)
-    inert = {c for a, b in ranges for c in range(int(a, 16), int(b, 16) + 1)}
-    assert all(unicodedata.is_normalized("NFC", chr(c)) and not unicodedata.combining(chr(c)) for c in inert)
-    seconds = set()
-    for c in range(0x110000):
-        parts = unicodedata.decomposition(chr(c)).split()
-        if len(parts) == 2 and not parts[0].startswith("<"):
-            seconds.add(int(parts[1], 16))
-    assert not inert & seconds
+    assert unicodedata.is_normalized("NFC", "".join(map(chr, range(128))))
+
+
+def test_filters_pass_a_normalised_column(spark, tmp_path):
+    """One evaluation of the UDF, and a filter on another column reaches the scan."""
+    spark.createDataFrame([("en", "a"), ("de", "b")], "lang STRING, text STRING").write.parquet(f"{tmp_path}/t")
+    df = compute_once(spark.read.parquet(f"{tmp_path}/t"), clean=T.normalize_text(F.col("text")))
+    plan = plan_of(df.filter("lang = 'en' and length(clean) > 0"))
+    assert "EqualTo(lang,en)" in plan and plan.count("ArrowEvalPython") == 1
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))

@@ -92,9 +92,9 @@ def keep_synonyms(col: Column) -> Column:
 
 
 def tokenize(col: Column) -> Column:
-    """Lower-case words and single punctuation marks, as an array."""
+    """Lower-case words and single punctuation marks, as an array; no white space of any kind."""
     return F.regexp_extract_all(
-        F.lower(col), F.lit(r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]"), F.lit(0)
+        F.lower(col), F.lit(r"(?U)[\p{L}\p{M}\p{N}]+|[^\s\x1c-\x1f\p{L}\p{M}\p{N}]"), F.lit(0)
     )
 
 

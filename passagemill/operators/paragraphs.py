@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from passagemill import constants as C
 from passagemill.functions.common import run_once
 from passagemill.operators.work import number_in_group
+from passagemill.sources.scratch import stored
 
 
 def tei_divisions(
@@ -112,9 +113,10 @@ def explode_paragraphs(df: DataFrame, divisions: str = "divisions", concat_p: bo
 def number_paragraphs(df: DataFrame, document: str = "path", position: str = "pos") -> DataFrame:
     """``idx``: consecutive number of the kept paragraphs of each document.
 
-    Numbering is per file, so two files sharing an id both start at 0.
+    Numbering is per file, so two files sharing an id both start at 0. Rows are counted and numbered
+    in two passes, so they are written to the shared folder first and computed once.
     """
-    return number_in_group(df, [document], position)
+    return number_in_group(stored(df, "paragraphs"), [document], position)
 
 
 def document_arrays(df: DataFrame, doc: str = "id", file: str = "path") -> DataFrame:

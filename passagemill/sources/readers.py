@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os.path
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -96,13 +97,22 @@ def read_passages(
     fmt: str | None = None,
     na_values: Sequence[str] = C.CSV_MISSING,
     schema: str | None = None,
+    config: str | None = None,
 ) -> DataFrame:
-    """Passages from CSV or Parquet. In CSV text, ``na_values`` are missing values.
+    """Passages from CSV, Parquet or a table of the catalog. In CSV text, ``na_values`` are missing values.
+
+    A two-part name, ``owner/data``, is the table ``owner.data`` if the catalog has it. ``config``
+    selects one published config; only its folder is read.
 
     Quoted fields may span lines, so one CSV file is one task: give many files, or Parquet.
     """
+    name = path.replace("/", ".")
+    if fmt is None and re.fullmatch(r"\w+[./]\w+", path) and spark.catalog.tableExists(name):
+        fmt, df = "table", spark.table(name)
     fmt = fmt or check_source(path)
-    if fmt == "csv":
+    if fmt == "table":
+        pass
+    elif fmt == "csv":
         reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
         df = (reader.schema(schema) if schema else reader).csv(path)
         df = df.select(
@@ -114,7 +124,11 @@ def read_passages(
             ]
         )
     else:
-        df = spread(spark.read.parquet(path))
+        df = spark.read.parquet(path)
+        df = df if config else spread(df)
+    if config:
+        require_columns(df, ["config"])
+        df = df.filter(F.col("config") == config).drop("config")
     require_columns(df, [*id_cols, text_col])
     return df
 

@@ -9,7 +9,7 @@ from passagemill.operators import compounds as C
 from passagemill.operators import preprints as P
 from passagemill.plans import compounds as plan
 from passagemill.plans import preprints as preprint_plan
-from passagemill.sources import readers
+from passagemill.sources import readers, sinks
 from passagemill.sources.scratch import scratch_path
 from passagemill.streaming import ingest
 
@@ -115,6 +115,17 @@ def test_preprint_job_twice(spark):
     assert sorted(r.value for r in spark.read.text(raw).collect()) == sorted(LINES[:2])
 
 
+def test_passages_of_a_config_and_of_the_catalog(spark):
+    path = scratch_path(spark, "configs")
+    for name in ("v1", "v2"):
+        sinks.save_paragraph_dataset(spark.createDataFrame([(name, "text")], "id STRING, text STRING"), path, name)
+    got = readers.read_passages(spark, path, "text", ["id"], fmt="parquet", config="v2")
+    assert [tuple(r) for r in got.collect()] == [("v2", "text")]
+    spark.createDataFrame([(1, "t")], "id INT, text STRING").createOrReplaceTempView("local_passages")
+    with pytest.raises(ValueError):
+        readers.read_passages(spark, "nowhere", "text", ["id"])
+
+
 def test_preprint_job_returns_what_it_appends(spark):
     path, raw = scratch_path(spark, "p"), scratch_path(spark, "raw")
     one = lines(spark)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from passagemill.llm.decontaminate import contamination
 from passagemill.llm.jaccard_join import jaccard_join
-from passagemill.llm.keys import text_key, without_rows
+from passagemill.llm.keys import split_without_rows, text_key, without_rows
 from passagemill.llm.pieces import encode_pieces
 from passagemill.llm.quality import quality_rules
 from passagemill.llm.secrets import secret_scan
@@ -37,7 +37,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the least id."""
     judged = stored(jaccard_join(docs).select("doc_id", "text_key", "keep"), "near-duplicates")
-    kept = without_rows(docs.select(*COLUMNS), judged.filter("not keep"), "doc_id", "text")
+    kept = split_without_rows(docs.select(*COLUMNS), judged.filter("not keep"), "doc_id", "text")
     repeated = judged.filter("keep").groupBy("doc_id", "text_key").count().filter("count > 1")
     if repeated.isEmpty():
         return kept

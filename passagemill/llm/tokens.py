@@ -28,19 +28,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def gram_hashes(tokens: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of ``k`` tokens; empty if there are fewer."""
+    """Hash of each run of ``k`` tokens, a polynomial of them, scrambled; empty if there are fewer."""
     n = len(tokens) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     power, size, done, out = tokens, 1, 0, None
     while True:
+        raised = np.uint64(pow(int(_A), size, 2**64))
         if k & size:
             part = power[done : done + n]
-            out = part.copy() if out is None else mix(out * _A + part)
+            if out is None:
+                out = part.copy()
+            else:
+                out *= raised
+                out += part
             done += size
         if done == k:
             return mix(out)
-        power = mix(power[:-size] * _A + power[size:])
+        longer = power[:-size] * raised
+        longer += power[size:]
+        power = longer
         size *= 2
 
 

@@ -166,9 +166,9 @@ def _cells(key: np.ndarray, row: int, plan: Plan) -> np.ndarray:
     return tk.mix(key + np.uint64((row + 1) * 0xA24BAED4963EE407 % 2**64)) % np.uint64(plan.blocks * BLOCK_CELLS)
 
 
-def _pairs(chunk: Chunk, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(runs: list[Runs]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (anchor, document row) of a chunk, sorted."""
-    found = [(r.key, r.row) for r in (anchor_runs(*s, plan) for s in segments(chunk, plan))]
+    found = [(r.key, r.row) for r in runs]
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     key, row = (np.concatenate(x) for x in zip(*found))
@@ -204,7 +204,8 @@ def send_cells(plan: Plan) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out: tuple[list, list, list] = ([], [], [])
         if left.num_rows:
-            key, _ = _pairs(open_chunk(left, right), plan)
+            chunk = open_chunk(left, right)
+            key, _ = _pairs([anchor_runs(*s, plan) for s in segments(chunk, plan)])
             for row in range(plan.rows):
                 cells, counts = np.unique(_cells(key, row, plan), return_counts=True)
                 block = (cells // np.uint64(BLOCK_CELLS)).astype(np.int64)
@@ -279,15 +280,15 @@ def send_runs(plan: Plan) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 
 def _runs_of(chunk: Chunk, right: pa.Table, plan: Plan, number: int):
-    key, row = _pairs(chunk, plan)
+    runs = [anchor_runs(*s, plan) for s in segments(chunk, plan)]
+    key, row = _pairs(runs)
     repeated, common = _estimates(key, right, plan)
     if not repeated.any():
         return
     frequent = np.unique(key[common & repeated])
     wanted = np.unique(key[repeated])
     made = []
-    for values, starts, ends, rows, base in segments(chunk, plan):
-        r = anchor_runs(values, starts, ends, rows, base, plan)
+    for (values, *_), r in zip(segments(chunk, plan), runs):
         keep = _member(r.key, wanted)
         if not keep.any():
             continue

@@ -94,7 +94,7 @@ def train_licences(docs: DataFrame, text_col: str = "text", sample_rows: int = 4
     known = notice_grams(spark)
     texts = docs.select(F.col(text_col).cast("string").alias("text")).filter("text is not null")
     share = min(1.0, sample_rows / 8 / max(1, texts.count()))
-    drawn = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    drawn = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int(share * (1 << 40)))
     lines = drawn.select(F.explode(F.split("text", "\n")).alias("line")).select("line", grams_of(words_of(F.col("line"))).alias("grams")).filter(F.size("grams") > 0)
     plain = lines.filter(_overlap(F.col("grams"), [n for group in known.values() for n in group]) < 0.5)
     plain = plain.orderBy(F.xxhash64("line"), "line").limit(sample_rows).select(F.lit(NONE).alias("family"), "grams", (F.pmod(F.xxhash64(F.lit(3), "line"), F.lit(4)) == 0).alias("held"))

@@ -17,6 +17,8 @@ _POLY = np.uint64(0xD6E8FEB86659FD93)
 #: A random 64-bit value per byte.
 BYTE_VALUES = np.random.Generator(np.random.PCG64(2024)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLOCK = 1 << 20
+#: Texts of a batch that are copied at once.
+_ROWS = 1024
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -139,8 +141,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def words_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Per slice of texts: number of its first text, bytes, word starts, word ends, first words and word hashes."""
-    raw, offsets = text_bytes(column)
-    for a, b in document_slices(offsets):
-        part = raw[offsets[a] : offsets[b]]
-        starts, ends, firsts = word_bounds(part, offsets[a : b + 1] - offsets[a])
-        yield a, part, starts, ends, firsts, word_hashes(part, starts, ends)
+    for low in range(0, len(column), _ROWS):
+        raw, offsets = text_bytes(column.slice(low, _ROWS))
+        for a, b in document_slices(offsets):
+            part = raw[offsets[a] : offsets[b]]
+            starts, ends, firsts = word_bounds(part, offsets[a : b + 1] - offsets[a])
+            yield low + a, part, starts, ends, firsts, word_hashes(part, starts, ends)
+    pa.default_memory_pool().release_unused()

@@ -106,9 +106,10 @@ def learn_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
 def identify_language(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text", evidence: int = 64) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, lang_pred, score``.
 
-    The language of the greatest posterior wins, the first in order of names among equals. As
-    n-grams of one text are far from independent, the posterior counts ``evidence`` n-grams at
-    most: log-likelihoods are scaled down to that many. A text that is null or has no letter, and
+    The language of the greatest posterior wins, the first in order of names among equals; every
+    n-gram of the text counts in full. As n-grams of one text are far from independent, that
+    posterior is near 1 for any long text, so ``score`` is the winner's share if log-likelihoods
+    are scaled down to ``evidence`` n-grams; it can be below one half. A text that is null or has no letter, and
     any text if no language was learned, gets ``und`` with score 0. Whole texts are read. The
     model goes to the tasks by broadcast; its size is languages x buckets.
     """
@@ -131,10 +132,10 @@ def identify_language(docs: DataFrame, model: dict[str, np.ndarray], id_col: str
                     n += np.add.reduceat(row >= 0, bounds[:-1])
                     for j in range(len(names)):
                         sums[j] += np.add.reduceat(table[j][row], bounds[:-1])
+                top = (sums + prior[:, None]).argmax(0)
                 total = sums * np.minimum(1, evidence / np.maximum(n, 1)) + prior[:, None]
                 share = np.exp(total - total.max(0))
                 share /= share.sum(0)
-                top = share.argmax(0)
                 for i in np.flatnonzero(some).tolist():
                     best[first + i], score[first + i] = names[top[i]], share[top[i], i]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(best, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])

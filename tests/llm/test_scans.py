@@ -165,6 +165,18 @@ def test_long_text_is_read_whole(spark):
     assert found[3] == "y"
 
 
+def test_long_text_of_a_rare_language(spark):
+    """Every n-gram counts against the prior: 2,000 texts of a near language don't outweigh a long text."""
+    rng = random.Random(10)
+    text = lambda share, n: " ".join(rng.choices(["ka", "ki"], [share, 1 - share], k=n))
+    rows = [(i, text(0.6, 20), "hot") for i in range(2000)] + [(5000 + i, text(0.4, 20_000), "rare") for i in range(2)]
+    model = langid.learn_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = spark.createDataFrame([(1, text(0.4, 20_000)), (2, text(0.6, 20_000)), (3, "ki")], "doc_id long, text string")
+    found = {r.doc_id: r for r in langid.identify_language(asked, model).collect()}
+    assert [found[i].lang_pred for i in (1, 2, 3)] == ["rare", "hot", "hot"]
+    assert all(0 < r.score <= 1 for r in found.values())
+
+
 # --- licences -----------------------------------------------------------------------------
 
 

@@ -118,6 +118,23 @@ def test_inferred_span_is_found(spark):
     assert found[900].n_format == 1 and found[900].redacted == "plain [secret] end 4929348385146306"
 
 
+def test_rare_and_long_labels_are_learned(spark):
+    """Labels of any share of the documents, and whole: no sample of documents stands before them."""
+    rng = random.Random(7)
+    value = lambda: "".join(rng.choices("0123456789abcdef", k=40)) + "-" + "".join(rng.choices("GHJK", k=300))
+    labels = {value() for _ in range(30)}
+    rows = [(i, f"plain text {i}") for i in range(25_000)] + [(30_000 + i, f'token="{x}"') for i, x in enumerate(sorted(labels))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    learn, secrets.infer_formats = secrets.infer_formats, lambda labelled, *a, **b: seen.extend(labelled) or learn(labelled, *a, **b)
+    try:
+        secrets.secret_scan(df)
+    finally:
+        secrets.infer_formats = learn
+    assert {w.decode() for k, w in seen if k == 0} == labels
+    assert {w.decode() for k, w in seen if k == 2} == {x[:40] for x in labels}
+
+
 # --- languages ----------------------------------------------------------------------------
 
 

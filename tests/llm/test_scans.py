@@ -135,6 +135,19 @@ def test_rare_and_long_labels_are_learned(spark):
     assert {w.decode() for k, w in seen if k == 2} == {x[:40] for x in labels}
 
 
+def test_runs_around_fixed_spans_and_short_ones(spark):
+    rng = random.Random(11)
+    hexes, mixed = lambda n: "".join(rng.choices("0123456789abcdef", k=n)), lambda n: "".join(rng.choices("GHJKLMNPQRSTVWXYZ23456789", k=n))
+    live, pin = lambda: f"sk_live_{hexes(24)}_{mixed(30)}", lambda: f"q{rng.randint(0, 9)}z{rng.randint(10, 99)}x{rng.randint(0, 9)}"
+    words = ["".join(rng.choices(["th", "er", "on", "an", "re"], k=k)) for k in range(3, 12) for _ in range(40)]
+    rows = [(i, f'token = "{live()}" secret: "{pin()}" ' + " ".join(rng.choices(words, k=12))) for i in range(200)]
+    rows += [(900, f"see {live()} end"), (901, f"see {pin()} there"), (902, " ".join(words)), (903, f'token = "{live()}"')]
+    found = {r.doc_id: r for r in secrets.secret_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s["kind"], s["start"], s["end"]) for s in found[900].spans] == [("format", 4, 67), ("hex", 12, 36)]
+    assert found[900].redacted == "see [secret] end" and found[901].redacted == "see [secret] there"
+    assert found[902].spans == [] and all(found[i].n_format == 0 for i in range(200)) and found[903].n_format == 0
+
+
 # --- languages ----------------------------------------------------------------------------
 
 

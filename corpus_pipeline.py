@@ -56,7 +56,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, ids, scores, round_trip`` of every document."""
+    """``doc_id, ids, scores, round_trip, changes`` of every document; ``changes`` has the other segmentations."""
     return encode_pieces(docs)
 
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tokens import mix
@@ -317,6 +317,10 @@ class Encoder:
 
         The last entry has, per segmentation, (segment number, its ids) where it differs from the best.
         """
+        return [(ids, scores, [[(at, own) for at, _, _, own in picks] for picks in ways]) for ids, scores, ways in self.encode_at(texts)]
+
+    def encode_at(self, texts: list[str]) -> list[tuple[np.ndarray, list[int], list[list[tuple[int, int, int, list[int]]]]]]:
+        """As :meth:`encode`; what replaces is (segment number, its first place in the best ids, its number of ids there, new ids)."""
         if len(self.number) > REMEMBERED:
             self.forget()
         cut = [_SEGMENT.findall(" " + text) if text else [] for text in texts]
@@ -327,7 +331,8 @@ class Encoder:
         for segments in cut:
             numbers = np.fromiter(map(get, segments), np.int64, len(segments))
             low = first[numbers]
-            ids = flat[_ranges(low, first[numbers + 1] - low)]
+            sizes = first[numbers + 1] - low
+            ids = flat[_ranges(low, sizes)]
             best, behind = int(score[numbers].sum()), behind_all[numbers]
             ways = [(0, ())]
             if self.n > 1:
@@ -340,7 +345,8 @@ class Encoder:
                     top = options[0][0]
                     grown = [(cost + top - s, picks + ((at, o),) if k else picks) for cost, picks in ways for k, (s, o) in enumerate(options)]
                     ways = sorted(grown, key=lambda x: x[0])[: self.n]
-            out.append((ids, [best - cost for cost, _ in ways], [list(picks) for _, picks in ways]))
+            ends = np.cumsum(sizes) if len(ways) > 1 else sizes
+            out.append((ids, [best - cost for cost, _ in ways], [[(at, int(ends[at] - sizes[at]), int(sizes[at]), own) for at, own in picks] for _, picks in ways]))
         return out
 
     def whole(self, text: str, picks: list[tuple[int, list[int]]]) -> list[int]:
@@ -378,20 +384,23 @@ def _of_worker(token: str, shared, n: int) -> tuple:
 
 
 def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, vocabulary: Vocabulary | None = None) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, ids, scores, round_trip``.
+    """One row per row of ``docs``: ``doc_id, ids, scores, round_trip, changes``.
 
     ``ids`` is the best segmentation of the whole text after a space in front, as such
     vocabularies expect; ``scores`` are those of the ``n`` best segmentations, best first, in
-    millionths (fewer if there are fewer). ``round_trip``: decoding ``ids`` gives the text back.
+    millionths (fewer if there are fewer). ``changes`` has an entry for each of them: by place, what
+    to put instead of the ``n`` ids from place ``at`` (from 0) of ``ids``; that of the best is empty.
+    :func:`segmentations` puts them in. ``round_trip``: decoding ``ids`` gives the text back.
     No text is normalised, so it always does; a character that is no piece is spelled in bytes,
     and so is the character that pieces use for a space. An empty text has no ids and one
-    segmentation of score 0; a null text has null ids and scores. Segmentations of equal score
+    segmentation of score 0; a null text has null ids, scores and changes. Segmentations of equal score
     come in a fixed order. Other columns are not read.
     """
     if n < 1:
         raise ValueError("n must be 1 or more")
     shared, token = docs.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary()), uuid.uuid4().hex
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    change = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decode = _of_worker(token, shared, n)
@@ -404,14 +413,21 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     size += len(texts[last] or "")
                     last += 1
                 part = texts[first:last]
-                found = encoder.encode([x or "" for x in part])
+                found = encoder.encode_at([x or "" for x in part])
                 ids = pa.array([None if t is None else f[0] for t, f in zip(part, found)], pa.list_(pa.int32()))
                 scores = pa.array([None if t is None else f[1] for t, f in zip(part, found)], pa.list_(pa.int64()))
                 same = pa.array([None if t is None else decode(f[0]) == t.encode() for t, f in zip(part, found)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), ids, scores, same], names=["doc_id", "ids", "scores", "round_trip"])
+                changes = pa.array([None if t is None else [[{"at": at, "n": size, "ids": own} for _, at, size, own in picks] for picks in f[2]] for t, f in zip(part, found)], pa.list_(pa.list_(change)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), ids, scores, same, changes], names=["doc_id", "ids", "scores", "round_trip", "changes"])
                 first = last
 
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, scores array<long>, round_trip boolean")
+    return rows.mapInArrow(run, "doc_id long, ids array<int>, scores array<long>, round_trip boolean, changes array<array<struct<at:int,n:int,ids:array<int>>>>")
+
+
+def segmentations(ids: Column, changes: Column) -> Column:
+    """Ids of every segmentation, best first, from two columns of :func:`encode_pieces`."""
+    put = lambda a, x: F.concat(F.slice(a, F.lit(1), x["at"]), x["ids"], F.slice(a, x["at"] + x["n"] + 1, F.size(a)))
+    return F.transform(changes, lambda c: F.aggregate(F.reverse(c), ids, put))
 
 
 def decode_pieces(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocabulary: Vocabulary | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from .jaccard_join import jaccard_join
 from .langid import identify_language, learn_languages
 from .licenses import UNKNOWN, license_scan
 from .oracles import ORACLES
-from .pieces import encode_pieces
+from .pieces import encode_pieces, segmentations
 from .quality import quality_rules
 from .secrets import secret_scan, span_text
 from .suffix_dedup import suffix_dedup
@@ -102,9 +102,9 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best segmentation of every text (its length and a hash), scores of the four best, and whether it decodes."""
+    """Best segmentation of every text (its length and a hash), scores and a hash of the four best, and whether it decodes."""
     found = encode_pieces(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.array_join("scores", ",").alias("scores"), "round_trip")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.array_join("scores", ",").alias("scores"), "round_trip", F.xxhash64(segmentations(F.col("ids"), F.col("changes"))).alias("best_hash"))
 
 
 @_query

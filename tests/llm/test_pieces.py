@@ -74,6 +74,23 @@ def test_encode_and_decode(spark, vocabulary):
     assert pieces.encode_pieces(df.filter("doc_id > 99")).collect() == []
 
 
+def test_all_best_segmentations_come_out(spark, vocabulary):
+    texts = [None, "", " ", "a  b", "hello wor\nld", "é▁☃x", "the in", "thetheth", "12 3.", "one two three four five six seven " * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pieces.encode_pieces(df, vocabulary=vocabulary)
+    rows = {r.doc_id: r for r in found.withColumn("all", pieces.segmentations(found.ids, found.changes)).collect()}
+    decode, encoder = pieces.decoder(vocabulary), pieces.Encoder(vocabulary, 4)
+    assert rows[0].all is None and rows[1].all == [[]]
+    for i, text in list(enumerate(texts))[1:]:
+        got = rows[i].all
+        assert got[0] == rows[i].ids and len({tuple(x) for x in got}) == len(got) == len(rows[i].scores)
+        assert all(decode(x).decode() == text for x in got)
+        assert got == [encoder.whole(text, picks) for picks in encoder.encode([text])[0][2]]
+        if len(text) < 12:
+            want = every(text, vocabulary)
+            assert all((s, x) in want for s, x in zip(rows[i].scores, got))
+
+
 def test_memory_is_bounded(vocabulary, monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 50)
     encoder = pieces.Encoder(vocabulary, 2)

@@ -85,7 +85,8 @@ def notice_grams(spark: SparkSession) -> dict[str, list[list[str]]]:
 def train_licences(docs: DataFrame, text_col: str = "text", sample_rows: int = 4000, false_rate: float = 0.001) -> LicenceModel:
     """Model from the notices, each also without any one of its words, and ``sample_rows`` paragraphs of ``docs`` at most.
 
-    Paragraphs are drawn by a hash of their text, from an eighth as many documents, drawn by a hash of theirs; those
+    Paragraphs are drawn by a hash of their text, from an eighth as many documents, drawn by a hash of theirs; equal texts and
+    equal paragraphs count once. Those
     that share half their grams with a notice are left out of the class ``none``. A quarter of
     them is held out: the least probability lets at most ``false_rate`` of these pass for a
     licence, and is one half at least.
@@ -93,9 +94,9 @@ def train_licences(docs: DataFrame, text_col: str = "text", sample_rows: int = 4
     spark = docs.sparkSession
     known = notice_grams(spark)
     texts = docs.select(F.col(text_col).cast("string").alias("text")).filter("text is not null")
-    share = min(1.0, sample_rows / 8 / max(1, texts.count()))
-    drawn = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int(share * (1 << 40)))
-    lines = drawn.select(F.explode(F.split("text", "\n")).alias("line")).select("line", grams_of(words_of(F.col("line"))).alias("grams")).filter(F.size("grams") > 0)
+    share = min(1.0, sample_rows / 8 / max(1, texts.select(F.xxhash64("text")).distinct().count()))
+    drawn = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int(share * (1 << 40))).distinct()
+    lines = drawn.select(F.explode(F.split("text", "\n")).alias("line")).distinct().select("line", grams_of(words_of(F.col("line"))).alias("grams")).filter(F.size("grams") > 0)
     plain = lines.filter(_overlap(F.col("grams"), [n for group in known.values() for n in group]) < 0.5)
     plain = plain.orderBy(F.xxhash64("line"), "line").limit(sample_rows).select(F.lit(NONE).alias("family"), "grams", (F.pmod(F.xxhash64(F.lit(3), "line"), F.lit(4)) == 0).alias("held"))
     words = words_of(F.col("notice"))

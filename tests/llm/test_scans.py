@@ -244,3 +244,12 @@ def test_licence_scores(spark, licence_model):
 def test_licences_run_no_python(spark, licence_model):
     df = licenses.license_scan(spark.createDataFrame([(1, "x")], "doc_id long, text string"), licence_model)
     assert not re.search("Python|Arrow|Pandas|Exchange", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_copies_do_not_fill_the_licence_sample(spark, monkeypatch):
+    line = lambda i, j: f"house{i} river{j} stone{i}x{j} walks"
+    rows = [(i, "\n".join(line(0 if i < 200 else i, j) for j in range(10))) for i in range(300)]
+    labels, fit = [], licenses._fit
+    monkeypatch.setattr(licenses, "_fit", lambda x, label, *a: labels.extend(label.tolist()) or fit(x, label, *a))
+    licenses.train_licences(spark.createDataFrame(rows, "doc_id long, text string"), sample_rows=2400)
+    assert 0.65 * 1010 < labels.count(0) < 0.85 * 1010  # of 1,010 different paragraphs a quarter is held out

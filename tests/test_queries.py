@@ -1,6 +1,8 @@
 """Every registered query against its SQL oracle, at the smallest scale."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -30,3 +32,11 @@ def test_query_matches_oracle(spark, tables, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["id", "idx", "paragraph"] and df.count() > 0
+
+
+@pytest.mark.parametrize("gone", ["passagemill.llm", "passagemill.llm.queries", "xxhash", "sentencepiece"])
+def test_entry_without_optional_parts(gone):
+    """Without the optional subpackage, or a library of it, all other queries are still listed."""
+    code = f"import sys; sys.modules[{gone!r}] = None; import __spark_entry__ as e; print(len(e.queries()))"
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(os.path.abspath(entry.__file__)))
+    assert run.returncode == 0 and int(run.stdout) >= len(QUERIES)

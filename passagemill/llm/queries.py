@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .align import align_tokenizers
 from .countmin_dedup import countmin_dedup
 from .decontaminate import contamination
 from .jaccard_join import jaccard_join
@@ -107,6 +108,14 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.array_join("scores", ",").alias("scores"), "round_trip", F.xxhash64(segmentations(F.col("ids"), F.col("changes"))).alias("best_hash"))
 
 
+@_query
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of tokens of two public vocabularies in all documents, and how often their ids meet."""
+    found = align_tokenizers(_table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after another."""

@@ -91,4 +91,22 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items s ON d.doc_id = s.doc_id
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op4_countmin_dedup": OP4, "op8_url_filter": OP8, "op10_decontamination": OP10}
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP13 = f"""
+WITH i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+d AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+total AS (SELECT count(*)::BIGINT AS big_n, sum(len(terms))::BIGINT AS big_l FROM d WHERE len(terms) > 0),
+tf AS (
+  SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY doc_id, n, term),
+df AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * big_n + 2) / (2 * df + 1)))::BIGINT AS w FROM df, total),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l))))::BIGINT AS score
+  FROM i JOIN tf USING (term) JOIN w USING (term), total GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+ORACLES = {"op1_quality_rules": OP1, "op4_countmin_dedup": OP4, "op8_url_filter": OP8, "op10_decontamination": OP10, "op13_lexical_search": OP13}

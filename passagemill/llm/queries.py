@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .align import align_tokenizers
+from .chat import chat_windows, read_back
 from .countmin_dedup import countmin_dedup
 from .decontaminate import contamination
 from .jaccard_join import jaccard_join
@@ -16,6 +17,7 @@ from .licenses import UNKNOWN, license_scan
 from .oracles import ORACLES
 from .pieces import encode_pieces, segmentations
 from .quality import quality_rules
+from .search import lexical_search
 from .secrets import secret_scan, span_text
 from .suffix_dedup import suffix_dedup
 from .urls import url_filter
@@ -108,6 +110,14 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.array_join("scores", ",").alias("scores"), "round_trip", F.xxhash64(segmentations(F.col("ids"), F.col("changes"))).alias("best_hash"))
 
 
+@_query
+def op11_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one made of control strings, read back from their windows."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+    return read_back(chat_windows(turns.unionByName(spark.createDataFrame(tricky, turns.schema))))
+
+
 @_query
 def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of tokens of two public vocabularies in all documents, and how often their ids meet."""
@@ -116,6 +126,12 @@ def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
 
 
+@_query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after another."""

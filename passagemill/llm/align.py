@@ -7,10 +7,10 @@ vocabulary; only the pairs of all other groups are shuffled, after each task has
 
 from __future__ import annotations
 
-from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stored
-from .encoders import SLICE, Remembered, byte_encoder, piece_encoder, slices
+from .encoders import byte_encoder, piece_encoder, slices
 from .keys import text_key
 from .tokens import document_slices
 
 #: Pairs of irregular groups that are broadcast at most (17 bytes each), and that a task sums up before it passes them on.
 MOST_PAIRS, SUMMED = 1_000_000, 200_000
+#: Characters of text handled at once; the more, the fewer words are encoded again.
+SLICE = 4 << 20
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -36,39 +38,124 @@ def same_bytes(a_bytes: list[bytes], b_bytes: list[bytes]) -> np.ndarray:
     return np.array([ids.get(piece, -1) if piece else -1 for piece in a_bytes], np.int64)
 
 
+@dataclass(frozen=True)
+class Aligned:
+    """Stretches of text side by side in both vocabularies; those that are not ``ok`` have no tokens.
+
+    ``counts`` has tokens of each side, groups and links per stretch; ``codes`` the links of all, in
+    order. The code of a pair that the identity map knows is its first id, of any other
+    ``n_a + a * n_b + b``. ``spelled`` are the groups as text.
+    """
+
+    ok: np.ndarray
+    counts: np.ndarray
+    codes: np.ndarray
+    spelled: list[str]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Sums of a value per link over the links of each stretch."""
+        total, ends = np.concatenate([[0], np.cumsum(values)]), np.cumsum(self.counts[:, 3])
+        return total[ends] - total[ends - self.counts[:, 3]]
+
+
 class Aligner:
-    """Groups and links of stretches of text."""
+    """Two vocabularies and what aligning them needs; a worker keeps one per pair."""
 
     def __init__(self, a_path: str | None, b_path: str | None):
         self.a, self.b = byte_encoder(a_path), piece_encoder(b_path)
         self.same = same_bytes(self.a.token_bytes, self.b.token_bytes)
-        self._same = self.same.tolist()
         self.n_a, self.n_b = len(self.a.token_bytes), len(self.b.token_bytes)
+        self._lengths = [np.array([len(x) for x in side.token_bytes], np.int64) for side in (self.a, self.b)]
+        names = [str(i) for i in range(max(self.n_a, self.n_b))]
+        self._inside, self._last_a, self._last_b = (np.array([x + end for x in names], object) for end in ",|;")
+        self._digits = np.array([len(x) for x in names], np.int64)
+
+    def align(self, stretches: list[str]) -> Aligned:
+        """Stretches that do not end in white space are encoded by A as one text: no token crosses their ends."""
+        ends = [s[-1].isspace() for s in stretches]
+        joined = [i for i, blank in enumerate(ends) if not blank]
+        alone = [[i] for i, blank in enumerate(ends) if blank]
+        found = [x for part in ([joined] if joined else []) + alone for x in self._encoded(stretches, part)]
+        order = np.fromiter(chain.from_iterable(part for part, _, _ in found), np.int64, len(stretches))
+        xs, ys = (np.fromiter(chain.from_iterable(f[k] for f in found), np.int64) for k in (1, 2))
+        sizes = np.fromiter((len(s) if s.isascii() else len(s.encode()) for s in stretches), np.int64, len(stretches))
+        ok = np.ones(len(stretches), bool)
+        ok[[i for part, ids, _ in found if not ids for i in part]] = False
+        counts, codes, spelled = self._side_by_side(xs, ys, np.cumsum((sizes * ok)[order]))
+        if len(found) == 1:
+            return Aligned(ok, counts, codes, spelled)
+        place = np.argsort(order)
+        links = counts[:, 3]
+        first = (np.cumsum(links) - links)[place]
+        taken = np.repeat(first - (np.cumsum(links[place]) - links[place]), links[place])
+        return Aligned(ok, counts[place], codes[taken + np.arange(len(taken))], [spelled[i] for i in place.tolist()])
+
+    def _encoded(self, stretches: list[str], part: list[int]) -> list[tuple[list[int], list[int], list[int]]]:
+        """``(stretches, ids, ids)``; without ids if a vocabulary does not give a stretch back."""
+        some = [stretches[i] for i in part]
+        text = "".join(some)
+        raw, xs, ys = text.encode(), self.a.encode([text])[0], list(chain.from_iterable(self.b.encode(some)))
+        if all(b"".join([side.token_bytes[x] for x in ids]) == raw for side, ids in ((self.a, xs), (self.b, ys))):
+            return [(part, xs, ys)]
+        if len(part) == 1:
+            return [(part, [], [])]
+        half = len(part) // 2
+        return self._encoded(stretches, part[:half]) + self._encoded(stretches, part[half:])
+
+    def _side_by_side(self, xs: np.ndarray, ys: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Counts per stretch, codes of links and groups as text, of tokens over the same bytes, cut at ``cuts``."""
+        ends_a, ends_b = np.cumsum(self._lengths[0][xs]), np.cumsum(self._lengths[1][ys])
+        cells = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # two runs, merged
+        cells = cells[np.diff(cells, append=-1) != 0]  # every cell lies in one token of each side, and every link is one cell
+        a, b = xs[np.searchsorted(ends_a, cells)], ys[np.searchsorted(ends_b, cells)]
+        codes = np.where(self.same[a] == b, a, self.n_a + a * self.n_b + b)
+        closes_a, closes_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+        groups_a, groups_b = np.cumsum(closes_a), np.cumsum(closes_b)
+        of_a, of_b, of_cells = (np.searchsorted(e, cuts, "right") for e in (ends_a, ends_b, cells))
+        of_groups = np.concatenate([[0], groups_a])[of_a]
+        counts = np.diff(np.column_stack([of_a, of_b, of_groups, of_cells]), axis=0, prepend=0).astype(np.int64)
+        # tokens of A, then those of B, group by group
+        order = np.argsort(np.concatenate([2 * (groups_a - closes_a), 2 * (groups_b - closes_b) + 1]), kind="stable")
+        names = np.concatenate([np.where(closes_a, self._last_a[xs], self._inside[xs]), np.where(closes_b, self._last_b[ys], self._inside[ys])])[order]
+        lengths = np.concatenate([[0], np.cumsum(self._digits[np.concatenate([xs, ys])[order]] + 1)])
+        text, at = "".join(names.tolist()), lengths[of_a + of_b].tolist()
+        spelled = [text[low : high - 1] if high > low else "" for low, high in zip([0, *at], at)]
+        return counts, codes, spelled
 
-    def aligned(self, stretches: list[str]) -> Iterator[tuple[int, int, int, array, str] | None]:
-        """Per stretch: tokens of each side, groups, codes of the links and the groups as text; None if bytes differ.
+    def regular(self, codes: np.ndarray) -> np.ndarray:
+        return codes < self.n_a
 
-        The code of a pair that the identity map knows is its first id, of any other ``n_a + a * n_b + b``.
+    def texts(self, texts: list[str]) -> Iterator[tuple[Aligned, np.ndarray, np.ndarray]]:
+        """Different stretches of texts aligned, the number of each stretch of every text, and where texts end.
+
+        A text that a vocabulary does not give back has no stretch. A text of more than a slice
+        comes alone and in parts, after all its parts were found to be given back.
         """
-        for text, xs, ys in zip(stretches, self.a.encode(stretches), self.b.encode(stretches)):
-            a, b = [self.a.token_bytes[x] for x in xs], [self.b.token_bytes[y] for y in ys]
-            raw = text.encode()
-            if b"".join(a) != raw or b"".join(b) != raw:
-                yield None
-                continue
-            ends_a, ends_b = list(accumulate(map(len, a))), list(accumulate(map(len, b)))
-            codes, groups, i, j, first_i, first_j = array("q"), [], 0, 0, 0, 0
-            while i < len(xs):
-                x, y, d = xs[i], ys[j], ends_a[i] - ends_b[j]
-                codes.append(x if self._same[x] == y else self.n_a + x * self.n_b + y)
-                i, j = i + (d <= 0), j + (d >= 0)
-                if d == 0:
-                    groups.append(",".join(map(str, xs[first_i:i])) + "|" + ",".join(map(str, ys[first_j:j])))
-                    first_i, first_j = i, j
-            yield len(xs), len(ys), len(groups), codes, ";".join(groups)
+        if len(texts) > 1 or len(texts[0]) <= SLICE:
+            yield self._numbered([next(slices(t, SLICE), []) for t in texts])
+        elif all(self.align(list(dict.fromkeys(part))).ok.all() for part in slices(texts[0], SLICE)):
+            for part in slices(texts[0], SLICE):
+                yield self._numbered([part])
 
-    def regular(self, codes: np.ndarray) -> np.ndarray:
-        return codes < self.n_a
+    def _numbered(self, cut: list[list[str]]) -> tuple[Aligned, np.ndarray, np.ndarray]:
+        number = {s: i for i, s in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
+        found = self.align(list(number))
+        ids = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
+        sizes = np.array([len(part) for part in cut], np.int64)
+        if not found.ok.all():
+            text = np.repeat(np.arange(len(cut)), sizes)
+            fits = np.bincount(text[~found.ok[ids]], minlength=len(cut)) == 0
+            ids, sizes = ids[fits[text]], sizes * fits
+        return found, ids, np.cumsum(sizes)
+
+
+_aligners: dict[tuple, Aligner] = {}
+
+
+def aligner_of(a_path: str | None, b_path: str | None) -> Aligner:
+    if (a_path, b_path) not in _aligners:
+        _aligners[a_path, b_path] = Aligner(a_path, b_path)
+    return _aligners[a_path, b_path]
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
@@ -80,26 +167,13 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
         yield low, [" " + t if t else "" for t in column.slice(low, high - low).to_pylist()]
 
 
-def _fitting(remembered: Remembered, texts: list[str]) -> Iterator[tuple[dict, list[list[str]]]]:
-    """Texts that both vocabularies give back, cut into stretches, and what is known of these.
-
-    A text of more than a slice comes alone, and in parts.
-    """
-    if len(texts) > 1 or len(texts[0]) <= SLICE:
-        cut = [next(slices(t), []) for t in texts]
-        known = remembered(chain.from_iterable(cut))
-        bad = {s for part in cut for s in part if known[s] is None}
-        yield known, [[] if bad and not bad.isdisjoint(part) else part for part in cut]
-    elif all(remembered(part)[s] is not None for part in slices(texts[0]) for s in set(part)):
-        for part in slices(texts[0]):
-            yield remembered(part), [part]
-
-
-def _links(known: dict, counted: Counter) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the links of counted stretches and how often each occurs; codes may come again."""
-    entries = [known[s][3] for s in counted]
-    codes = np.fromiter(chain.from_iterable(entries), np.int64, sum(map(len, entries)))
-    return codes, np.repeat(np.fromiter(counted.values(), np.int64, len(counted)), [len(e) for e in entries])
+def _summed(codes: np.ndarray, times: np.ndarray) -> tuple[list[int], list[int]]:
+    """Different codes and the sum of each one's times, without those of none."""
+    codes, times = codes[times > 0], times[times > 0]
+    met, at = np.unique(codes, return_inverse=True)
+    sums = np.zeros(len(met), np.int64)
+    np.add.at(sums, at, times)
+    return met.tolist(), sums.tolist()
 
 
 def pair_counts(texts: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
@@ -109,8 +183,7 @@ def pair_counts(texts: DataFrame, a_path: str | None = None, b_path: str | None
     """
 
     def count(batches):
-        aligner = Aligner(a_path, b_path)
-        remembered = Remembered(aligner.aligned)
+        aligner = aligner_of(a_path, b_path)
         vector, pairs = np.zeros(aligner.n_a, np.int64), Counter()
 
         def rows(a, b, n):
@@ -122,11 +195,11 @@ def pair_counts(texts: DataFrame, a_path: str | None = None, b_path: str | None
 
         for batch in batches:
             for _, some in _texts(batch):
-                for known, cut in _fitting(remembered, some):
-                    codes, times = _links(known, Counter(chain.from_iterable(cut)))
-                    plain = aligner.regular(codes)
-                    np.add.at(vector, codes[plain], times[plain])
-                    for code, n in zip(codes[~plain].tolist(), times[~plain].tolist()):
+                for found, ids, _ in aligner.texts(some):
+                    times = np.repeat(np.bincount(ids, minlength=len(found.ok)), found.counts[:, 3])
+                    plain = aligner.regular(found.codes)
+                    np.add.at(vector, found.codes[plain], times[plain])
+                    for code, n in zip(*_summed(found.codes[~plain], times[~plain])):
                         pairs[code] += n
                 if len(pairs) > SUMMED:
                     yield of_pairs()
@@ -175,7 +248,7 @@ def align_tokenizers(
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     counted = stored(with_best(pair_counts(texts.select("text"), a_path, b_path)), "pair-counts")
-    aligner = Aligner(a_path, b_path)
+    aligner = aligner_of(a_path, b_path)
     same, n_a, n_b = aligner.same, aligner.n_a, aligner.n_b
     identity = texts.sparkSession.createDataFrame(pa.table({"a": pa.array(np.arange(n_a), pa.int32()), "b": pa.array(same, pa.int32())}))
     of_vector = counted.join(F.broadcast(identity), ["a", "b"])  # one row per id of A at most
@@ -187,42 +260,34 @@ def align_tokenizers(
     shared = texts.sparkSession.sparkContext.broadcast((vector, irregular))
 
     def look_up(batches):
-        aligner = Aligner(a_path, b_path)
+        aligner = aligner_of(a_path, b_path)
         (codes_v, n_v, best_v), table = shared.value
         n_of, best_of = np.zeros(aligner.n_a, np.int64), np.zeros(aligner.n_a, bool)
         n_of[codes_v], best_of[codes_v] = n_v, best_v
 
-        def scored(stretches):
-            made = list(aligner.aligned(stretches))
-            ok = [x for x in made if x is not None]
-            codes = np.fromiter(chain.from_iterable(x[3] for x in ok), np.int64, sum(len(x[3]) for x in ok))
-            plain = aligner.regular(codes)
-            n, best = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+        def scored(codes):
+            plain, n, best = aligner.regular(codes), np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
             n[plain], best[plain] = n_of[codes[plain]], best_of[codes[plain]]
             if table is not None and len(table[0]):
                 at = np.minimum(np.searchsorted(table[0], codes[~plain]), len(table[0]) - 1)
                 met = table[0][at] == codes[~plain]
                 n[~plain], best[~plain] = table[1][at] * met, table[2][at] & met
-            sums_n, sums_best = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(best)])
-            ends = np.concatenate([[0], np.cumsum([len(x[3]) for x in ok], dtype=np.int64)])
-            of_n, of_best = (s[ends[1:]] - s[ends[:-1]] for s in (sums_n, sums_best))
-            head = np.array([x[:3] for x in ok], np.int64).reshape(-1, 3)
-            raw = np.column_stack([head, ends[1:] - ends[:-1], of_best, of_n]).astype(np.int64).tobytes()
-            width = 8 * len(_COUNTS)
-            rest = ((raw[i * width : i * width + width], x[4]) for i, x in enumerate(ok))
-            return [None if x is None else next(rest) for x in made]
-
-        remembered = Remembered(scored)
+            return n, best
+
         for batch in batches:
             other = [i for i, name in enumerate(batch.schema.names) if name != "text"]
             for low, some in _texts(batch):
                 table_of, parts = np.zeros((len(some), len(_COUNTS)), np.int64), [[] for _ in some]
-                for known, cut in _fitting(remembered, some):
-                    for i, part in enumerate(cut):
-                        if part:
-                            entries = [known[s] for s in part]
-                            table_of[i] += np.frombuffer(b"".join([e[0] for e in entries]), np.int64).reshape(-1, len(_COUNTS)).sum(0)
-                            parts[i].append(";".join([e[1] for e in entries]))
+                for found, ids, ends in aligner.texts(some):
+                    n, best = scored(found.codes)
+                    of_stretch = np.column_stack([found.counts, found.sums(best), found.sums(n)])
+                    sums = np.concatenate([np.zeros((1, len(_COUNTS)), np.int64), np.cumsum(of_stretch[ids], axis=0)])
+                    starts = np.concatenate([[0], ends[:-1]])
+                    table_of += sums[ends] - sums[starts]
+                    spelled = [found.spelled[i] for i in ids.tolist()]
+                    for part, first, last in zip(parts, starts.tolist(), ends.tolist()):
+                        if last > first:
+                            part.append(";".join(spelled[first:last]))
                 columns = [batch.column(i).slice(low, len(some)) for i in other]
                 columns.append(pa.array([";".join(x) for x in parts], pa.string()))
                 columns += [pa.array(table_of[:, i]) for i in range(len(_COUNTS))]
@@ -248,17 +313,19 @@ def _joined(found: DataFrame, texts: DataFrame, others: DataFrame, a_path: str |
     """
 
     def pairs_of(batches):
-        aligner = Aligner(a_path, b_path)
-        remembered = Remembered(aligner.aligned)
+        aligner = aligner_of(a_path, b_path)
         for batch in batches:
             keys = batch.column("text_key")
             for low, some in _texts(batch):
                 sums = [Counter({-1: 1}) for _ in some]
-                for known, cut in _fitting(remembered, some):
-                    for of_text, part in zip(sums, cut):
-                        codes, times = _links(known, Counter(part))
-                        odd = ~aligner.regular(codes)
-                        for code, n in zip(codes[odd].tolist(), times[odd].tolist()):
+                for found, ids, ends in aligner.texts(some):
+                    first = np.cumsum(found.counts[:, 3]) - found.counts[:, 3]
+                    for of_text, own in zip(sums, np.split(ids, ends[:-1])):
+                        links = found.counts[own, 3]
+                        at = np.repeat(first[own] - (np.cumsum(links) - links), links) + np.arange(links.sum())
+                        codes = found.codes[at]
+                        codes = codes[~aligner.regular(codes)]
+                        for code, n in zip(*_summed(codes, np.ones(len(codes), np.int64))):
                             of_text[code] += n
                 row = pa.array(np.repeat(np.arange(low, low + len(some)), [len(x) for x in sums]))
                 codes, times = (pa.array(chain.from_iterable(x), pa.int64()) for x in (sums, [x.values() for x in sums]))

@@ -7,14 +7,19 @@ stretch once and keeps what it found, up to a bound.
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Collection, Iterable, Iterator
 
 #: In front of a space or line end that follows a character other than white space.
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
-#: Stretches that a worker remembers, and the longest one; characters of text handled at once.
-REMEMBERED, LONGEST, SLICE = 300_000, 1_000, 1 << 20
+#: Stretches that a worker remembers twice over, and the longest one; characters of text handled at once.
+REMEMBERED, LONGEST, SLICE = 150_000, 1_000, 1 << 20
 _SPACE = "▁"
+#: Fixed value: how a byte-level vocabulary cuts a text into words.
+_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Below this character both libraries agree on what is a letter, digit or space.
+_PLAIN = "\u0250"
 
 
 def slices(text: str, limit: int = SLICE) -> Iterator[list[str]]:
@@ -35,9 +40,14 @@ def _byte_values() -> dict[str, int]:
 
 
 class ByteEncoder:
-    """Byte-level pairs of a JSON vocabulary; special tokens in a text are plain text."""
+    """Byte-level pairs of a JSON vocabulary; special tokens in a text are plain text.
+
+    If ids are in the order of the merges, a token's id is its rank, and texts of Latin characters
+    go through the faster library that takes ranks.
+    """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self._model = Tokenizer.from_file(path)
@@ -47,9 +57,19 @@ class ByteEncoder:
         self.token_bytes = [b""] * (max(names.values()) + 1)
         for name, i in names.items():
             self.token_bytes[i] = name.encode() if name in special else bytes(values[c] for c in name)
+        self._ranked = None
+        content = json.loads(self._model.to_str())
+        merged = [names["".join(m if isinstance(m, list) else m.split(" "))] for m in content["model"].get("merges", [])]
+        cutter = content.get("pre_tokenizer") or {}
+        regular = cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space")
+        if regular and content["normalizer"] is None and merged == sorted(merged) and len(set(merged)) + 256 + len(special) == len(names):
+            ranks = {self.token_bytes[i]: i for name, i in names.items() if name not in special}
+            self._ranked = tiktoken.Encoding("ranked", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self._model.encode_batch(texts, add_special_tokens=False)]
+        plain = [self._ranked is not None and (t.isascii() or max(t) < _PLAIN) for t in texts]
+        rest = iter(self._model.encode_batch([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
+        return [self._ranked.encode_ordinary(t) if p else next(rest).ids for t, p in zip(texts, plain)]
 
 
 class PieceEncoder:
@@ -70,27 +90,33 @@ class PieceEncoder:
                 self.token_bytes.append(piece.replace(_SPACE, " ").encode())
 
     def encode(self, stretches: list[str]) -> list[list[int]]:
-        """Ids of stretches of a text that begins with its added space."""
-        asked = [s[1:] if s[0] == " " else s for s in stretches]
-        found = self._model.encode(asked, num_threads=1)
+        """Ids of stretches of a text, each beginning with a space or line end of its own."""
+        found = self._model.encode([s[1:] if s[0] == " " else s for s in stretches], num_threads=1)
         # an empty text gets no space, and in front of a line end the space is not the text's
-        return [[self._blank] if s == " " else ids if s[0] == " " else ids[1:] for s, ids in zip(stretches, found)]
+        return [ids if s[0] == " " and len(s) > 1 else [self._blank] if s == " " else ids[1:] for s, ids in zip(stretches, found)]
 
 
 class Remembered:
-    """``make(stretches)``, once per stretch as long as it is remembered."""
+    """``make(stretches)``, once per stretch as long as it is remembered.
+
+    What was asked for among the last ``size`` stretches stays, in one of two generations.
+    """
 
     def __init__(self, make: Callable[[list[str]], Iterable], size: int = REMEMBERED):
-        self._make, self._size, self._known, self._long = make, size, {}, []
+        self._make, self._size, self._known, self._before, self._long = make, size, {}, {}, []
 
-    def __call__(self, stretches: Iterable[str]) -> dict[str, object]:
+    def __call__(self, stretches: Collection[str]) -> dict[str, object]:
         """What is known of at least the given stretches; valid until the next call."""
-        known = self._known
-        if len(known) > self._size:
-            known.clear()
         for s in self._long:
-            known.pop(s, None)
-        new = [s for s in dict.fromkeys(stretches) if s not in known]
+            self._known.pop(s, None)
+        if len(self._known) > self._size:
+            self._known, self._before = {}, self._known
+        known, before, new = self._known, self._before, []
+        for s in dict.fromkeys(s for s in stretches if s not in known):
+            if s in before:
+                known[s] = before[s]
+            else:
+                new.append(s)
         self._long = [s for s in new if len(s) > LONGEST]
         known.update(zip(new, self._make(new)))
         return known

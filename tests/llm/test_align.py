@@ -88,23 +88,42 @@ def test_null_and_repeated_ids_and_empty_tables(spark, whole, most_pairs):
 def test_parts_of_long_texts(spark, whole, monkeypatch):
     """A text of many slices, without and with a stretch that a vocabulary does not give back."""
     text = " ".join(f"word{i % 97} line\n{i}" for i in range(500))
-    aligner = align.Aligner(None, None)
+    aligner = align.aligner_of(None, None)
     assert [s for part in encoders.slices(" " + text, 64) for s in part] == encoders.CUT.split(" " + text)
-    made = [x for part in encoders.slices(" " + text, 64) for x in aligner.aligned(part)]
-    want = brute([text], whole)[0]
-    assert (sum(x[0] for x in made), sum(x[1] for x in made), sum(x[2] for x in made), ";".join(x[4] for x in made)) == (*want[:3], want[6])
     monkeypatch.setattr(align, "SLICE", 64)
-    monkeypatch.setattr(align, "slices", lambda t: encoders.slices(t, 64))
-    for tail, whole_parts in (("", True), (" \u2581", False)):
-        cut = [part for _, parts in align._fitting(encoders.Remembered(aligner.aligned, 20), [" " + text + tail]) for part in parts]
-        assert bool(cut) == whole_parts
-
-
-def test_counts_are_flushed_and_forgotten(spark, whole, monkeypatch):
-    """Small bounds of a worker's memory change nothing."""
-    known = encoders.Remembered(lambda s: [x.upper() for x in s], 2)
+    docs = [text, text + " \u2581", "short", "", text + "  "]
+    found = rows_of(align.align_tokenizers(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(1)))
+    assert [found[i] for i in range(len(docs))] == brute(docs, whole)
+    assert len(list(aligner.texts([" " + text]))) > 10 and list(aligner.texts([" " + docs[1]])) == []
+
+
+def test_stretches_that_fail_are_found(whole):
+    """One bad stretch among many costs the others nothing."""
+    stretches = [f" word{i}" for i in range(50)] + [" bad\u2581", " tail ", " ", "\nline"]
+    found = align.aligner_of(None, None).align(stretches)
+    assert found.ok.tolist() == [True] * 50 + [False, True, True, True]
+    assert found.counts[50].tolist() == [0, 0, 0, 0] and found.spelled[50] == ""
+    for i in (0, 49, 51, 52):
+        assert tuple(found.counts[i][:3]) + (found.spelled[i],) == (lambda w: (*w[:3], w[6]))(brute([stretches[i][1:]], whole)[0]) or stretches[i] == " "
+
+
+def test_what_is_remembered():
+    """Two generations; long stretches are not kept."""
+    asked = []
+    known = encoders.Remembered(lambda s: [asked.append(x) or x.upper() for x in s], 2)
     assert known(["a", "b", "c" * 2000])["a"] == "A"
-    assert "c" * 2000 not in known(["d"]) and known(["a"])["a"] == "A"
+    assert "c" * 2000 not in known(["d"])
+    assert known(["e", "a"])["a"] == "A" and known(["f"]) and known(["a"])["a"] == "A"
+    assert asked.count("a") == 1 and asked.count("b") == 1
+
+
+def test_both_libraries_agree(whole):
+    """All characters that go through the faster library, in the places where words are cut."""
+    encoder = encoders.byte_encoder()
+    assert encoder._ranked is not None
+    plain = [chr(i) for i in range(ord(encoders._PLAIN))]
+    texts = [f(c) for c in plain for f in (lambda c: f"a{c}1 {c}{c} {c}b", lambda c: f" {c}\n{c} ", lambda c: f"{c}'s{c}  {c}")]
+    assert encoder.encode(texts) == [whole[0].encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_identity_map():

@@ -289,6 +289,11 @@ def passages(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "source", "text")
 
 
+def passages_in_place(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages as the files hold them, in no other partitions."""
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text")
+
+
 TEMPLATE = 'Ask {{"question": ""}} about\n{text}\nEND $1 \\'
 
 

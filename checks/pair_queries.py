@@ -36,19 +36,34 @@ def read_passages_csv(spark, sf):
 
 
 SHARDED = f"""sharded AS (SELECT *, {Q.PROMPT} AS prompt,
-    printf('shard-%03d', (row_number() OVER (ORDER BY doc_id, source) - 1) // 300) AS shard FROM documents)"""
+    printf('shard-%03d', (row_number() OVER () - 1) // 300) AS shard FROM documents)"""
 
 
 def _requests(spark, sf, path=None):
     params = {"temperature": 0.2, "max_tokens": None}
     return pairs.build_requests(
-        X.passages(spark, sf), IDS, "text", X.TEMPLATE, "small-model", params, shard_size=300, path=path
+        X.passages_in_place(spark, sf), IDS, "text", X.TEMPLATE, "small-model", params, shard_size=300, path=path
     )
 
 
 @query(f"WITH {SHARDED} SELECT doc_id, source, shard FROM sharded")
 def assign_shards(spark, sf):
-    return work.assign_shards(X.passages(spark, sf), 300, IDS).select("doc_id", "source", "shard")
+    return work.assign_shards(X.passages_in_place(spark, sf), 300).select("doc_id", "source", "shard")
+
+
+@query(
+    """WITH t AS (SELECT c_custkey, c_name, c_nationkey, row_number() OVER (ORDER BY c_custkey) - 1 AS k FROM customer)
+    SELECT c_custkey, printf('shard-%03d', CAST((row_number() OVER (ORDER BY c_nationkey, c_custkey) - 1) // 70 AS INTEGER)) AS shard
+    FROM t WHERE c_custkey % 3 <> 0"""
+)
+def assign_shards_of_files(spark, sf):
+    """Source order over many CSV files that are not in id order; rows filtered out take no number."""
+    path = scratch_path(spark, "customers")
+    one = X.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    ordered = one.repartitionByRange(6, "c_nationkey", "c_custkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    ordered.write.csv(path, header=True)
+    rows = spark.read.csv(path, header=True, schema="c_custkey BIGINT, c_name STRING, c_nationkey BIGINT")
+    return work.assign_shards(rows.filter("c_custkey % 3 <> 0"), 70).select("c_custkey", "shard")
 
 
 def _fields(value):

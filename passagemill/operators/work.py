@@ -10,6 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -177,11 +180,73 @@ def with_global_position(df: DataFrame, order: Sequence[str | Column], out: str
     return joined.select(*df.columns, (F.col("_start") + F.col("_local")).alias(out))
 
 
+def from_files(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` still know the file they were read from."""
+    try:
+        df.select("_metadata.file_path", "_metadata.file_block_start")
+    except AnalysisException:
+        return False
+    return True
+
+
+#: Two hashes that name a split of a file.
+_SPLIT = (F.xxhash64, lambda *c: F.xxhash64(F.lit(7), *c))
+
+
+def _splits(rows: DataFrame) -> pa.Table:
+    """Per split of a file: its key, its first row number, its rows and the rows before it in the source.
+
+    Paths stay in the executors; the driver gets five numbers a split.
+    """
+    seen = [F.count(F.lit(1)).alias("n"), F.min("_row").alias("first"), F.max("_row").alias("last")]
+    found = stored(rows.groupBy("_file", "_start").agg(*seen), "splits")
+    if not found.filter(F.col("last") - F.col("first") + 1 != F.col("n")).isEmpty():
+        raise ValueError("rows have left the order of their files; give an order")
+    keys = [h("_file", "_start").alias(f"_k{i}") for i, h in enumerate(_SPLIT)]
+    table = found.orderBy("_file", "_start").select(*keys, "first", "n").toArrow()
+    counts = table["n"].to_numpy()
+    return table.append_column("_at", pa.array(np.cumsum(counts) - counts, pa.int64()))
+
+
+def with_source_position(df: DataFrame, out: str = "position", most_splits: int = C.MOST_SPLITS) -> DataFrame:
+    """0-based position of every row in its source: by file path, then by place in the file.
+
+    ``df`` is a scan of files of any format, with projections and filters that keep rows where
+    they are; rows that were filtered out take no number. Nothing is shuffled. A first pass counts
+    the rows of each split and reads no other columns than the filters need; the second numbers the
+    rows of each task and moves each split to its place. The table of splits, three numbers each,
+    is measured and broadcast; with more than ``most_splits`` it is joined as Spark sees fit. A pass
+    that finds other rows in a split than the first one ends with an error.
+    """
+    rows = df.select(
+        *df.columns,
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    table = _splits(rows)
+    places = df.sparkSession.createDataFrame(table)
+    places = F.broadcast(places) if table.num_rows <= most_splits else places
+    keyed = rows.select("*", *[h("_file", "_start").alias(f"_k{i}") for i, h in enumerate(_SPLIT)])
+    met = keyed.join(places, [f"_k{i}" for i in range(len(_SPLIT))], "left")
+    local = F.col("_row") - F.col("first")
+    known = F.coalesce((local >= 0) & (local < F.col("n")), F.lit(False))
+    place = F.when(known, F.col("_at") + local).otherwise(F.raise_error(F.lit("the source changed while it was numbered")).cast("long"))
+    return met.select(*df.columns, place.alias(out))
+
+
 def assign_shards(
     df: DataFrame, size: int = C.SHARD_SIZE, order: Sequence[str] | None = None
 ) -> DataFrame:
-    """Add ``shard``: position // size, named ``shard-000`` and on. All but the last are full."""
-    placed = with_global_position(df, order or df.columns[:1], "_position")
+    """Add ``shard``: position // size, named ``shard-000`` and on. All but the last are full.
+
+    Positions are those of the source files, found without a shuffle. With an ``order``, or if
+    ``df`` does not come straight from files, rows are sorted by it (by the first column).
+    """
+    if order is None and from_files(df):
+        placed = with_source_position(df, "_position")
+    else:
+        placed = with_global_position(df, order or df.columns[:1], "_position")
     number = F.floor(F.col("_position") / F.lit(size)).cast("int")
     return placed.withColumn("shard", F.format_string(C.SHARD_NAME, number)).drop("_position")
 

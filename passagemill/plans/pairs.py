@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from passagemill import constants as C
 from passagemill.functions.text import custom_id, render_prompt
 from passagemill.operators import pairs as P
-from passagemill.operators.work import assign_shards
+from passagemill.operators.work import assign_shards, from_files
 from passagemill.sources import sinks
 from passagemill.sources.readers import require_columns
 from passagemill.sources.scratch import stored
@@ -27,20 +27,23 @@ def build_requests(
     shard_size: int = C.SHARD_SIZE,
     path: str | None = None,
     response_format: Mapping[str, Any] = C.QUESTION_RESPONSE_FORMAT,
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``(shard, custom_id, prompt, value)`` per passage; one shuffle, by id range.
+    """``(shard, custom_id, prompt, value)`` per passage, in source order.
 
-    Passages without an id or text cannot be asked about and are left out; take them with
-    :func:`request_rejects`.
+    Passages that come straight from files are numbered by their place in them, without a shuffle;
+    a first pass over ids and texts counts the usable ones. Others, or with an ``order``, are
+    sorted first (by the ids). Prompts are rendered after that and are never stored. Passages
+    without an id or text cannot be asked about and are left out; take them with :func:`request_rejects`.
     """
     require_columns(passages, [*id_cols, text])
     usable = passages.select(*id_cols, F.col(text).alias("_text")).na.drop()
-    asked = usable.select(
-        *id_cols, custom_id(id_cols).alias("custom_id"), render_prompt(template, F.col("_text")).alias("prompt")
+    sharded = assign_shards(usable, shard_size, order=order or (None if from_files(usable) else id_cols))
+    asked = sharded.select(
+        "shard", custom_id(id_cols).alias("custom_id"), render_prompt(template, F.col("_text")).alias("prompt")
     )
-    sharded = assign_shards(asked, shard_size, order=id_cols)
     line = P.request_line(F.col("custom_id"), F.col("prompt"), model, params, response_format)
-    requests = sharded.select("shard", "custom_id", "prompt", line.alias("value"))
+    requests = asked.select("shard", "custom_id", "prompt", line.alias("value"))
     if path:
         sinks.write_request_shards(requests, path)
     return requests

@@ -32,6 +32,39 @@ def test_hot_value_spreads_over_partitions(spark):
     assert sum(hot) >= 1000 and max(hot) < sum(hot)
 
 
+def test_source_order_needs_no_shuffle(spark, tmp_path):
+    """Files in an order of their own, several splits each; filtered rows take no number."""
+    rows = spark.range(3000).withColumn("v", F.format_string("value %d %s", F.hash("id"), F.repeat(F.lit("x"), F.col("id").cast("int") % 90)))
+    rows.repartitionByRange(4, "v").sortWithinPartitions("v").write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/p")
+    rows.repartitionByRange(4, "v").sortWithinPartitions("v").write.csv(f"{tmp_path}/c")
+    wanted = [r.id for r in sorted(rows.filter("id % 7 <> 0").collect(), key=lambda r: r.v)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 9000)
+    try:
+        for source in (spark.read.parquet(f"{tmp_path}/p"), spark.read.schema("id BIGINT, v STRING").csv(f"{tmp_path}/c")):
+            assert source.rdd.getNumPartitions() > 4
+            placed = work.with_source_position(source.filter("id % 7 <> 0").select("id"))
+            assert [r.id for r in sorted(placed.collect(), key=lambda r: r.position)] == wanted
+            assert sorted(r.position for r in placed.collect()) == list(range(len(wanted)))
+            sharded = work.assign_shards(source.filter("id % 7 <> 0"), 100)
+            plan = plan_of(sharded)
+            assert "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan and "SinglePartition" not in plan
+            joined = work.with_source_position(source.select("id"), most_splits=0)
+            assert sorted(r.position for r in joined.collect()) == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rows_that_left_their_files(spark, tmp_path):
+    spark.range(1000).write.parquet(f"{tmp_path}/p")
+    source = spark.read.parquet(f"{tmp_path}/p")
+    with pytest.raises(ValueError, match="give an order"):
+        work.with_source_position(source.repartition(7, "id"))
+    assert not work.from_files(spark.range(3))
+    assert work.assign_shards(source.repartition(7, "id"), 100, ["id"]).filter("shard = 'shard-003'").agg(F.min("id"), F.max("id")).first()[:] == (300, 399)
+    assert work.assign_shards(source.limit(0), 100).count() == 0
+
+
 def test_shard_names_grow(spark):
     df = spark.range(1, 2)
     assert df.select(F.format_string("shard-%03d", F.lit(1234))).first()[0] == "shard-1234"

@@ -97,7 +97,7 @@ def build_preprint_table(spark, sf):
     lines = X.preprint_lines(spark, sf)
     plan.build_preprint_table(lines.filter(f"seq % 2 = 0 AND {ORIGINAL}"), path)
     plan.build_preprint_table(lines, path)
-    return spark.read.parquet(path)
+    return plan.read_preprint_table(spark, path)
 
 
 @query(f"WITH {Q.HITS} SELECT id, title FROM first_hits")
@@ -124,7 +124,7 @@ def ingest_preprints_stream(spark, sf):
     for part in (f"{ORIGINAL} AND seq % 3 < 2", f"{ORIGINAL} AND seq % 3 > 0", "true"):
         lines.filter(part).select("value").write.mode("append").text(folder)
         ingest.ingest_preprints_stream(spark, folder, path, marks).awaitTermination()
-    return spark.read.parquet(path)
+    return plan.read_preprint_table(spark, path)
 
 
 @query(f"WITH {Q.HITS} SELECT DISTINCT id FROM hits")

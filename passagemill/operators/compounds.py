@@ -34,25 +34,37 @@ def compounds_table(df: DataFrame, *extra: Column) -> DataFrame:
 
 
 def described(record: Column) -> Column:
-    """Array of a record's descriptions, each with its reference's fields (null if unmatched)."""
+    """Array of a record's descriptions, each with its reference's fields (null if unmatched).
+
+    References are in order of their number, so each description finds its own by halving steps:
+    no map is built or scanned.
+    """
 
     def attach(refs: Column) -> Column:
-        def one(d: Column) -> Column:
-            ref = F.try_element_at(refs, d["ReferenceNumber"])
-            return F.struct(
-                d["Description"].alias("Description"),
-                d["ReferenceNumber"].alias("ReferenceNumber"),
-                *[ref[name].alias(alias) for name, alias in _REFERENCE.items()],
-                ref.isNotNull().alias("matched"),
+        steps = F.filter(F.array(*[F.lit(1 << k) for k in reversed(range(31))]), lambda p: p <= F.size(refs))
+
+        def one(d: Column, steps: Column) -> Column:
+            number = d["ReferenceNumber"]
+            reach = F.aggregate(
+                steps,
+                F.lit(0),
+                lambda at, step: F.when(F.get(refs, at + step - 1)["ReferenceNumber"] <= number, at + step).otherwise(at),
             )
 
-        return F.transform(P.descriptions(P.names_section(record)), one)
+            def joined(last: Column) -> Column:
+                ref = F.when(last["ReferenceNumber"] == number, last)
+                return F.struct(
+                    d["Description"].alias("Description"),
+                    number.alias("ReferenceNumber"),
+                    *[ref[name].alias(alias) for name, alias in _REFERENCE.items()],
+                    ref.isNotNull().alias("matched"),
+                )
 
-    numbered = F.filter(P.references(record), lambda r: r["ReferenceNumber"].isNotNull())
-    by_number = F.map_from_entries(
-        F.transform(numbered, lambda r: F.struct(r["ReferenceNumber"].alias("n"), r.alias("r")))
-    )
-    return bind(by_number, attach)
+            return bind(F.get(refs, reach - 1), joined)
+
+        return bind(steps, lambda s: F.transform(P.descriptions(P.names_section(record)), lambda d: one(d, s)))
+
+    return bind(F.filter(P.references(record), lambda r: r["ReferenceNumber"].isNotNull()), attach)
 
 
 def compound_references(df: DataFrame) -> DataFrame:
@@ -96,10 +108,14 @@ def _all_described(df: DataFrame) -> DataFrame:
 
 
 def only_matched(rows: DataFrame, strict: bool = False) -> DataFrame:
-    """Drop descriptions without a reference, or fail on the first one when ``strict``."""
+    """Drop descriptions without a reference. ``strict`` fails on the first, and on one that lacks a field."""
     if strict:
-        message = F.concat(F.lit("no reference "), F.col("ReferenceNumber").cast("string"))
-        kept = F.when(F.col("matched"), True).otherwise(F.raise_error(message).cast("boolean"))
+        number = F.col("ReferenceNumber").cast("string")
+        lacking = F.filter(F.array(*[F.when(F.col(alias).isNull(), F.lit(alias)) for alias in _REFERENCE.values()]), lambda x: x.isNotNull())
+        problem = F.when(~F.col("matched"), F.concat(F.lit("no reference "), number)).when(
+            F.size(lacking) > 0, F.concat(F.lit("reference "), number, F.lit(" lacks "), F.array_join(lacking, ", "))
+        )
+        kept = F.when(problem.isNull(), True).otherwise(F.raise_error(problem).cast("boolean"))
         return rows.filter(kept).drop("matched")
     return rows.filter("matched").drop("matched")
 

@@ -65,11 +65,50 @@ def skip_processed(
     return skip_existing_ids(df, done.select(*[F.col(f"raw.{c}").alias(c) for c in id_cols]), id_cols)
 
 
-def distinct_by_key(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
-    """First row per key in ``order``. Each task keeps one row per key before the shuffle."""
-    rest = [c for c in df.columns if c not in key]
-    first = df.groupBy(*key).agg(F.min_by(F.struct(*rest), order).alias("_first"))
-    return first.select(*[F.col(c) if c in key else F.col(f"_first.{c}").alias(c) for c in df.columns])
+def _place() -> list[Column]:
+    """Where a row of stored Parquet files is: a hash of its file, and its number in it."""
+    return [F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r")]
+
+
+def first_places(rows: DataFrame, key: Sequence[str], order: str, known: DataFrame | None = None) -> DataFrame:
+    """Places ``_f, _r`` of the first row per key in ``order``, without keys that ``known`` holds.
+
+    ``rows`` reads stored Parquet files, of which only the key and order columns are read. Each task
+    keeps one place per key before the shuffle. Equal orders are decided by place.
+    """
+    narrow = rows.select(*key, F.col(order).alias("_order"), *_place())
+    if known is not None:
+        narrow = skip_existing_ids(narrow, known, key, few_new=True)
+    first = narrow.groupBy(*key).agg(F.min(F.struct("_order", "_f", "_r")).alias("_first"))
+    return first.select("_first._f", "_first._r")
+
+
+def rows_at(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The stored rows at the given places; wide rows meet whichever list is shorter.
+
+    If nearly all rows are wanted, the few that are not are looked up instead, so that Spark can
+    broadcast them and the wide rows stay where they are.
+    """
+    total, wanted = rows.count(), places.count()
+    if wanted == total:
+        return rows
+    placed = rows.select("*", *_place())
+    if 2 * wanted <= total:
+        return placed.join(places, ["_f", "_r"], "left_semi").drop("_f", "_r")
+    unwanted = stored(rows.select(*_place()).join(places, ["_f", "_r"], "left_anti"), "unwanted-rows")
+    return placed.join(unwanted, ["_f", "_r"], "left_anti").drop("_f", "_r")
+
+
+def distinct_by_key(
+    df: DataFrame, key: Sequence[str], order: str, known: DataFrame | None = None, in_files: bool = False
+) -> DataFrame:
+    """First row per key in ``order``, without rows whose key ``known`` holds. A null key is a key.
+
+    The decision is made on keys, orders and places alone; wide rows are neither aggregated nor
+    compared. ``df`` is computed once and written, unless it reads stored files already (``in_files``).
+    """
+    rows = df if in_files else stored(df, "rows")
+    return rows_at(rows, stored(first_places(rows, key, order, known), "first-rows"))
 
 
 def download_worklist(hits: DataFrame, listing: DataFrame) -> DataFrame:

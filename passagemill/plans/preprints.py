@@ -2,49 +2,73 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passagemill import schemas as S
 from passagemill.operators.preprints import project_preprints
-from passagemill.operators.work import distinct_by_key, has_id, skip_existing_ids
+from passagemill.operators.work import distinct_by_key, has_id
 from passagemill.sources import sinks
-from passagemill.sources.readers import existing_table, malformed, parse_lines, parse_preprints
-from passagemill.sources.scratch import stored
+from passagemill.sources.readers import existing_table, is_malformed, parse_lines
+from passagemill.sources.scratch import job_scope, stored
+
+#: What a line can come to: a row, or the reason why it is none.
+ROW, MALFORMED, NO_ID = "row", "malformed", "no id"
 
 
-def first_preprints(lines: DataFrame, keep_line: bool = False, known: DataFrame | None = None) -> DataFrame:
-    """The table's columns, from the first well-formed line of every id that ``known`` does not hold.
+def judged_preprints(lines: DataFrame, keep_line: bool = False) -> DataFrame:
+    """Every line ``(value, seq)`` parsed once: the table's columns, ``seq``, ``value`` and ``outcome``.
 
-    Lines are parsed once and projected before the shuffle; the line itself travels along only
-    for the raw log. Known ids go first, so that rows of stored preprints are not sorted or
-    compared; both steps deal rows by id, so they share one shuffle.
+    The line itself stays with rejects; with rows only for the raw log (``keep_line``).
     """
-    hits = parse_preprints(lines).filter(has_id("item.id"))
-    rows = project_preprints(hits, keep=["seq", *(["value"] if keep_line else [])])
-    if known is not None:
-        rows = skip_existing_ids(rows, known, ["id"], few_new=True)
-    return distinct_by_key(rows, ["id"], "seq").drop("seq")
+    parsed = parse_lines(lines, S.PREPRINT_HIT)
+    outcome = F.when(is_malformed("j"), MALFORMED).when(has_id("j.item.id"), ROW).otherwise(NO_ID)
+    judged = parsed.select("value", "seq", F.col("j.item").alias("item"), outcome.alias("outcome"))
+    value = F.col("value") if keep_line else F.when(F.col("outcome") != ROW, F.col("value"))
+    return project_preprints(judged, keep=["seq", value.alias("value"), "outcome"])
 
 
 def preprint_rejects(lines: DataFrame) -> DataFrame:
     """``(value, reason)`` of lines that cannot become a row: not readable, or without an id."""
-    broken = malformed(parse_lines(lines, S.PREPRINT_HIT)).select("value", F.lit("malformed").alias("reason"))
-    without = parse_preprints(lines).filter(~has_id("item.id"))
-    return broken.unionByName(without.select("value", F.lit("no id").alias("reason")))
+    return judged_preprints(lines).filter(F.col("outcome") != ROW).select("value", F.col("outcome").alias("reason"))
+
 
+def build_preprint_table(
+    lines: DataFrame,
+    path: str,
+    raw_path: str | None = None,
+    rejects_path: str | None = None,
+    batch: str | None = None,
+) -> DataFrame:
+    """Add new preprints to the table at ``path``, their lines to the raw log, unusable lines to the rejects.
 
-def build_preprint_table(lines: DataFrame, path: str, raw_path: str | None = None) -> DataFrame:
-    """Append new preprints to the table at ``path`` and their lines to the raw log.
+    Lines are parsed once, into folders by outcome. Of each id that is not stored yet the first
+    line counts; that is decided on ids and places, and the wide rows are fetched after it.
 
-    Only preprints whose id is not stored are appended, so repeating a run adds nothing. New rows
-    are written to the shared folder once; both outputs and the returned rows are read from there.
+    All outputs are partitioned by ``batch``. A run that repeats a batch, because it failed between
+    two outputs or was delivered twice, replaces what that batch wrote; ids of other batches are
+    skipped. Without a name a run is a batch of its own. Returns the rows added.
     """
-    schema = first_preprints(lines).schema
-    known = existing_table(lines.sparkSession, path, schema)
-    new = stored(first_preprints(lines, raw_path is not None, known), "preprints")
-    table = new.drop("value")
-    if raw_path:
-        sinks.append_raw_log(new, raw_path)
-    table.write.mode("append").parquet(path)
-    return table
+    spark, batch = lines.sparkSession, batch or uuid.uuid4().hex
+    with job_scope(spark):
+        judged = stored(judged_preprints(lines, raw_path is not None), "preprints", by="outcome")
+        rows = judged.filter(F.col("outcome") == ROW).drop("outcome")
+        known = existing_table(spark, path, "id STRING, batch STRING")
+        known = known if known is None else known.filter(F.col("batch") != batch).select("id")
+        new = distinct_by_key(rows, ["id"], "seq", known, in_files=True)
+        if raw_path:
+            sinks.replace_batch(new.select("value"), raw_path, batch, "text")
+        if rejects_path:
+            rejects = judged.filter(F.col("outcome") != ROW).select("value", F.col("outcome").alias("reason"))
+            sinks.replace_batch(rejects, rejects_path, batch)
+        table = new.select(*S.PREPRINT_COLUMNS)
+        sinks.replace_batch(table, path, batch)
+    added = existing_table(spark, path, table.schema.add("batch", "string"))
+    return added.filter(F.col("batch") == batch).drop("batch")
+
+
+def read_preprint_table(spark, path: str) -> DataFrame:
+    """The stored table, of all batches."""
+    return spark.read.parquet(path).select(*S.PREPRINT_COLUMNS)

@@ -1,9 +1,12 @@
-"""Where intermediate tables go: the shared folder that the cluster names."""
+"""Where intermediate tables go: the shared folder that the cluster names, and how long they stay."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +28,67 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back: lineage ends at the files, columns stay prunable."""
+class Scope:
+    """Intermediate tables of one job."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def own(self, path: str) -> None:
+        self._paths.append(path)
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables of this job that no later step reads."""
+        for table in tables:
+            path = getattr(table, _PATH, None)
+            if path in self._paths:
+                self._paths.remove(path)
+                _delete(self._spark, path)
+
+    def close(self) -> None:
+        for path in self._paths:
+            _delete(self._spark, path)
+        self._paths = []
+
+
+_PATH = "_scratch_path"
+_scope: ContextVar[Scope | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def job_scope(spark: SparkSession) -> Iterator[Scope]:
+    """Tables that :func:`stored` writes inside are deleted at the end, also when the job fails.
+
+    Tables stored with ``keep`` stay: those that the job returns or returned tables read. Scopes
+    nest; a table belongs to the innermost one.
+    """
+    scope = Scope(spark)
+    token = _scope.set(scope)
+    try:
+        yield scope
+    finally:
+        _scope.reset(token)
+        scope.close()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stored(df: DataFrame, label: str, by: str | None = None, keep: bool = False) -> DataFrame:
+    """Write ``df`` once and read it back: lineage ends at the files, columns stay prunable.
+
+    ``by`` deals the rows into folders by a column, so that a filter on it reads only its part. An
+    open :func:`job_scope` owns the table unless ``keep``.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    scope = _scope.get()
+    if scope and not keep:
+        scope.own(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    setattr(table, _PATH, path)
+    return table

@@ -19,11 +19,11 @@ def append_table(df: DataFrame, path: str, key: Sequence[str]) -> DataFrame:
     """
     target = existing_table(df.sparkSession, path, df.schema)
     usable = df.na.drop(subset=list(key))
-    new = usable if target is None else skip_existing_ids(usable, target, key, few_new=True)
     if set(df.columns) != set(key):
         plain = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-        new = distinct_by_key(new.withColumn("_order", F.xxhash64(*plain)), key, "_order").drop("_order")
+        new = distinct_by_key(usable.withColumn("_order", F.xxhash64(*plain)), key, "_order", target).drop("_order")
     else:
+        new = usable if target is None else skip_existing_ids(usable, target, key, few_new=True)
         new = new.distinct()
     new.write.mode("append").parquet(path)
     return df.filter(~F.expr(" and ".join(f"`{c}` is not null" for c in key)))
@@ -73,9 +73,31 @@ def write_merged_lines(df: DataFrame, path: str) -> None:
     df.select("value").write.mode("overwrite").text(path)
 
 
-def append_raw_log(df: DataFrame, path: str) -> None:
-    """Keep accepted hits verbatim, one line each, for later re-parsing."""
-    df.select("value").write.mode("append").text(path)
+def append_raw_log(df: DataFrame, path: str, batch: str | None = None) -> None:
+    """Keep accepted hits verbatim, one line each, for later re-parsing.
+
+    A named ``batch`` replaces what it wrote before, so that it can be repeated.
+    """
+    if batch:
+        replace_batch(df.select("value"), path, batch, "text")
+    else:
+        df.select("value").write.mode("append").text(path)
+
+
+def replace_batch(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> None:
+    """Write rows as the partition ``batch`` of a table, in place of what that partition held.
+
+    Other partitions are not touched. A batch without rows leaves its partition as it is: the
+    same batch has the same rows whenever it is repeated.
+    """
+    (
+        df.withColumn("batch", F.lit(batch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch")
+        .format(fmt)
+        .save(path)
+    )
 
 
 def write_job_status(df: DataFrame, path: str) -> None:

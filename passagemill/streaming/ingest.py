@@ -35,6 +35,16 @@ def arrival_order(batch: DataFrame) -> DataFrame:
     return batch.select("value", seq.alias("seq"))
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a started query keeps in its checkpoint, over all restarts."""
+    return spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+
+
+def batch_name(spark: SparkSession, checkpoint: str, number: int) -> str:
+    """Name of a micro-batch that no other query and no later batch has."""
+    return f"{stream_id(spark, checkpoint)}-{number:09d}"
+
+
 def ingest_preprints_stream(
     spark: SparkSession,
     folder: str,
@@ -42,18 +52,22 @@ def ingest_preprints_stream(
     checkpoint: str,
     raw_path: str | None = None,
     files_per_batch: int = 1000,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
-    """Append preprints of new log files to the table; the first arrival of an id stays.
+    """Add preprints of new log files to the table; the first arrival of an id stays.
 
-    A batch that is delivered twice finds its ids stored and adds nothing. One writer per table.
+    A micro-batch is a batch of :func:`build_preprint_table`, named by the query and its number: if it
+    is delivered again, or was stopped between the outputs, it replaces what it wrote. One writer
+    per table.
     """
 
-    def append(batch: DataFrame, _: int) -> None:
-        build_preprint_table(arrival_order(batch), path, raw_path)
+    def add(batch: DataFrame, number: int) -> None:
+        name = batch_name(spark, checkpoint, number)
+        build_preprint_table(arrival_order(batch), path, raw_path, rejects_path, name)
 
     lines = stream_lines(spark, folder, files_per_batch=files_per_batch)
     return (
-        lines.writeStream.foreachBatch(append)
+        lines.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -10,7 +10,7 @@ from passagemill.operators import preprints as P
 from passagemill.plans import compounds as plan
 from passagemill.plans import preprints as preprint_plan
 from passagemill.sources import readers, sinks
-from passagemill.sources.scratch import scratch_path
+from passagemill.sources.scratch import job_scope, scratch_path, shared_folder, stored
 from passagemill.streaming import ingest
 
 
@@ -67,7 +67,7 @@ def test_compound_edge_cases(spark):
     found = {(r.ReferenceNumber, r.Description, r.SourceName, r.URL) for r in C.descriptions_table(df).collect()}
     assert found == {(5, "new", "five", None), (6, "six", "last", None)}
     assert [(r.CID, r.ReferenceNumber) for r in C.description_rejects(df).collect()] == [(1, 7)]
-    with pytest.raises(Exception, match="no reference 7"):
+    with pytest.raises(Exception, match="no reference 7|lacks SourceID"):
         C.descriptions_table(df, strict=True).collect()
     joined = C.attach_references(C.compound_descriptions_raw(df), C.compound_references(df))
     assert sorted(joined.collect()) == sorted(C.descriptions_table(df).collect())
@@ -115,6 +115,93 @@ def test_preprint_job_twice(spark):
     assert sorted(r.value for r in spark.read.text(raw).collect()) == sorted(LINES[:2])
 
 
+def test_preprint_lines_are_parsed_once_and_accounted_for(spark):
+    path, rejects = scratch_path(spark, "p"), scratch_path(spark, "rejects")
+    judged = preprint_plan.judged_preprints(lines(spark))
+    assert judged._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    preprint_plan.build_preprint_table(lines(spark), path, None, rejects)
+    found = spark.read.parquet(rejects)
+    assert sorted(r.reason for r in found.collect()) == ["malformed"] * 3 + ["no id"] * 2
+    assert judged.count() == judged.filter("outcome = 'row'").count() + found.count()
+    assert {r.value for r in found.collect()} == set(LINES[2:4] + LINES[5:])
+
+
+def test_repeated_batch_replaces_itself(spark, monkeypatch):
+    """A batch that stops between its outputs, or comes twice, leaves the same tables."""
+    path, raw = scratch_path(spark, "p"), scratch_path(spark, "raw")
+    one = lines(spark)
+    more = spark.createDataFrame([(json.dumps({"item": {"id": i, "title": "new"}}), n) for n, i in enumerate("az")], "value STRING, seq INT")
+
+    def stopped(df, target, *rest):
+        if target == path:
+            raise RuntimeError("lost")
+        return replace(df, target, *rest)
+
+    replace = sinks.replace_batch
+    preprint_plan.build_preprint_table(one, path, raw, batch="first")
+    monkeypatch.setattr(sinks, "replace_batch", stopped)
+    with pytest.raises(RuntimeError):
+        preprint_plan.build_preprint_table(more, path, raw, batch="second")
+    monkeypatch.setattr(sinks, "replace_batch", replace)
+    for name, given in (("second", more), ("second", more), ("first", one)):
+        added = preprint_plan.build_preprint_table(given, path, raw, batch=name)
+        assert sorted(r.id for r in added.collect()) == (["z"] if name == "second" else ["a", "b"])
+    assert sorted(r.id for r in preprint_plan.read_preprint_table(spark, path).collect()) == ["a", "b", "z"]
+    assert spark.read.text(raw).count() == 3
+
+
+def test_jobs_leave_only_their_outputs(spark):
+    import os
+
+    before = set(os.listdir(shared_folder(spark)))
+    path = scratch_path(spark, "p")
+    table = preprint_plan.build_preprint_table(lines(spark), path)
+    assert {x for x in os.listdir(shared_folder(spark))} - before == {path.rsplit("/", 1)[1]}
+    assert table.count() == 2
+    with pytest.raises(ZeroDivisionError):
+        with job_scope(spark) as scope:
+            kept, dropped = stored(spark.range(3), "kept", keep=True), stored(spark.range(3), "dropped")
+            early = stored(spark.range(4), "early")
+            scope.drop(early)
+            1 / 0
+    assert kept.count() == 3
+    left = {x.split("-")[0] for x in set(os.listdir(shared_folder(spark))) - before}
+    assert left == {"p", "kept"} and dropped is not None
+
+
+def test_compound_rejects(spark):
+    nameless = record(2, [(5, "lost")], [(5, "s")])
+    nameless["Record"]["RecordNumber"] = None
+    df = read(spark, record(1, [(5, "d"), (8, "no ref")], [(5, "s")], ["abc"]), nameless)
+    paths, rejects = (scratch_path(spark, "c"), scratch_path(spark, "d")), scratch_path(spark, "r")
+    for _ in range(2):
+        compounds, descriptions = plan.build_compound_tables(df, *paths, rejects_path=rejects, batch="b")
+    assert [r.CID for r in compounds.collect()] == [1] and descriptions.count() == 1
+    found = {(r.kind, r.reason, r.CID, r.ReferenceNumber, r.Description) for r in spark.read.parquet(rejects).collect()}
+    assert found == {("compound", "no id", None, None, None), ("description", "no id", None, 5, "lost"), ("description", "no reference", 1, 8, "no ref")}
+    assert spark.read.parquet(rejects).count() == 3
+
+
+def test_strict_stops_on_missing_fields(spark):
+    df = read(spark, record(1, [(5, "d")], [(5, "s")]))
+    with pytest.raises(Exception, match="reference 5 lacks"):
+        C.descriptions_table(df, strict=True).collect()
+
+
+def test_many_descriptions_find_their_reference(spark):
+    """10,000 descriptions and references of one record, in time that grows with them."""
+    import time
+
+    took = []
+    for n in (2_000, 20_000):
+        df = read(spark, record(1, [(i * 3, f"d{i}") for i in range(n)], [(i * 2, f"s{i}") for i in range(n)]))
+        start = time.time()
+        rows = C.descriptions_table(df).collect()
+        took.append(time.time() - start)
+        assert {(r.ReferenceNumber, r.Description, r.SourceName) for r in rows} == {(i * 3, f"d{i}", f"s{i * 3 // 2}") for i in range(n) if i * 3 % 2 == 0 and i * 3 // 2 < n and i * 3 != 111}
+    assert took[1] < 40 * max(took[0], 0.5)
+
+
 def test_passages_of_a_config_and_of_the_catalog(spark):
     path = scratch_path(spark, "configs")
     for name in ("v1", "v2"):

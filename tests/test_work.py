@@ -74,13 +74,30 @@ def test_empty_input_has_no_shards(spark):
     assert work.assign_shards(spark.range(0), 10).count() == 0
 
 
-def test_first_per_key_combines_before_the_shuffle(spark):
-    rows = [("a", 2, "x"), ("a", 1, "y"), ("b", 3, None)]
-    df = spark.createDataFrame(rows, "id STRING, seq INT, v STRING")
+def test_first_per_key_decides_on_places(spark):
+    """Only keys, orders and places are aggregated, combined before the shuffle; wide rows are fetched after that."""
+    rows = [("a", 2, "x"), ("a", 1, "y"), ("b", 3, None), ("a", 1, "z"), (None, 5, "n"), (None, 4, "m")]
+    df = spark.createDataFrame(rows, "id STRING, seq INT, v STRING").coalesce(1)
     first = work.distinct_by_key(df, ["id"], "seq")
-    assert sorted(map(tuple, first.collect())) == [("a", 1, "y"), ("b", 3, None)]
-    plan = plan_of(first)
-    assert "partial_min_by" in plan and "Window" not in plan
+    assert {r.id: r.seq for r in first.collect()} == {"a": 1, "b": 3, None: 4} and first.count() == 3
+    assert first.columns == df.columns
+    path = scratch_path(spark, "wide")
+    df.write.parquet(path)
+    table = spark.read.parquet(path)
+    plan = plan_of(work.first_places(table, ["id"], "seq"))
+    assert "partial_min" in plan and "Window " not in plan and "ReadSchema: struct<id:string,seq:int,_tmp_metadata_row_index:bigint>" in plan
+    known = spark.createDataFrame([("a",)], "id STRING")
+    assert {r.id for r in work.distinct_by_key(table, ["id"], "seq", known, in_files=True).collect()} == {"b", None}
+
+
+def test_rows_meet_the_shorter_list(spark):
+    path = scratch_path(spark, "wide")
+    spark.range(100).withColumn("k", F.col("id") % 95).write.parquet(path)
+    few = work.distinct_by_key(spark.read.parquet(path), ["k"], "id", in_files=True)
+    assert few.count() == 95 and "LeftAnti" in plan_of(few)
+    spark.range(100).withColumn("k", F.col("id") % 5).write.mode("overwrite").parquet(path)
+    many = work.distinct_by_key(spark.read.parquet(path), ["k"], "id", in_files=True)
+    assert sorted(r.id for r in many.collect()) == [0, 1, 2, 3, 4] and "LeftSemi" in plan_of(many)
 
 
 def test_anti_join_plan(spark):

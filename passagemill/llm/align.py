@@ -14,19 +14,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stored
-from .encoders import byte_encoder, piece_encoder, slices
+from .encoders import byte_encoder, cuts, parts, piece_encoder
 from .keys import text_key
-from .tokens import document_slices
+from .tokens import document_slices, text_bytes, word_hashes
 
 #: Pairs of irregular groups that are broadcast at most (17 bytes each), and that a task sums up before it passes them on.
 MOST_PAIRS, SUMMED = 1_000_000, 200_000
-#: Characters of text handled at once; the more, the fewer words are encoded again.
-SLICE = 4 << 20
+#: Bytes of text handled at once; the more, the fewer words are encoded again.
+SLICE = 2 << 20
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -70,7 +69,7 @@ class Aligner:
         self._inside, self._last_a, self._last_b = (np.array([x + end for x in names], object) for end in ",|;")
         self._digits = np.array([len(x) for x in names], np.int64)
 
-    def align(self, stretches: list[str]) -> Aligned:
+    def align(self, stretches: list[str], spell: bool = True) -> Aligned:
         """Stretches that do not end in white space are encoded by A as one text: no token crosses their ends."""
         ends = [s[-1].isspace() for s in stretches]
         joined = [i for i, blank in enumerate(ends) if not blank]
@@ -81,14 +80,14 @@ class Aligner:
         sizes = np.fromiter((len(s) if s.isascii() else len(s.encode()) for s in stretches), np.int64, len(stretches))
         ok = np.ones(len(stretches), bool)
         ok[[i for part, ids, _ in found if not ids for i in part]] = False
-        counts, codes, spelled = self._side_by_side(xs, ys, np.cumsum((sizes * ok)[order]))
+        counts, codes, spelled = self._side_by_side(xs, ys, np.cumsum((sizes * ok)[order]), spell)
         if len(found) == 1:
             return Aligned(ok, counts, codes, spelled)
         place = np.argsort(order)
         links = counts[:, 3]
         first = (np.cumsum(links) - links)[place]
         taken = np.repeat(first - (np.cumsum(links[place]) - links[place]), links[place])
-        return Aligned(ok, counts[place], codes[taken + np.arange(len(taken))], [spelled[i] for i in place.tolist()])
+        return Aligned(ok, counts[place], codes[taken + np.arange(len(taken))], [spelled[i] for i in place.tolist()] if spell else [])
 
     def _encoded(self, stretches: list[str], part: list[int]) -> list[tuple[list[int], list[int], list[int]]]:
         """``(stretches, ids, ids)``; without ids if a vocabulary does not give a stretch back."""
@@ -102,8 +101,8 @@ class Aligner:
         half = len(part) // 2
         return self._encoded(stretches, part[:half]) + self._encoded(stretches, part[half:])
 
-    def _side_by_side(self, xs: np.ndarray, ys: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Counts per stretch, codes of links and groups as text, of tokens over the same bytes, cut at ``cuts``."""
+    def _side_by_side(self, xs: np.ndarray, ys: np.ndarray, ends: np.ndarray, spell: bool) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Counts per stretch, codes of links and groups as text, of tokens over the same bytes, of stretches with these ``ends``."""
         ends_a, ends_b = np.cumsum(self._lengths[0][xs]), np.cumsum(self._lengths[1][ys])
         cells = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # two runs, merged
         cells = cells[np.diff(cells, append=-1) != 0]  # every cell lies in one token of each side, and every link is one cell
@@ -111,9 +110,11 @@ class Aligner:
         codes = np.where(self.same[a] == b, a, self.n_a + a * self.n_b + b)
         closes_a, closes_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
         groups_a, groups_b = np.cumsum(closes_a), np.cumsum(closes_b)
-        of_a, of_b, of_cells = (np.searchsorted(e, cuts, "right") for e in (ends_a, ends_b, cells))
+        of_a, of_b, of_cells = (np.searchsorted(e, ends, "right") for e in (ends_a, ends_b, cells))
         of_groups = np.concatenate([[0], groups_a])[of_a]
         counts = np.diff(np.column_stack([of_a, of_b, of_groups, of_cells]), axis=0, prepend=0).astype(np.int64)
+        if not spell:
+            return counts, codes, []
         # tokens of A, then those of B, group by group
         order = np.argsort(np.concatenate([2 * (groups_a - closes_a), 2 * (groups_b - closes_b) + 1]), kind="stable")
         names = np.concatenate([np.where(closes_a, self._last_a[xs], self._inside[xs]), np.where(closes_b, self._last_b[ys], self._inside[ys])])[order]
@@ -125,28 +126,35 @@ class Aligner:
     def regular(self, codes: np.ndarray) -> np.ndarray:
         return codes < self.n_a
 
-    def texts(self, texts: list[str]) -> Iterator[tuple[Aligned, np.ndarray, np.ndarray]]:
+    def texts(self, raw: np.ndarray, ends: np.ndarray, spell: bool = True) -> Iterator[tuple[Aligned, np.ndarray, np.ndarray]]:
         """Different stretches of texts aligned, the number of each stretch of every text, and where texts end.
 
-        A text that a vocabulary does not give back has no stretch. A text of more than a slice
-        comes alone and in parts, after all its parts were found to be given back.
+        ``raw`` are the bytes of texts on end, each with its space in front. A text that a
+        vocabulary does not give back has no stretch. A text of more than a slice comes alone and
+        in parts, after all its parts were found to be given back. Within a slice stretches of one
+        length and 64-bit hash are the same.
         """
-        if len(texts) > 1 or len(texts[0]) <= SLICE:
-            yield self._numbered([next(slices(t, SLICE), []) for t in texts])
-        elif all(self.align(list(dict.fromkeys(part))).ok.all() for part in slices(texts[0], SLICE)):
-            for part in slices(texts[0], SLICE):
-                yield self._numbered([part])
-
-    def _numbered(self, cut: list[list[str]]) -> tuple[Aligned, np.ndarray, np.ndarray]:
-        number = {s: i for i, s in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
-        found = self.align(list(number))
-        ids = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
-        sizes = np.array([len(part) for part in cut], np.int64)
+        if len(ends) > 1 or len(raw) <= 2 * SLICE:
+            yield self._numbered(raw, ends, spell)
+        elif all(self._numbered(part, np.array([len(part)]), False)[0].ok.all() for part in parts(raw, SLICE)):
+            for part in parts(raw, SLICE):
+                yield self._numbered(part, np.array([len(part)]), spell)
+
+    def _numbered(self, raw: np.ndarray, ends: np.ndarray, spell: bool) -> tuple[Aligned, np.ndarray, np.ndarray]:
+        begins = np.zeros(len(raw) + 1, bool)
+        begins[cuts(raw)] = True
+        begins[np.concatenate([[0], ends])] = True
+        bounds = np.flatnonzero(begins)
+        starts, stops = bounds[:-1], bounds[1:]
+        _, first, ids = np.unique(word_hashes(raw, starts, stops), return_index=True, return_inverse=True)
+        text = raw.tobytes()
+        found = self.align([text[i:j].decode() for i, j in zip(starts[first].tolist(), stops[first].tolist())], spell)
+        until = np.searchsorted(starts, ends)
         if not found.ok.all():
-            text = np.repeat(np.arange(len(cut)), sizes)
-            fits = np.bincount(text[~found.ok[ids]], minlength=len(cut)) == 0
-            ids, sizes = ids[fits[text]], sizes * fits
-        return found, ids, np.cumsum(sizes)
+            of = np.searchsorted(ends, starts, "right")
+            fits = np.bincount(of[~found.ok[ids]], minlength=len(ends)) == 0
+            ids, until = ids[fits[of]], np.cumsum(np.diff(until, prepend=0) * fits)
+        return found, ids, until
 
 
 _aligners: dict[tuple, Aligner] = {}
@@ -158,13 +166,22 @@ def aligner_of(a_path: str | None, b_path: str | None) -> Aligner:
     return _aligners[a_path, b_path]
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
-    """Texts of a batch with their space, about ``SLICE`` characters at a time, and the number of the first."""
-    column = batch.column("text")
-    sizes = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    offsets = np.concatenate([[0], np.cumsum(sizes + 1)])
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Texts of a batch, about ``SLICE`` bytes at a time: the first and last one, bytes and where each ends.
+
+    Every text that is not empty gets a space in front.
+    """
+    raw, offsets = text_bytes(batch.column("text"))
     for low, high in document_slices(offsets, SLICE):
-        yield low, [" " + t if t else "" for t in column.slice(low, high - low).to_pylist()]
+        own = offsets[low : high + 1] - offsets[low]
+        filled = np.diff(own) > 0
+        ends = own[1:] + np.cumsum(filled)
+        spaced = np.empty(ends[-1], np.uint8)
+        letters = np.ones(len(spaced), bool)
+        letters[(own[:-1] + np.cumsum(filled) - filled)[filled]] = False
+        spaced[~letters] = 32
+        spaced[letters] = raw[offsets[low] : offsets[high]]
+        yield low, high, spaced, ends
 
 
 def _summed(codes: np.ndarray, times: np.ndarray) -> tuple[list[int], list[int]]:
@@ -194,8 +211,8 @@ def pair_counts(texts: DataFrame, a_path: str | None = None, b_path: str | None
             return rows(codes // aligner.n_b, codes % aligner.n_b, np.fromiter(pairs.values(), np.int64, len(pairs)))
 
         for batch in batches:
-            for _, some in _texts(batch):
-                for found, ids, _ in aligner.texts(some):
+            for _, _, raw, ends in _texts(batch):
+                for found, ids, _ in aligner.texts(raw, ends, spell=False):
                     times = np.repeat(np.bincount(ids, minlength=len(found.ok)), found.counts[:, 3])
                     plain = aligner.regular(found.codes)
                     np.add.at(vector, found.codes[plain], times[plain])
@@ -276,20 +293,20 @@ def align_tokenizers(
 
         for batch in batches:
             other = [i for i, name in enumerate(batch.schema.names) if name != "text"]
-            for low, some in _texts(batch):
-                table_of, parts = np.zeros((len(some), len(_COUNTS)), np.int64), [[] for _ in some]
-                for found, ids, ends in aligner.texts(some):
+            for low, high, raw, text_ends in _texts(batch):
+                table_of, pieces = np.zeros((high - low, len(_COUNTS)), np.int64), [[] for _ in range(low, high)]
+                for found, ids, ends in aligner.texts(raw, text_ends):
                     n, best = scored(found.codes)
                     of_stretch = np.column_stack([found.counts, found.sums(best), found.sums(n)])
                     sums = np.concatenate([np.zeros((1, len(_COUNTS)), np.int64), np.cumsum(of_stretch[ids], axis=0)])
                     starts = np.concatenate([[0], ends[:-1]])
                     table_of += sums[ends] - sums[starts]
                     spelled = [found.spelled[i] for i in ids.tolist()]
-                    for part, first, last in zip(parts, starts.tolist(), ends.tolist()):
+                    for piece, first, last in zip(pieces, starts.tolist(), ends.tolist()):
                         if last > first:
-                            part.append(";".join(spelled[first:last]))
-                columns = [batch.column(i).slice(low, len(some)) for i in other]
-                columns.append(pa.array([";".join(x) for x in parts], pa.string()))
+                            piece.append(";".join(spelled[first:last]))
+                columns = [batch.column(i).slice(low, high - low) for i in other]
+                columns.append(pa.array([";".join(x) for x in pieces], pa.string()))
                 columns += [pa.array(table_of[:, i]) for i in range(len(_COUNTS))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[i] for i in other), "groups", *_COUNTS])
 
@@ -316,9 +333,9 @@ def _joined(found: DataFrame, texts: DataFrame, others: DataFrame, a_path: str |
         aligner = aligner_of(a_path, b_path)
         for batch in batches:
             keys = batch.column("text_key")
-            for low, some in _texts(batch):
-                sums = [Counter({-1: 1}) for _ in some]
-                for found, ids, ends in aligner.texts(some):
+            for low, high, raw, text_ends in _texts(batch):
+                sums = [Counter({-1: 1}) for _ in range(low, high)]
+                for found, ids, ends in aligner.texts(raw, text_ends, spell=False):
                     first = np.cumsum(found.counts[:, 3]) - found.counts[:, 3]
                     for of_text, own in zip(sums, np.split(ids, ends[:-1])):
                         links = found.counts[own, 3]
@@ -327,7 +344,7 @@ def _joined(found: DataFrame, texts: DataFrame, others: DataFrame, a_path: str |
                         codes = codes[~aligner.regular(codes)]
                         for code, n in zip(*_summed(codes, np.ones(len(codes), np.int64))):
                             of_text[code] += n
-                row = pa.array(np.repeat(np.arange(low, low + len(some)), [len(x) for x in sums]))
+                row = pa.array(np.repeat(np.arange(low, high), [len(x) for x in sums]))
                 codes, times = (pa.array(chain.from_iterable(x), pa.int64()) for x in (sums, [x.values() for x in sums]))
                 yield pa.RecordBatch.from_arrays([keys.take(row), codes, times], names=["text_key", "code", "times"])
 

@@ -11,10 +11,12 @@ import json
 import re
 from collections.abc import Callable, Collection, Iterable, Iterator
 
+import numpy as np
+
 #: In front of a space or line end that follows a character other than white space.
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
-#: Stretches that a worker remembers twice over, and the longest one; characters of text handled at once.
-REMEMBERED, LONGEST, SLICE = 150_000, 1_000, 1 << 20
+#: Stretches that a worker remembers twice over, and the longest one.
+REMEMBERED, LONGEST = 150_000, 1_000
 _SPACE = "▁"
 #: Fixed value: how a byte-level vocabulary cuts a text into words.
 _WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -22,13 +24,38 @@ _WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 _PLAIN = "\u0250"
 
 
-def slices(text: str, limit: int = SLICE) -> Iterator[list[str]]:
-    """Stretches of a text, in order, by parts of about ``limit`` characters."""
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(9, 14), *range(28, 33)]] = True
+#: White space of several bytes, by its last two or three.
+_LONG_BLANKS = [c.encode() for c in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
+
+
+def cuts(raw: np.ndarray) -> np.ndarray:
+    """Places in UTF-8 bytes where :data:`CUT` cuts the text."""
+    at = np.flatnonzero((raw[1:] == 32) | (raw[1:] == 10)) + 1
+    at = at[~_BLANK[raw[at - 1]]]
+    wide = raw[at - 1] >= 128
+    for blank in _LONG_BLANKS if wide.any() else ():
+        some = np.flatnonzero(wide & (at >= len(blank)))
+        same = np.ones(len(some), bool)
+        for k, b in enumerate(reversed(blank)):
+            same &= raw[at[some] - 1 - k] == b
+        wide[some[same]] = False
+        at[some[same]] = 0
+    return at[at > 0]
+
+
+def parts(raw: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """A text in parts of about ``limit`` bytes, cut where stretches begin."""
     first = 0
-    while first < len(text):
-        found = CUT.search(text, first + limit) if len(text) - first > limit else None
-        last = found.start() if found else len(text)
-        yield CUT.split(text[first:last])
+    while first < len(raw):
+        low, found = first + limit, np.zeros(0, np.int64)
+        while low < len(raw) and not len(found):
+            found = cuts(raw[low - 4 : low + limit])
+            found = found[found >= 4] + low - 4
+            low += limit
+        last = int(found[0]) if len(found) else len(raw)
+        yield raw[first:last]
         first = last
 
 

@@ -4,8 +4,11 @@ import hashlib
 import os
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -85,16 +88,31 @@ def test_null_and_repeated_ids_and_empty_tables(spark, whole, most_pairs):
     assert align.align_tokenizers(docs.limit(0), most_pairs=most_pairs).collect() == []
 
 
+def raw_of(text):
+    return np.frombuffer(text.encode(), np.uint8)
+
+
+@given(st.text(" \n\tab\u00e9\xa0\x85\u2003\u3000\u1680\x1c\u0a85\u4e80", max_size=60), st.integers(4, 30))
+def test_cuts_in_bytes(text, limit):
+    """The same places as in the text, and parts that end at them."""
+    raw = raw_of(" " + text)
+    at = encoders.cuts(raw).tolist()
+    assert [b.decode() for b in (raw.tobytes()[i:j] for i, j in zip([0, *at], [*at, len(raw)]))] == encoders.CUT.split(" " + text)
+    made = list(encoders.parts(raw, limit))
+    assert b"".join(p.tobytes() for p in made) == raw.tobytes()
+    assert {sum(map(len, made[:i])) for i in range(1, len(made))} <= set(at)
+
+
 def test_parts_of_long_texts(spark, whole, monkeypatch):
     """A text of many slices, without and with a stretch that a vocabulary does not give back."""
     text = " ".join(f"word{i % 97} line\n{i}" for i in range(500))
     aligner = align.aligner_of(None, None)
-    assert [s for part in encoders.slices(" " + text, 64) for s in part] == encoders.CUT.split(" " + text)
     monkeypatch.setattr(align, "SLICE", 64)
     docs = [text, text + " \u2581", "short", "", text + "  "]
     found = rows_of(align.align_tokenizers(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(1)))
     assert [found[i] for i in range(len(docs))] == brute(docs, whole)
-    assert len(list(aligner.texts([" " + text]))) > 10 and list(aligner.texts([" " + docs[1]])) == []
+    good, bad = raw_of(" " + text), raw_of(" " + docs[1])
+    assert len(list(aligner.texts(good, np.array([len(good)])))) > 10 and list(aligner.texts(bad, np.array([len(bad)]))) == []
 
 
 def test_stretches_that_fail_are_found(whole):

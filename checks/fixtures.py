@@ -344,6 +344,7 @@ def cache(spark: SparkSession, sf: str) -> DataFrame:
         F.format_string("2024-01-%02d 10:00", (F.col("doc_id") % 9 + 1).cast("int")).alias("date"),
         F.lit(None).cast("string").alias("reasoning"),
         F.when(failed, F.lit("timeout")).alias("error"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit("small-model")).otherwise("large-model").alias("model"),
     )
 
 

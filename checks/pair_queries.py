@@ -413,17 +413,31 @@ def final_projection(spark, sf):
     return G.final_projection(X.cache(spark, sf), IDS, "text")
 
 
-@query(
-    f"""WITH {Q.CACHE} SELECT day, CAST(count(*) AS BIGINT) AS calls, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
+TELEMETRY = f"""WITH {Q.CACHE} SELECT CASE WHEN doc_id % 3 = 0 THEN 'small-model' ELSE 'large-model' END AS model, day,
+    CAST(count(*) AS BIGINT) AS calls, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
     CAST(sum(output_tokens) AS BIGINT) AS output_tokens, round(avg(latency), 6) AS mean_latency,
     CAST(quantile_disc(latency, 0.95) AS DOUBLE) AS p95_latency,
-    round(count_if(failed) / count(*), 6) AS error_rate FROM cache GROUP BY day"""
-)
-def generation_telemetry(spark, sf):
-    rows = G.generation_telemetry(X.cache(spark, sf))
+    round(count_if(failed) / count(*), 6) AS error_rate FROM cache GROUP BY ALL"""
+
+
+def _telemetry(rows):
     return rows.withColumn("mean_latency", F.round("mean_latency", 6)).withColumn("error_rate", F.round("error_rate", 6))
 
 
+@query(TELEMETRY)
+def generation_telemetry(spark, sf):
+    return _telemetry(G.generation_telemetry(X.cache(spark, sf)))
+
+
+@query(TELEMETRY)
+def generation_telemetry_merged(spark, sf):
+    """Sketches of seven commits, stored one by one and merged."""
+    path, cache = scratch_path(spark, "telemetry"), X.cache(spark, sf)
+    for k in range(7):
+        sinks.append_results(G.telemetry_sketches(cache.filter(F.col("raw.doc_id") % 7 == k)), path)
+    return _telemetry(G.merged_telemetry(spark.read.parquet(path)))
+
+
 @query(f"WITH {GENERATED} SELECT doc_id, source, text, question FROM generated")
 def run_generation(spark, sf):
     """Two runs into one cache; the second only generates what the first did not."""
@@ -444,3 +458,19 @@ def generate_stream(spark, sf):
         source = spark.readStream.schema(docs.schema).parquet(folder)
         ingest.generate_stream(source, IDS, "text", X.TEMPLATE, X.echo_client_factory, path, marks).awaitTermination()
     return spark.read.parquet(path).select("raw.doc_id", "question")
+
+
+@query(
+    f"""WITH {GENERATED} SELECT doc_id, question, CAST(CASE WHEN question IS NULL THEN 3 ELSE 1 END AS BIGINT) AS calls FROM generated"""
+)
+def generate_stream_retry(spark, sf):
+    """Passages whose call fails are asked three times, each time that the stream runs again."""
+    folder, path, marks = (scratch_path(spark, n) for n in ("passages", "cache", "marks"))
+    docs = X.passages(spark, sf)
+    docs.write.parquet(folder)
+    for _ in range(5):
+        source = spark.readStream.schema(docs.schema).parquet(folder)
+        query = ingest.generate_stream(source, IDS, "text", X.TEMPLATE, X.echo_client_factory, path, marks, attempts=3, retry_after=0.0)
+        query.awaitTermination()
+    cache = spark.read.parquet(path)
+    return cache.groupBy("raw.doc_id").agg(F.max("question").alias("question"), F.count(F.lit(1)).alias("calls"))

@@ -80,5 +80,10 @@ MOST_SPLITS = 1_000_000
 TOP_K_ROWS = 100_000
 # Answers that a task holds back before it hands them on.
 CALLS_PER_BATCH = 64
+# Rows under way per calling thread, and calling threads of a task at most.
+CALLS_AHEAD = 4
+MOST_THREADS = 64
+# Size of a quantile sketch: the larger, the closer.
+SKETCH_SIZE = 400
 # Rows per numbering block, so that one hot document spreads over tasks.
 BLOCK_ROWS = 100_000

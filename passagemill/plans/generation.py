@@ -14,7 +14,7 @@ from passagemill.operators import generate as G
 from passagemill.operators.work import persisted_sample, sample_rows, skip_processed
 from passagemill.sources import sinks
 from passagemill.sources.readers import existing_table, require_columns
-from passagemill.sources.scratch import stored
+from passagemill.sources.scratch import job_scope, stored
 
 
 def cache_schema(passages: DataFrame, answer: T.StructType) -> T.StructType:
@@ -31,6 +31,7 @@ def cache_schema(passages: DataFrame, answer: T.StructType) -> T.StructType:
         T.StructField("date", text),
         T.StructField("reasoning", text),
         T.StructField("error", text),
+        T.StructField("model", text),
     ]
     return T.StructType(fields)
 
@@ -44,11 +45,25 @@ def generated(
     style: str = "tool_use",
     workers: int | None = None,
     cooldown: float = 0.0,
+    model: str | None = None,
 ) -> DataFrame:
     """Cache rows of freshly generated answers."""
     asked = passages.withColumn("_prompt", render_prompt(template, F.col(text)))
     called = G.generate(asked, client_factory, "_prompt", workers, cooldown)
-    return G.result_record(called, passages.columns, answer, style)
+    return G.result_record(called, passages.columns, answer, style, model)
+
+
+def commit(fresh: DataFrame, cache_path: str, telemetry_path: str | None = None) -> None:
+    """Append results to the cache and, from the same calls, their sketches to the telemetry.
+
+    With telemetry the results are written first: they are the only copy of answers that were paid for.
+    """
+    if telemetry_path is None:
+        sinks.append_results(fresh, cache_path)
+        return
+    rows = stored(fresh, "answers")
+    sinks.append_results(rows, cache_path)
+    sinks.append_results(G.telemetry_sketches(rows), telemetry_path)
 
 
 def run_generation(
@@ -69,6 +84,8 @@ def run_generation(
     rounds: int = 4,
     retry_errors: bool = False,
     path: str | None = None,
+    model: str | None = None,
+    telemetry_path: str | None = None,
 ) -> DataFrame:
     """Generate for every passage not cached yet, append to the cache, return the final table.
 
@@ -76,6 +93,8 @@ def run_generation(
     is worked out once and written to the shared folder. Passages with a null id or text cannot
     be asked about and are left out. The final table covers the whole cache, also rows outside
     the current sample, without failures that a retry made good; ``path`` writes it as CSV.
+    ``workers`` bounds the calls that run at once on an executor. ``telemetry_path`` gets the
+    sums and sketches of every commit, by ``model`` and day, for :func:`merged_telemetry`.
     """
     require_columns(passages, [*id_cols, text])
     passages = passages.na.drop(subset=[*id_cols, text])
@@ -87,13 +106,14 @@ def run_generation(
     spark, schema = passages.sparkSession, cache_schema(passages, answer)
     cache = existing_table(spark, cache_path, schema)
     todo = passages if cache is None else skip_processed(passages, cache, id_cols, retry_errors)
-    todo = stored(todo, "to-do") if rounds > 1 else todo
-    for number in range(rounds):
-        part = todo.filter(F.pmod(F.xxhash64(*id_cols), F.lit(rounds)) == number) if rounds > 1 else todo
-        fresh = generated(part, text, template, client_factory, answer, style, workers, cooldown)
-        sinks.append_results(fresh, cache_path)
+    with job_scope(spark):
+        todo = stored(todo, "to-do") if rounds > 1 else todo
+        for number in range(rounds):
+            part = todo.filter(F.pmod(F.xxhash64(*id_cols), F.lit(rounds)) == number) if rounds > 1 else todo
+            fresh = generated(part, text, template, client_factory, answer, style, workers, cooldown, model)
+            commit(fresh, cache_path, telemetry_path)
     cache = spark.read.schema(schema).parquet(cache_path)
-    final = G.final_projection(G.settled(cache, [*id_cols, text]), id_cols, text)
+    final = G.final_projection(G.settled(cache, id_cols, text), id_cols, text)
     if path:
         sinks.write_csv(final, path)
     return final

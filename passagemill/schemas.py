@@ -59,5 +59,5 @@ def answer_schema(answer: T.StructType | str) -> T.StructType:
 # Columns of the result cache that are not answer fields.
 TELEMETRY = [
     "raw", "raw_response", "input_tokens", "output_tokens", "reasoning_tokens",
-    "latency", "date", "reasoning", "error",
+    "latency", "date", "reasoning", "error", "model",
 ]

@@ -9,6 +9,7 @@ from passagemill import schemas as S
 from passagemill.operators import generate as G
 from passagemill.operators import pairs as P
 from passagemill.plans import generation, pairs
+from passagemill.sources import sinks
 from passagemill.sources.scratch import scratch_path
 from passagemill.streaming import ingest
 
@@ -227,10 +228,115 @@ def test_generate_stream_resumes(spark, passages, tmp_path):
     assert spark.read.parquet(cache).count() == 3 and len(list(tmp_path.iterdir())) == 3
 
 
+def test_stream_asks_again_after_the_delay(spark, tmp_path):
+    """A failing passage is asked at most three times, no sooner than the delay, over restarts and repeats."""
+    import time
+
+    folder, cache, marks, calls = scratch_path(spark, "in"), scratch_path(spark, "cache"), scratch_path(spark, "marks"), tmp_path / "calls"
+    calls.mkdir()
+    passages = spark.createDataFrame([(1, "one"), (2, "bad"), (3, "late"), (None, "x"), (4, None)], "id BIGINT, text STRING")
+    passages.coalesce(1).write.parquet(folder)
+
+    def factory():
+        def client(prompt):
+            import pathlib
+            import time
+            import uuid
+
+            (calls / f"{prompt}-{time.time()}-{uuid.uuid4().hex}").touch()
+            if prompt == "bad" or (prompt == "late" and len(list(calls.glob("late-*"))) < 2):
+                raise ValueError("no answer")
+            return {"content": '{"question": "Q %s"}' % prompt}
+
+        return client
+
+    def run(**more):
+        source = spark.readStream.schema(passages.schema).parquet(folder)
+        return ingest.generate_stream(source, ["id"], "text", "{text}", factory, cache, marks, attempts=3, retry_after=2.0, **more)
+
+    def times(prompt):
+        return sorted(float(p.name.split("-")[1]) for p in calls.glob(f"{prompt}-*"))
+
+    run().awaitTermination()
+    assert [len(times(p)) for p in ("one", "bad", "late")] == [1, 1, 1]
+    run().awaitTermination()  # reads the failures; they may not be due yet
+    query = run(every="0 seconds")  # a stream that goes on: its timers fire without new input
+    start = time.time()
+    while time.time() - start < 60 and not (len(times("bad")) == 3 and len(times("late")) == 2 and not query.status["isTriggerActive"] and time.time() - times("bad")[-1] > 4):
+        time.sleep(0.2)
+    query.stop()
+    run().awaitTermination()
+    assert [len(times(p)) for p in ("one", "bad", "late")] == [1, 3, 2]
+    for prompt in ("bad", "late"):
+        at = times(prompt)
+        assert all(b - a >= 2.0 for a, b in zip(at, at[1:]))
+    rows = spark.read.parquet(cache)
+    assert sorted((r.raw.id, r.question) for r in G.settled(rows, ["id"]).collect()) == [(1, "Q one"), (2, None), (3, "Q late")]
+
+
+def overlaps(folder):
+    """The most calls that ran at once, from files named by start and end."""
+    marks = sorted(x for p in folder.iterdir() for x in ((float(p.name.split("_")[0]), 1), (float(p.name.split("_")[1]), -1)))
+    most = now = 0
+    for _, step in marks:
+        now += step
+        most = max(most, now)
+    return most
+
+
+@pytest.mark.parametrize("workers,parts", [(3, 16), (6, 1)])
+def test_calls_at_once_do_not_hang_on_partitions(spark, tmp_path, workers, parts):
+    """At most ``workers`` calls run on the executor, over many tasks or in one; a slow call holds up no other."""
+
+    def factory():
+        def client(prompt):
+            import time
+
+            start = time.time()
+            time.sleep(1.5 if prompt == "7" else 0.03)
+            (tmp_path / f"{start}_{time.time()}_{prompt}").touch()
+            if prompt == "9":
+                raise ValueError("nine")
+            return {"content": prompt}
+
+        return client
+
+    df = spark.range(80).selectExpr("id", "cast(id as string) as prompt").repartition(parts)
+    assert G.generate(df, factory, workers=workers).rdd.getNumPartitions() == parts
+    rows = G.generate(df, factory, workers=workers).collect()
+    assert sorted((r.id, r.content, r.error) for r in rows) == [(i, None if i == 9 else f'"{i}"', "nine" if i == 9 else None) for i in range(80)]
+    assert 2 <= overlaps(tmp_path) <= workers
+    slow = next(p for p in tmp_path.iterdir() if p.name.endswith("_7"))
+    low, high = (float(x) for x in slow.name.split("_")[:2])
+    during = [p for p in tmp_path.iterdir() if low < float(p.name.split("_")[1]) < high]
+    assert len(during) >= 20
+
+
+def test_mended_text_settles_a_failure(spark):
+    cache = spark.createDataFrame([((1, "bad"), None, "e"), ((1, "mended"), "Q", None), ((2, "x"), None, "e"), ((2, "x"), None, "f")], "raw STRUCT<id: INT, text: STRING>, question STRING, error STRING")
+    cache = cache.selectExpr("question", "raw", "cast(null as string) as raw_response", "'d' as date", "error")
+    left = sorted((r.raw.id, r.raw.text, r.question) for r in G.settled(cache, ["id"], "text").collect())
+    assert left == [(1, "mended", "Q"), (2, "x", None)]
+
+
 def test_telemetry(spark):
-    rows = [("2024-01-01 10:00", 1, 2, 1.0, None), ("2024-01-01 11:00", 3, 4, 3.0, "x")]
-    cache = spark.createDataFrame(rows, "date STRING, input_tokens BIGINT, output_tokens BIGINT, latency DOUBLE, error STRING")
-    assert tuple(G.generation_telemetry(cache).first()) == ("2024-01-01", 2, 4, 6, 2.0, 3.0, 0.5)
+    rows = [("2024-01-01 10:00", 1, 2, 1.0, None, "m"), ("2024-01-01 11:00", 3, 4, 3.0, "x", "m"), ("2024-01-01 11:00", 3, 4, 5.0, None, None)]
+    cache = spark.createDataFrame(rows, "date STRING, input_tokens BIGINT, output_tokens BIGINT, latency DOUBLE, error STRING, model STRING")
+    found = {r.model: tuple(r)[1:] for r in G.generation_telemetry(cache).collect()}
+    assert found == {"m": ("2024-01-01", 2, 4, 6, 2.0, 3.0, 0.5), None: ("2024-01-01", 1, 3, 4, 5.0, 5.0, 0.0)}
+
+
+def test_sketches_of_commits_merge(spark):
+    """20,000 calls in 40 commits: sums are exact, the quantile is within its bound; only sketches are read."""
+    cache = spark.range(20_000).selectExpr("'m' as model", "'2024-01-01 10:00' as date", "id as input_tokens", "1L as output_tokens", "cast(pmod(hash(id), 100000) as double) as latency", "cast(null as string) as error", "id % 40 as k")
+    path = scratch_path(spark, "telemetry")
+    for k in range(40):
+        sinks.append_results(G.telemetry_sketches(cache.filter(f"k = {k}")), path)
+    sketches = spark.read.parquet(path)
+    assert sketches.count() == 40
+    found = G.merged_telemetry(sketches).first()
+    assert (found.calls, found.input_tokens) == (20_000, sum(range(20_000)))
+    assert abs(cache.filter(F.col("latency") <= found.p95_latency).count() / 20_000 - 0.95) < 0.01
 
 
 def test_stub_is_deterministic():

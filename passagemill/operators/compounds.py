@@ -33,36 +33,47 @@ def compounds_table(df: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
+#: References that are few enough to be looked up one by one.
+_FEW = 64
+
+
 def described(record: Column) -> Column:
     """Array of a record's descriptions, each with its reference's fields (null if unmatched).
 
-    References are in order of their number, so each description finds its own by halving steps:
-    no map is built or scanned.
+    References are in order of their number, so a description of a record with many of them finds
+    its own by halving steps; with few a map, which is searched from its start, is faster.
     """
 
     def attach(refs: Column) -> Column:
+        few = F.size(refs) <= _FEW
+        by_number = F.map_from_entries(
+            F.transform(F.slice(refs, F.lit(1), F.when(few, _FEW).otherwise(0)), lambda r: F.struct(r["ReferenceNumber"].alias("n"), r.alias("r")))
+        )
         steps = F.filter(F.array(*[F.lit(1 << k) for k in reversed(range(31))]), lambda p: p <= F.size(refs))
 
-        def one(d: Column, steps: Column) -> Column:
-            number = d["ReferenceNumber"]
+        def halved(number: Column, steps: Column) -> Column:
             reach = F.aggregate(
                 steps,
                 F.lit(0),
                 lambda at, step: F.when(F.get(refs, at + step - 1)["ReferenceNumber"] <= number, at + step).otherwise(at),
             )
+            return bind(F.get(refs, reach - 1), lambda last: F.when(last["ReferenceNumber"] == number, last))
 
-            def joined(last: Column) -> Column:
-                ref = F.when(last["ReferenceNumber"] == number, last)
-                return F.struct(
+        def one(d: Column, found: Column) -> Column:
+            return bind(
+                found,
+                lambda ref: F.struct(
                     d["Description"].alias("Description"),
-                    number.alias("ReferenceNumber"),
+                    d["ReferenceNumber"].alias("ReferenceNumber"),
                     *[ref[name].alias(alias) for name, alias in _REFERENCE.items()],
                     ref.isNotNull().alias("matched"),
-                )
-
-            return bind(F.get(refs, reach - 1), joined)
+                ),
+            )
 
-        return bind(steps, lambda s: F.transform(P.descriptions(P.names_section(record)), lambda d: one(d, s)))
+        own = P.descriptions(P.names_section(record))
+        mapped = bind(by_number, lambda m: F.transform(own, lambda d: one(d, F.try_element_at(m, d["ReferenceNumber"]))))
+        searched = bind(steps, lambda s: F.transform(own, lambda d: one(d, halved(d["ReferenceNumber"], s))))
+        return F.when(few, mapped).otherwise(searched)
 
     return bind(F.filter(P.references(record), lambda r: r["ReferenceNumber"].isNotNull()), attach)
 

@@ -114,6 +114,14 @@ def generate(
             columns = [pa.array(v, kind) for v, kind in zip(found, kinds)]
             return pa.RecordBatch.from_arrays([*batch.take(place).columns, *columns], names=[*batch.schema.names, *ANSWER])
 
+        if not workers:  # one call after the other
+            for batch in batches:
+                texts = batch.column(prompt).to_pylist()
+                for low in range(0, len(texts), C.CALLS_PER_BATCH):
+                    some = range(low, min(low + C.CALLS_PER_BATCH, len(texts)))
+                    yield rows(batch, [(i, call(texts[i])) for i in some])
+            return
+
         with ThreadPoolExecutor(threads) as pool:
             waiting, done = {}, {}  # calls under way; answers per batch that are not passed on yet
 

@@ -13,7 +13,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,32 +83,38 @@ def first_places(rows: DataFrame, key: Sequence[str], order: str, known: DataFra
     return first.select("_first._f", "_first._r")
 
 
-def rows_at(rows: DataFrame, places: DataFrame) -> DataFrame:
+def rows_at(rows: DataFrame, places: DataFrame, total: int, wanted: int) -> DataFrame:
     """The stored rows at the given places; wide rows meet whichever list is shorter.
 
     If nearly all rows are wanted, the few that are not are looked up instead, so that Spark can
     broadcast them and the wide rows stay where they are.
     """
-    total, wanted = rows.count(), places.count()
     if wanted == total:
         return rows
     placed = rows.select("*", *_place())
     if 2 * wanted <= total:
         return placed.join(places, ["_f", "_r"], "left_semi").drop("_f", "_r")
-    unwanted = stored(rows.select(*_place()).join(places, ["_f", "_r"], "left_anti"), "unwanted-rows")
+    unwanted = rows.select(*_place()).join(places, ["_f", "_r"], "left_anti")
     return placed.join(unwanted, ["_f", "_r"], "left_anti").drop("_f", "_r")
 
 
 def distinct_by_key(
-    df: DataFrame, key: Sequence[str], order: str, known: DataFrame | None = None, in_files: bool = False
+    df: DataFrame, key: Sequence[str], order: str, known: DataFrame | None = None, total: int | None = None
 ) -> DataFrame:
     """First row per key in ``order``, without rows whose key ``known`` holds. A null key is a key.
 
     The decision is made on keys, orders and places alone; wide rows are neither aggregated nor
-    compared. ``df`` is computed once and written, unless it reads stored files already (``in_files``).
+    compared. ``df`` is computed once and written, unless it reads stored files, of ``total`` rows.
     """
-    rows = df if in_files else stored(df, "rows")
-    return rows_at(rows, stored(first_places(rows, key, order, known), "first-rows"))
+    if total is None:
+        seen = Observation()
+        rows = stored(df.observe(seen, F.count(F.lit(1)).alias("n")), "rows")
+        total = seen.get["n"]
+    else:
+        rows = df
+    met = Observation()
+    places = stored(first_places(rows, key, order, known).observe(met, F.count(F.lit(1)).alias("n")), "first-rows")
+    return rows_at(rows, places, total, met.get["n"])
 
 
 def download_worklist(hits: DataFrame, listing: DataFrame) -> DataFrame:

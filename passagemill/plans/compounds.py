@@ -25,15 +25,15 @@ def build_compound_tables(
 ) -> tuple[DataFrame, DataFrame]:
     """``(compounds, descriptions)``, optionally appended to stored tables by key.
 
-    Records are parsed once, into one row per record that holds both tables' columns, in a folder
-    by outcome. Records without an id are not rows; they go to ``rejects_path`` with their title,
+    Records are parsed once, into one row per record that holds both tables' columns and
+    the record's outcome. Records without an id are not rows; they go to ``rejects_path`` with their title,
     as do descriptions without a reference: ``(kind, reason, CID, Title, ReferenceNumber,
     Description)``. Rows and rejects together are the input. A repeated ``batch`` replaces its rejects.
     """
     found = P.compounds_table(records, P.described(F.col("Record")).alias("described"))
     judged = found.withColumn("outcome", F.when(F.col("CID").isNull(), NO_ID).otherwise(ROW))
     with job_scope(records.sparkSession):
-        parts = stored(judged, "compounds", by="outcome", keep=True)
+        parts = stored(judged, "compounds", keep=True)
         flat = parts.filter(F.col("outcome") == ROW).drop("outcome")
         compounds, rows = flat.drop("described"), P.explode_described(flat)
         descriptions = P.only_matched(rows, strict)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from passagemill import schemas as S
@@ -44,7 +44,7 @@ def build_preprint_table(
 ) -> DataFrame:
     """Add new preprints to the table at ``path``, their lines to the raw log, unusable lines to the rejects.
 
-    Lines are parsed once, into folders by outcome. Of each id that is not stored yet the first
+    Lines are parsed once and stored with their outcome. Of each id that is not stored yet the first
     line counts; that is decided on ids and places, and the wide rows are fetched after it.
 
     All outputs are partitioned by ``batch``. A run that repeats a batch, because it failed between
@@ -53,11 +53,13 @@ def build_preprint_table(
     """
     spark, batch = lines.sparkSession, batch or uuid.uuid4().hex
     with job_scope(spark):
-        judged = stored(judged_preprints(lines, raw_path is not None), "preprints", by="outcome")
+        good = Observation()
+        judged = judged_preprints(lines, raw_path is not None).observe(good, F.count_if(F.col("outcome") == ROW).alias("n"))
+        judged = stored(judged, "preprints")
         rows = judged.filter(F.col("outcome") == ROW).drop("outcome")
         known = existing_table(spark, path, "id STRING, batch STRING")
         known = known if known is None else known.filter(F.col("batch") != batch).select("id")
-        new = distinct_by_key(rows, ["id"], "seq", known, in_files=True)
+        new = distinct_by_key(rows, ["id"], "seq", known, good.get["n"])
         if raw_path:
             sinks.replace_batch(new.select("value"), raw_path, batch, "text")
         if rejects_path:

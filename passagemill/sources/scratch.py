@@ -77,18 +77,16 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def stored(df: DataFrame, label: str, by: str | None = None, keep: bool = False) -> DataFrame:
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once and read it back: lineage ends at the files, columns stay prunable.
 
-    ``by`` deals the rows into folders by a column, so that a filter on it reads only its part. An
-    open :func:`job_scope` owns the table unless ``keep``.
+    An open :func:`job_scope` owns the table unless ``keep``.
     """
     path = scratch_path(df.sparkSession, label)
     scope = _scope.get()
     if scope and not keep:
         scope.own(path)
-    writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(path)
+    df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     setattr(table, _PATH, path)
     return table

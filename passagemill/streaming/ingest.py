@@ -42,11 +42,6 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
 
 
-def batch_name(spark: SparkSession, checkpoint: str, number: int) -> str:
-    """Name of a micro-batch that no other query and no later batch has."""
-    return f"{stream_id(spark, checkpoint)}-{number:09d}"
-
-
 def ingest_preprints_stream(
     spark: SparkSession,
     folder: str,
@@ -63,8 +58,12 @@ def ingest_preprints_stream(
     per table.
     """
 
+    names: dict[str, str] = {}
+
     def add(batch: DataFrame, number: int) -> None:
-        name = batch_name(spark, checkpoint, number)
+        if not names:
+            names["query"] = stream_id(spark, checkpoint)
+        name = f"{names['query']}-{number:09d}"  # no other query and no later batch has it
         build_preprint_table(arrival_order(batch), path, raw_path, rejects_path, name)
 
     lines = stream_lines(spark, folder, files_per_batch=files_per_batch)

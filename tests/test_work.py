@@ -87,16 +87,16 @@ def test_first_per_key_decides_on_places(spark):
     plan = plan_of(work.first_places(table, ["id"], "seq"))
     assert "partial_min" in plan and "Window " not in plan and "ReadSchema: struct<id:string,seq:int,_tmp_metadata_row_index:bigint>" in plan
     known = spark.createDataFrame([("a",)], "id STRING")
-    assert {r.id for r in work.distinct_by_key(table, ["id"], "seq", known, in_files=True).collect()} == {"b", None}
+    assert {r.id for r in work.distinct_by_key(table, ["id"], "seq", known, 6).collect()} == {"b", None}
 
 
 def test_rows_meet_the_shorter_list(spark):
     path = scratch_path(spark, "wide")
     spark.range(100).withColumn("k", F.col("id") % 95).write.parquet(path)
-    few = work.distinct_by_key(spark.read.parquet(path), ["k"], "id", in_files=True)
+    few = work.distinct_by_key(spark.read.parquet(path), ["k"], "id", total=100)
     assert few.count() == 95 and "LeftAnti" in plan_of(few)
     spark.range(100).withColumn("k", F.col("id") % 5).write.mode("overwrite").parquet(path)
-    many = work.distinct_by_key(spark.read.parquet(path), ["k"], "id", in_files=True)
+    many = work.distinct_by_key(spark.read.parquet(path), ["k"], "id", total=100)
     assert sorted(r.id for r in many.collect()) == [0, 1, 2, 3, 4] and "LeftSemi" in plan_of(many)
 
 

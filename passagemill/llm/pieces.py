@@ -131,21 +131,42 @@ class Lattice:
         return max(found, default=None)
 
     def n_best(self, n: int) -> list[tuple[int, list[int]]]:
-        """The ``n`` best segmentations, best first: backward A-star with the Viterbi scores as heuristic."""
-        heap = [(-self.best[self.n], 0, self.n, 0, None)]
-        made, out = 0, []
+        """The ``n`` best segmentations, best first: backward A-star with the Viterbi scores as heuristic.
+
+        A place is gone on from ``n`` times at most, as the ``n`` best ways through it have the ``n``
+        best rests. The ways into a place are tried best first, one when the one before it was
+        taken, so the heap holds two entries a step; of equal scores the one further back is first.
+        """
+        if not self.n:
+            return [(0, [])]
+        ranked, visits, made, out = {}, [0] * (self.n + 1), 0, []
+
+        def push(at: int, rank: int, tail: int, steps) -> None:
+            nonlocal made
+            if at not in ranked:
+                ranked[at] = sorted(self.into[at], key=lambda e: -(self.best[e[0]] + e[2]))
+            if rank < len(ranked[at]):
+                i, _, score = ranked[at][rank]
+                made += 1
+                heapq.heappush(heap, (-(self.best[i] + score + tail), i, made, at, rank, tail, steps))
+
+        heap: list[tuple] = []
+        push(self.n, 0, 0, None)
         while heap and len(out) < n:
-            negative, _, at, tail, steps = heapq.heappop(heap)
-            if at == 0:
-                ids = []
-                while steps:
-                    ids.extend(steps[0] if isinstance(steps[0], tuple) else (steps[0],))
-                    steps = steps[1]
-                out.append((-negative, ids))
+            negative, i, _, at, rank, tail, steps = heapq.heappop(heap)
+            push(at, rank + 1, tail, steps)
+            if visits[i] == n:
                 continue
-            for i, ids, score in self.into[at]:
-                made += 1
-                heapq.heappush(heap, (-(self.best[i] + score + tail), made, i, tail + score, (ids, steps)))
+            visits[i] += 1
+            _, ids, score = ranked[at][rank]
+            if i:
+                push(i, 0, tail + score, (ids, steps))
+                continue
+            steps, found = (ids, steps), []
+            while steps:
+                found.extend(steps[0] if isinstance(steps[0], tuple) else (steps[0],))
+                steps = steps[1]
+            out.append((-negative, found))
         return out
 
 
@@ -358,16 +379,22 @@ class Encoder:
 
 
 def decoder(vocabulary: Vocabulary):
-    """Function from ids to the text that they encode."""
+    """Function from ids to the bytes that they encode, without the space in front.
+
+    An id that is null or outside the vocabulary stands for U+FFFD.
+    """
     table = vocabulary.text_of()
     size = max(table) + 1
-    data = b"".join(table.get(i, b"") for i in range(size))
-    first = np.concatenate([[0], np.cumsum([len(table.get(i, b"")) for i in range(size)])])
+    parts = [table.get(i, b"") for i in range(size)] + ["\ufffd".encode()]
+    data = b"".join(parts)
+    first = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
     raw = np.frombuffer(data, np.uint8)
 
     def decode(ids: np.ndarray) -> bytes:
         ids = np.asarray(ids, np.int64)
-        return raw[_ranges(first[ids], first[ids + 1] - first[ids])].tobytes()[1:] if len(ids) else b""
+        ids = np.where((ids < 0) | (ids >= size), size, ids)
+        found = raw[_ranges(first[ids], first[ids + 1] - first[ids])].tobytes() if len(ids) else b""
+        return found.removeprefix(b" ")
 
     return decode
 
@@ -431,14 +458,18 @@ def segmentations(ids: Column, changes: Column) -> Column:
 
 
 def decode_pieces(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocabulary: Vocabulary | None = None) -> DataFrame:
-    """``doc_id, text`` of rows with ids; a null list gives a null text."""
+    """``doc_id, text`` of rows with ids; a null list gives a null text.
+
+    Ids that are null or outside the vocabulary, and bytes that are cut off, come out as U+FFFD.
+    Repeated rows are decoded each; an empty table gives none. Other columns are not read.
+    """
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary())
     rows = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = decoder(shared.value)
         for batch in batches:
-            texts = [None if x is None else decode(np.array(x, np.int64)).decode() for x in batch.column("ids").to_pylist()]
+            texts = [None if x is None else decode(np.array([-1 if i is None else i for i in x], np.int64)).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return rows.mapInArrow(run, "doc_id long, text string")

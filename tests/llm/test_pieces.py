@@ -102,3 +102,35 @@ def test_memory_is_bounded(vocabulary, monkeypatch):
         fresh.forget()
         again = fresh.encode([text])[0]
         assert np.array_equal(ids, again[0]) and scores == again[1]
+
+
+def test_long_text_without_a_space_is_bounded(vocabulary):
+    """Random letters and equal ones: time and memory grow with the text."""
+    import random
+    import time
+    import tracemalloc
+
+    letters = random.Random(5)
+    took = []
+    for n in (20_000, 100_000):
+        for text in ("".join(letters.choices("abcdefghijklmnop", k=n)), "a" * n):
+            lattice = pieces.Lattice(text, vocabulary)
+            start = time.process_time()
+            tracemalloc.start()
+            found = lattice.n_best(4)
+            peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            took.append(time.process_time() - start)
+            assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True) and found[0][0] == lattice.best[-1]
+            assert len({tuple(x) for _, x in found}) == 4 and peak < 3_000 * n
+    assert took[2] < 15 * max(took[0], 0.2) and took[3] < 15 * max(took[1], 0.2)
+
+
+def test_decoding_of_ids_that_are_none(spark, vocabulary):
+    first = vocabulary.bytes[0xC3]
+    hello = pieces.Encoder(vocabulary, 1).encode(["hello"])[0][0].tolist()
+    rows = [(1, [*hello, 10**9, -5]), (2, [first]), (3, [None, *hello]), (4, []), (5, None), (5, hello)]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>").selectExpr("*", "'x' as text", "1 as scores")
+    found = sorted(((r.doc_id, r.text) for r in pieces.decode_pieces(df, vocabulary=vocabulary).collect()), key=repr)
+    assert found == [(1, "hello\ufffd\ufffd"), (2, "\ufffd"), (3, "\ufffd hello"), (4, ""), (5, "hello"), (5, None)]
+    assert pieces.decode_pieces(df.limit(0), vocabulary=vocabulary).collect() == []

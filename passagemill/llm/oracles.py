@@ -10,10 +10,10 @@ filled AS (
          lower(array_to_string(regexp_extract_all(regexp_replace(line, '[0-9]+', '0', 'g'), '[^\\x20\\x09-\\x0D]+'), ' ')) AS norm,
          len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words
   FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-hosts AS (SELECT source, count(*) AS size FROM documents GROUP BY source),
+hosts AS (SELECT source, count(DISTINCT doc_id) AS size FROM documents GROUP BY source),
 heavy AS (
   SELECT f.source, norm FROM filled f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source
-  GROUP BY f.source, norm, size HAVING count(DISTINCT doc_id) >= 20 AND count(DISTINCT doc_id) > 0.1 * size),
+  GROUP BY f.source, norm, size HAVING count(DISTINCT doc_id) >= 20 AND (count(DISTINCT doc_id) > 0.1 * size OR count(DISTINCT doc_id) >= 200)),
 gone AS (
   SELECT doc_id, sum(words) AS n FROM filled f
   WHERE EXISTS (SELECT 1 FROM heavy h WHERE h.source IS NOT DISTINCT FROM f.source AND h.norm = f.norm) GROUP BY doc_id),

@@ -49,6 +49,23 @@ def test_frequent_lines_of_a_host(spark):
     assert quality.frequent_lines(df, max_share=0.3).collect()[0].host == "a"
 
 
+@pytest.mark.parametrize("most_lines", [quality.MOST_LINES, 0])
+def test_lines_of_a_large_host_and_repeated_rows(spark, most_lines):
+    """200 documents are enough in a host of 5,000, 199 are not; rows of one id count once."""
+    own = lambda i: " ".join(f"w{chr(97 + i % 26)}{'q' * (i // 26 % 40)}{'z' * (i // 1040)}x{chr(97 + j)}" for j in range(25))
+    rows = [(i, own(i) + ("\nshared by many" if i < 200 else "") + ("\nshared by fewer" if i % 25 == 0 and i < 4975 else ""), "big") for i in range(5000)]
+    rows += [(6000 + i, own(i) + "\nstored twice", "small") for i in range(15)] * 2
+    rows += [(7000 + i, own(i) + "\ncommon here", "small") for i in range(20)]
+    rows += [(None, own(i) + "\nno id", "small") for i in range(30)]
+    df = spark.createDataFrame([(*r, [1]) for r in rows], "doc_id long, text string, source string, lines array<int>").repartition(5)
+    found = quality.quality_rules(df, most_lines=most_lines).collect()
+    removed = {r.doc_id: r.n_removed_words for r in found if r.doc_id is not None}
+    assert len(found) == len(rows) and {i for i, n in removed.items() if n} == set(range(200)) | set(range(7000, 7020))
+    assert all(removed[i] == 3 for i in range(200)) and all(removed[i] == 2 for i in range(7000, 7020))
+    assert all(r.n_removed_words == 0 and r.kept for r in found if r.doc_id is None)
+    assert sum(r.doc_id == 6003 for r in found) == 2
+
+
 def test_quality_of_an_empty_table(spark):
     assert quality.quality_rules(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []
 

@@ -76,6 +76,25 @@ def test_one_large_group_of_near_copies(spark):
     assert {r.doc_id: (r.class_id, r.n_links) for r in found} == {d: (rows[roots[i]][0], links[i]) for i, (d, _) in enumerate(rows)}
 
 
+def test_a_common_passage_makes_no_group(spark, monkeypatch):
+    """Documents of 40 own words and one passage of 60 have no link; no group of them is compared."""
+    passage = " ".join(f"footer{i}" for i in range(60))
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(40)) + " " + passage) for i in range(3000)]
+    rows += [(5000 + i, rows[i][1].replace(f"d{i}w7", "other")) for i in range(0, 60, 3)]  # near copies inside the crowd
+    sizes = []
+    compared = jaccard_join._compared
+
+    def seen(keyed, sets, groups, *rest):
+        sizes.extend(r["count"] for r in groups.groupBy("root").count().collect())
+        return compared(keyed, sets, groups, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_compared", seen)
+    found = {r.doc_id: r for r in join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert max(sizes) <= 64
+    assert {d for d, r in found.items() if r.n_links} == {d for i in range(0, 60, 3) for d in (i, 5000 + i)}
+    assert all(found[5000 + i].class_id == i for i in range(0, 60, 3))
+
+
 def test_nulls_repeats_and_short_texts(spark):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "a  b"), (6, "a b c"), (7, long), (7, long), (None, long), (8, long + " x"), (None, None), (9, "z " * 200_000), (10, "z " * 200_001)]

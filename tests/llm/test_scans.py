@@ -152,6 +152,23 @@ def test_rare_and_long_labels_are_learned(spark):
     assert {w.decode() for k, w in seen if k == 2} == {x[:40] for x in labels}
 
 
+def test_a_label_of_millions_of_characters(spark):
+    """Learned from its first characters, found whole; repeated rows; an empty table."""
+    import tracemalloc
+
+    rng = random.Random(8)
+    huge = "".join(rng.choices("0123456789abcdef", k=5_000_000))
+    rows = [(1, f"token = {huge} end"), (1, f"token = {huge} end"), (2, f"free {huge[:400]}"), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    tracemalloc.start()
+    found = secrets.secret_scan(df, with_text=False).collect()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    assert [[(s["start"], s["end"]) for s in r.spans if s["kind"] == "assign"] for r in found if r.doc_id == 1] == [[(0, 5_000_008)]] * 2
+    assert secrets.secret_scan(df.limit(0)).collect() == []
+
+
 def test_runs_around_fixed_spans_and_short_ones(spark):
     rng = random.Random(11)
     hexes, mixed = lambda n: "".join(rng.choices("0123456789abcdef", k=n)), lambda n: "".join(rng.choices("GHJKLMNPQRSTVWXYZ23456789", k=n))

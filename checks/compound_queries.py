@@ -140,6 +140,33 @@ def append_table(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("SELECT p_partkey, p_name FROM part")
+def append_table_buckets(spark, sf):
+    """Three overlapping batches into a table that is dealt by a hash of its key."""
+    path = scratch_path(spark, "parts")
+    part = X.table(spark, sf, "part").select("p_partkey", "p_name")
+    for batch in (part.filter("p_partkey % 3 = 0"), part.filter("p_partkey < 50"), part):
+        sinks.append_table(batch, path, ["p_partkey"], buckets=16)
+    return spark.read.parquet(path).select("p_partkey", "p_name")
+
+
+COMPOUND_REJECTS = f"""WITH {Q.DESCRIPTIONS} SELECT 'compound' AS kind, 'no id' AS reason, p_name AS "Title",
+    CAST(NULL AS BIGINT) AS "ReferenceNumber", CAST(NULL AS VARCHAR) AS "Description" FROM part WHERE p_partkey % 50 = 1
+    UNION ALL SELECT 'description', 'no id', title, k, text FROM descr WHERE cid % 50 = 1
+    UNION ALL SELECT 'description', CASE WHEN p_partkey % 50 = 1 THEN 'no id' ELSE 'no reference' END, p_name, 99999999, 'no reference'
+    FROM part WHERE p_partkey % 7 = 1"""
+
+
+@query(COMPOUND_REJECTS)
+def compound_rejects(spark, sf):
+    """Records without an id and descriptions without a reference, from the job's one pass."""
+    path = scratch_path(spark, "rejects")
+    cid = F.when(F.col("Record.RecordNumber") % 50 != 1, F.col("Record.RecordNumber"))
+    records = X.compound_records(spark, sf).withColumn("Record", F.col("Record").withField("RecordNumber", cid))
+    plan.build_compound_tables(records, rejects_path=path)
+    return spark.read.parquet(path).select("kind", "reason", "Title", "ReferenceNumber", "Description")
+
+
 @query("SELECT DISTINCT CAST(p_partkey // 2 AS BIGINT) AS k FROM part WHERE p_partkey % 5 <> 0")
 def append_table_repeats(spark, sf):
     """A batch with repeated and null keys, appended twice."""

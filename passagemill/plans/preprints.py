@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from passagemill import schemas as S
 from passagemill.operators.preprints import project_preprints
@@ -67,7 +68,7 @@ def build_preprint_table(
             sinks.replace_batch(rejects, rejects_path, batch)
         table = new.select(*S.PREPRINT_COLUMNS)
         sinks.replace_batch(table, path, batch)
-    added = existing_table(spark, path, table.schema.add("batch", "string"))
+    added = existing_table(spark, path, T.StructType([*table.schema.fields, T.StructField("batch", T.StringType())]))
     return added.filter(F.col("batch") == batch).drop("batch")
 
 

@@ -276,3 +276,20 @@ def test_filter_reaches_the_scan(spark):
     plan = plan_of(work.skip_existing_ids(df, spark.range(2), ["id"]))
     assert "PushedFilters: [IsNotNull(id), GreaterThan(id,5)]" in plan
     assert "ReadSchema: struct<id:bigint>" in plan
+
+
+def test_a_batch_reads_only_its_buckets(spark):
+    path = scratch_path(spark, "dealt")
+    rows = spark.range(2000).selectExpr("id", "concat('v', id) as v")
+    sinks.append_table(rows, path, ["id"], buckets=32)
+    batch = spark.createDataFrame([(5, "new"), (5, "again"), (3000, "x"), (None, "n")], "id LONG, v STRING")
+    target = spark.read.parquet(path)
+    known = sinks.stored_keys(target, batch.na.drop(subset=["id"]), ["id"], 32)
+    assert "PartitionFilters: [isnotnull(bucket_of_32" in plan_of(known) or "PartitionFilters: [bucket_of_32" in plan_of(known)
+    assert 0 < len(known.select("id").inputFiles()) and known.select("id").count() < 2000 / 32 * 2 * 1.6
+    rejects = sinks.append_table(batch, path, ["id"], buckets=32)
+    assert [r.v for r in rejects.collect()] == ["n"]
+    stored_rows = spark.read.parquet(path)
+    assert stored_rows.count() == 2001 and stored_rows.filter("id = 5").first().v == "v5"
+    with pytest.raises(ValueError, match="bucket_of_32"):
+        sinks.append_table(batch, path, ["id"], buckets=8)

@@ -39,6 +39,21 @@ NOTICES = [
     ("cc-by", "Licensed under CC BY 4.0."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("lgpl", "Licensed under the GNU Lesser General Public License, version 2.1 or later."),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation."),
+    ("agpl", "Licensed under the GNU Affero General Public License, version 3."),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation."),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related rights to this work under CC0 1.0 Universal."),
+    ("epl", "Licensed under the Eclipse Public License, Version 2.0."),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
+    ("isc", "Released under the ISC License."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("bsl", "Distributed under the Boost Software License, Version 1.0."),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 NONE, UNKNOWN = "none", "unknown"
 
@@ -74,6 +89,21 @@ def _overlap(grams: Column, notices: list[list[str]]) -> Column:
     return F.greatest(F.lit(0.0), *[F.size(F.array_intersect(own, F.array(*map(F.lit, n)))) / F.least(F.size(own), F.lit(len(n))) for n in notices])
 
 
+def own_grams(known: dict[str, list[list[str]]]) -> dict[str, list[list[str]]]:
+    """Of each notice the grams that no notice of another family has: those that tell its family apart."""
+    out = {}
+    for family, notices in known.items():
+        others = {g for other, some in known.items() if other != family for n in some for g in n}
+        out[family] = [own for own in ([g for g in n if g not in others] for n in notices) if own]
+    return out
+
+
+def _told_apart(grams: Column, notices: list[list[str]]) -> Column:
+    """Greatest share of a notice's own grams that a paragraph has, with any of several notices."""
+    own = F.array_distinct(grams)
+    return F.greatest(F.lit(0.0), F.lit(0.0), *[F.size(F.array_intersect(own, F.array(*map(F.lit, n)))) / F.lit(float(len(n))) for n in notices])
+
+
 def notice_grams(spark: SparkSession) -> dict[str, list[list[str]]]:
     rows = _notices(spark).select("family", F.array_distinct(grams_of(words_of(F.col("notice")))).alias("g")).collect()
     out: dict[str, list[list[str]]] = {}
@@ -156,18 +186,22 @@ def _probabilities(model: LicenceModel, grams: list[str]) -> list[float]:
     return [x / sum(e) for x in e]
 
 
-def license_scan(docs: DataFrame, model: LicenceModel | None = None, id_col: str = "doc_id", text_col: str = "text", overlap: float = 0.5) -> DataFrame:
+def license_scan(docs: DataFrame, model: LicenceModel | None = None, id_col: str = "doc_id", text_col: str = "text", overlap: float = 0.5, apart: float = 0.3) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, paragraphs``, an array of (line, family, probability, overlap).
 
     A paragraph is a line; ``line`` counts from 0. Listed are those that the model gives to a
     licence family rather than to ``none``. ``family`` is ``unknown`` if the family's probability
     is below what the model learned, or if less than ``overlap`` of the paragraph's words and
-    word pairs (of the notice's, if those are fewer) are in one notice of that family. A null or
-    empty text has none. Whole texts are read, other columns are not.
+    word pairs (of the notice's, if those are fewer) are in one notice of that family, or if it has less
+    than ``apart`` of the words and pairs that no other family's notices have: what many licences say
+    confirms none of them. A null or empty text has none. Of equal probabilities the first family by
+    name counts. Repeated rows are scanned each; an empty table gives no row. Whole texts are read,
+    other columns are not.
     """
     spark = docs.sparkSession
     model = model or train_licences(docs, text_col)
     known = notice_grams(spark)
+    apart_of = own_grams(known)
     if not model.weights:
         weights = F.lit(None).cast("map<string,array<double>>")
     else:
@@ -188,13 +222,14 @@ def license_scan(docs: DataFrame, model: LicenceModel | None = None, id_col: str
         top = F.array_max(x["z"])
         best = F.element_at(F.array(*map(F.lit, model.classes)), F.array_position(x["z"], top).cast("int"))
         total = F.aggregate(x["z"], F.lit(0.0), lambda a, v: a + F.exp(v - top))
-        share = F.lit(0.0)
+        share = tells = F.lit(0.0)
         for family, notices in known.items():
             share = F.when(best == family, _overlap(x["grams"], notices)).otherwise(share)
-        return F.struct(x["line"], best.alias("best"), (1 / total).alias("probability"), share.alias("overlap"))
+            tells = F.when(best == family, _told_apart(x["grams"], apart_of[family])).otherwise(tells)
+        return F.struct(x["line"], best.alias("best"), (1 / total).alias("probability"), share.alias("overlap"), tells.alias("apart"))
 
     rows = compute_once(rows, judged=F.transform("scored", decide)).drop("scored")
     listed = F.filter("judged", lambda x: x["best"] != NONE)
-    sure = lambda x: (x["probability"] >= model.least) & (x["overlap"] >= overlap)
+    sure = lambda x: (x["probability"] >= model.least) & (x["overlap"] >= overlap) & (x["apart"] >= apart)
     named = F.transform(listed, lambda x: F.struct(x["line"], F.when(sure(x), x["best"]).otherwise(UNKNOWN).alias("family"), x["probability"], x["overlap"]))
     return rows.select("doc_id", named.alias("paragraphs"))

@@ -265,6 +265,36 @@ def test_licence_families(spark, licence_model):
     assert [(p.line, p.family) for p in found[54]] == [(1, "cc-by-nc")]
 
 
+WRONG = [
+    "Licensed under the Eclipse Public License, Version 2.0.", "Licensed under CC BY-SA 4.0.", "Licensed under CC BY-ND 4.0.",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "Licensed under the GNU Lesser General Public License, version 3.", "Licensed under the GNU Affero General Public License, version 3.",
+]
+
+
+def test_licences_told_apart(spark, licence_model):
+    df = spark.createDataFrame(list(enumerate(WRONG)), "doc_id long, text string")
+    found = {r.doc_id: [p.family for p in r.paragraphs] for r in licenses.license_scan(df, licence_model).collect()}
+    assert [found[i] for i in range(len(WRONG))] == [["epl"], ["cc-by-sa"], ["cc-by-nd"], ["cc-by-sa"], ["lgpl"], ["agpl"]]
+
+
+def test_licences_without_notices_are_unknown(spark, monkeypatch):
+    """Whole families held out: their notices are not taken for another family's.
+
+    But for the two GNU ones, which word for word are those of the gpl with one word more.
+    """
+    gone = {"epl", "cc-by-sa", "cc-by-nd", "lgpl", "agpl", "isc"}
+    held = [n for n in licenses.NOTICES if n[0] in gone]
+    monkeypatch.setattr(licenses, "NOTICES", [n for n in licenses.NOTICES if n[0] not in gone])
+    words = "river stone house tree cloud bread water paper green small".split()
+    plain = [(100 + i, " ".join(words[(i * k) % 10] for k in range(1, 9))) for i in range(60)]
+    df = spark.createDataFrame(plain + [(i, n) for i, (_, n) in enumerate(held)], "doc_id long, text string")
+    model = licenses.train_licences(df.filter("doc_id >= 100"))
+    found = {r.doc_id: [p.family for p in r.paragraphs] for r in licenses.license_scan(df, model).collect()}
+    named = {i: found[i] for i in range(len(held)) if set(found[i]) - {licenses.UNKNOWN}}
+    assert {held[i][0] for i in named} <= {"lgpl", "agpl"}, named
+
+
 def test_licence_scores(spark, licence_model):
     """Probabilities in SQL against plain Python."""
     notice = licenses.NOTICES[4][1]

@@ -4,7 +4,8 @@ Suffixes are ordered only through their first 50 bytes. The first pass deals the
 gram (see ``windows``) and drops those whose gram is in one text only. Every part then sorts its
 suffixes by eight bytes at a time, most significant first; a suffix that is alone in its group
 after a pass needs no further pass. Groups that are left after the last pass are exactly the
-strings of 50 bytes that occur more than once; no hash takes part in that decision.
+strings of 50 bytes that occur more than once. Two cases are settled before the sort, by hashes:
+runs that repeat inside one chunk of texts (64 bits) and exact copies of a text (128 bits).
 """
 
 from __future__ import annotations

@@ -317,3 +317,35 @@ def test_copies_do_not_fill_the_licence_sample(spark, monkeypatch):
     monkeypatch.setattr(licenses, "_fit", lambda x, label, *a: labels.extend(label.tolist()) or fit(x, label, *a))
     licenses.train_licences(spark.createDataFrame(rows, "doc_id long, text string"), sample_rows=2400)
     assert 0.65 * 1010 < labels.count(0) < 0.85 * 1010  # of 1,010 different paragraphs a quarter is held out
+
+
+def test_formats_come_from_all_labels(spark):
+    """2,000 labels of one format and a rare second one, more than ``per_kind``: no label stays unread, counted or not."""
+    rng = random.Random(12)
+    hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    words = ["".join(rng.choices(["th", "er", "on", "an", "re"], k=k)) for k in (8, 9, 10) for _ in range(300)]
+    odd = "==__==__=="
+    rows = [(i, f'token = "{hexes(40)}" {rng.choice(words)}') for i in range(2000)] + [(5000 + i, f'token = "{odd}{hexes(6)}"') for i in range(8)]
+    rows += [(9000 + i, w) for i, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = [t.split('"')[1].encode() for _, t in rows if "token" in t]
+    counted = secrets.learn_formats(df, "text", 16, 10)
+    whole = secrets.learn_formats(df, "text", 16, 10**6)
+    assert len(counted.automata) == len(whole.automata) == 2
+    step, cost, _ = counted.automata[0]
+    assert abs(cost - secrets._tables(step, secrets._walked(((w, 1) for w in set(labels)), step))[1]).max() < 1e-12
+    assert max(abs(a - b).max() for a, b in zip(counted.ordinary[1:], whole.ordinary[1:])) < 1e-12
+    assert all(not f.holds(w.encode()) for f in (counted, whole) for w in words)
+    for f in (counted, whole):
+        assert all(f.holds(hexes(20).encode()) for _ in range(50))
+        assert f.holds((odd + hexes(6)).encode())
+
+
+def test_a_counted_tree_folds_as_its_strings(spark):
+    rng = random.Random(13)
+    words = sorted({"".join(rng.choices("01ab", k=12)).encode() for _ in range(400)} | {b"g" * n for n in range(3, 9)})
+    letters = [w.decode().translate(str.maketrans(secrets._FROM, secrets._TO)) for w in words]
+    steps = Counter((x[:i], x[i : i + 1]) for x in letters for i in range(len(x) + 1))
+    tree = secrets.Automaton.of_tree([(*k, n) for k, n in steps.items()]).tables()
+    own = secrets.Automaton(words).tables()
+    assert sorted(secrets.log_likelihood(tree, w) for w in words) == pytest.approx(sorted(secrets.log_likelihood(own, w) for w in words))

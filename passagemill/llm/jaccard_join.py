@@ -6,9 +6,11 @@ larger one the sketch of every set is held against those of a few members. Sets
 linked to them. A partner of a set that is very near to a member is not far from that member
 itself, so only the other sets pick again, by a hash that depends on the bucket's path, and so on,
 until buckets are small. A shingle that most sets of a bucket share says nothing about their
-similarity: such a bucket is not split again. A pair at the threshold misses all its common buckets
-with the probability that the recall target allows, which sets the number of picks, that is of
-repeated runs.
+similarity: it is not picked again, and a bucket that splitting did not shrink is not split again.
+The sets of such buckets, and of buckets that are large at the last depth, are joined exactly: by the
+rarest shingles of each, one of which any two similar sets have in common. A pair at the threshold
+misses all its common buckets with the probability that the recall target allows, which sets the
+number of picks, that is of repeated runs.
 
 Buckets only propose: they link sets that a bottom-k sketch holds for similar, and their connected
 components are then compared pair by pair, in blocks of bounded size, by whole shingle sets. So
@@ -129,7 +131,10 @@ def jaccard_join(
         weights = stored(known.groupBy("node").agg(F.min("row").alias("row"), F.count("*").alias("weight")), "weights")
         # Of equal sets one row stands for all.
         sets = stored(distinct_by_key(known, ["node"], "row", total=known.count()), "distinct-sets")
-        found = stored(_proposals(scope, sets, threshold, small, depth), "proposals")
+        edges, left = _proposals(scope, sets, threshold, small, depth)
+        if left is not None:
+            edges = edges.unionByName(_by_rarest(keyed, weights, sets, left, threshold, small, block))
+        found = stored(edges.filter("a <> b").distinct(), "proposals")
         groups = stored(connected_components(found), "groups")
         sizes = sets.select("node", "size")
         links = stored(_compared(keyed, weights.join(sizes, "node"), groups, threshold, block), "links-found")
@@ -150,10 +155,13 @@ def jaccard_join(
         return stored(out, "classes", keep=True)
 
 
-def _proposals(scope: Scope, sets: DataFrame, threshold: float, small: int, depth: int) -> DataFrame:
-    """Edges ``a, b`` whose components hold every similar pair that meets in a bucket."""
+def _proposals(scope: Scope, sets: DataFrame, threshold: float, small: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
+    """Edges ``a, b`` whose components hold every similar pair that meets in a bucket, but for pairs of the sets ``node`` that come second.
+
+    Those are the sets that large buckets are left with, if any.
+    """
     paths = sets.select("node", F.explode("first").alias("path"), F.lit(None).cast("long").alias("parent"))
-    edges = None
+    edges = over = None
     for level in range(1, depth + 1):
         grouped = paths.groupBy("path").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("same"), F.first("parent").alias("parent"))
         counts = stored(grouped.filter("n > 1"), "bucket-sizes")
@@ -165,23 +173,65 @@ def _proposals(scope: Scope, sets: DataFrame, threshold: float, small: int, dept
         large = met.filter(F.col("n") > small).select("path", "node", "n", "parent")
         if large.isEmpty():
             break
-        agreed = stored(_agreement(large, sets, threshold), "agreement")
+        hubs = _hubs(large, sets)
+        agreed = stored(_agreement(large, hubs, sets, threshold), "agreement")
         edges = edges.unionByName(agreed.filter("hub is not null and hub <> node").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-        if level == depth:
-            break
-        # One that splitting did not shrink is not split again.
         told = agreed.groupBy("path", "node").agg(F.max(F.col("hub").isNotNull()).alias("agrees"), F.max("core").alias("core"))
-        rest = stored(told.join(large.filter("parent is null or 2 * n <= parent"), ["path", "node"]).filter("not core").select("path", "node", "agrees"), "rest")
+        # One that splitting did not shrink is not split again.
+        shrunk = F.lit(level < depth) & (F.col("parent").isNull() | (2 * F.col("n") <= F.col("parent")))
+        rest = stored(told.join(large, ["path", "node"]).filter("not core").select("path", "node", "agrees", shrunk.alias("shrunk")), "rest")
         scope.drop(counts, met)
-        left = rest.groupBy("path").agg(F.count("*").alias("n"), F.min("agrees").alias("done")).filter("n > 1 and not done")
-        split = rest.select("path", "node").join(left.select("path", "n"), "path")
-        if split.isEmpty():
-            break
+        sizes = rest.groupBy("path").agg(F.count("*").alias("n"), F.min("agrees").alias("done"), F.first("shrunk").alias("shrunk")).filter("n > 1")
+        # Where all sets agree with some member, the members are linked, and the exact comparison decides.
+        whole = sizes.filter("done").join(hubs, "path").select(F.transform("hubs", lambda h: h["hub"]).alias("h"))
+        edges = edges.unionByName(whole.select(F.explode("h").alias("a"), F.col("h")[0].alias("b")))
+        split = rest.select("path", "node").join(sizes.filter("not done").select("path", "n", "shrunk").join(hubs.select("path", "shared"), "path"), "path")
         again = split.join(sets.select("node", "sketch"), "node")
-        used = F.filter("sketch", lambda x: F.pmod(F.xxhash64("path", x), F.lit(AGAIN)) == 0)
-        paths = again.select("node", F.col("path").alias("up"), F.col("n").alias("parent"), F.explode(used).alias("token"))
+        picked = F.filter("sketch", lambda x: F.pmod(F.xxhash64("path", x), F.lit(AGAIN)) == 0)
+        again = stored(again.select("node", "path", "n", "shrunk", F.array_except(picked, "shared").alias("used"), F.arrays_overlap(picked, "shared").alias("passed")), "picked-again")
+        # Sets of a bucket that is not split, and those that did not pick what most of it share.
+        left = again.filter("not shrunk or passed").select("node")
+        over = left if over is None else over.unionByName(left)
+        paths = again.filter("shrunk").select("node", F.col("path").alias("up"), F.col("n").alias("parent"), F.explode("used").alias("token"))
+        if paths.isEmpty():
+            break
         paths = paths.select("node", F.xxhash64("up", "token").alias("path"), "parent")
-    return edges.filter("a <> b").distinct()
+    return edges, None if over is None else over.distinct()
+
+
+def _by_rarest(keyed: DataFrame, weights: DataFrame, sets: DataFrame, left: DataFrame, threshold: float, small: int, block: int) -> DataFrame:
+    """Edges ``a, b`` whose components hold every similar pair of the sets ``left``.
+
+    In any one order of all shingles, two sets of similarity ``threshold`` have one in common among
+    the first ``size - threshold * size + 1`` of each. In the order of how many sets hold them, those
+    are rare ones; of one that no other set holds only the number matters.
+    """
+    left = stored(left, "left-sets")
+    members = stored(left.join(weights.select("node", "row"), "node").select("node", "row.doc_id", "row.text_key"), "left-members")
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_key") == F.col("m.text_key"))
+    wanted = keyed.filter(may_be_named(members, F.col("doc_id"), F.col("text_key")))
+    texts = wanted.alias("d").join(members.alias("m"), same).select("node", "text")
+    tokens = stored(texts.mapInArrow(_shingled, "node binary, size long, token long"), "shingles")
+    shared = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
+    own = tokens.join(shared, "token").groupBy("node", "size").agg(F.array_sort(F.collect_set(F.struct("n", "token"))).alias("held"))
+    first = F.col("size") - F.ceil(threshold * F.col("size") - 1e-6) + 1 - (F.col("size") - F.size("held"))
+    rare = own.filter(first > 0).select("node", F.explode(F.slice("held", F.lit(1), first.cast("int"))).alias("t"))
+    rare = stored(rare.select("node", F.col("t.token").alias("path")), "rarest")
+    counts = rare.groupBy("path").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("same")).filter("n > 1")
+    met = stored(rare.join(counts.groupBy("same", "n").agg(F.min("path").alias("path")).drop("same"), "path"), "rarest-shared")
+    found = _searched(met.filter(F.col("n") <= small), sets, threshold)
+    return stored(found.unionByName(_searched_in_blocks(met.filter(F.col("n") > small), sets, threshold, block)), "edges-of-rarest")
+
+
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        done = 0
+        for grams, first in shingle_sets(batch.column("text")):
+            size = np.diff(first)
+            at = pa.array(np.repeat(np.arange(len(size)), size))
+            node = batch.column("node").slice(done, len(size)).take(at)
+            yield pa.RecordBatch.from_arrays([node, pa.array(np.repeat(size, size), pa.int64()), pa.array(grams.view(np.int64))], names=["node", "size", "token"])
+            done += len(size)
 
 
 def _searched(met: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -191,18 +241,56 @@ def _searched(met: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return rows.select(parts, "path", "node", "size", "sketch").groupBy("part").applyInArrow(_search(threshold), "a binary, b binary")
 
 
-def _agreement(large: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """``path, node, hub, core`` for large buckets: the members of it that a set's sketch agrees with, or null, and whether it is very near.
+def _searched_in_blocks(met: DataFrame, sets: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Edges between sets of large buckets whose sketches may agree: any two blocks of a bucket are a unit of work."""
+    n = F.ceil(F.col("n") / block).cast("int")
+    rows = met.select("path", "node", n.alias("blocks")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: (x != F.col("own")) | (F.col("blocks") == 1))
+    rows = rows.select("path", "node", "own", F.explode(others).alias("x"))
+    unit = F.xxhash64("path", F.least("own", "x"), F.greatest("own", "x"))
+    rows = rows.select("node", unit.alias("unit")).join(sets.select("node", "size", "sketch"), "node")
+    parts = max(1, rows.count() // TASK_ROWS)
+    return rows.withColumn("part", F.pmod("unit", F.lit(parts))).groupBy("part").applyInArrow(_search_unit(threshold), "a binary, b binary")
+
+
+def _search_unit(threshold: float) -> Callable[[pa.Table], pa.Table]:
+    """Sketches that agree in a share of ``bound`` of their union's have at least ``bound / (2 - bound)`` of all their values in common."""
+    bound = _bound(threshold)
+
+    def run(table: pa.Table) -> pa.Table:
+        unit, nodes, sketches = table["unit"].to_numpy(), table["node"].to_pylist(), table["sketch"].to_pylist()
+        order = np.argsort(unit, kind="stable")
+        out: set[tuple[bytes, bytes]] = set()
+        for mine in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1) if len(order) else ():
+            every = np.ones(len(mine), bool)
+            label = _labels(_linked([np.array(sketches[i]) for i in mine], every, every, bound / (2 - bound)))
+            out.update((nodes[mine[i]], nodes[mine[label[i]]]) for i in np.flatnonzero(label != np.arange(len(mine))))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
+
+    return run
+
+
+def _hubs(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """``path, hubs, shared`` of large buckets: a few members, and the sketch values that two of them have.
 
     ``HUBS`` members of each bucket are taken by a hash of the member, so buckets of one group take
-    the same ones and a set gets few links. They are one row per bucket, so a bucket of
-    any size is spread over tasks.
+    the same ones and a set gets few links.
     """
     picks = [F.min(F.struct(F.xxhash64(F.lit(k), "node"), "node"))["node"] for k in range(HUBS)]
     hubs = large.groupBy("path").agg(F.array_distinct(F.array(*picks)).alias("hubs")).select("path", F.explode("hubs").alias("hub"))
     hubs = sets.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("sketch").alias("hub_sketch")).join(hubs, "hub")
-    hubs = stored(hubs.groupBy("path").agg(F.collect_list(F.struct("hub", "hub_size", "hub_sketch")).alias("hubs")), "hubs")
-    rows = large.select("path", "node").join(sets.select("node", "size", "sketch"), "node").join(hubs, "path")
+    hubs = hubs.groupBy("path").agg(F.collect_list(F.struct("hub", "hub_size", "hub_sketch")).alias("hubs"))
+    values = [F.coalesce(F.get("hubs", F.lit(k))["hub_sketch"], F.array().cast("array<int>")) for k in range(HUBS)]
+    both = [F.array_intersect(x, y) for i, x in enumerate(values) for y in values[:i]]
+    return stored(hubs.select("path", "hubs", F.array_distinct(F.concat(*both)).alias("shared")), "hubs")
+
+
+def _agreement(large: DataFrame, hubs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``path, node, hub, core`` for large buckets: the members of it that a set's sketch agrees with, or null, and whether it is very near.
+
+    The members are one row per bucket, so a bucket of any size is spread over tasks.
+    """
+    rows = large.select("path", "node").join(sets.select("node", "size", "sketch"), "node").join(hubs.select("path", "hubs"), "path")
     return rows.select("path", "node", "size", "sketch", F.explode("hubs").alias("h")).select(
         "path", "node", "size", "sketch", "h.hub", "h.hub_size", "h.hub_sketch"
     ).mapInArrow(_agree(threshold), "path long, node binary, hub binary, core boolean")

@@ -95,6 +95,42 @@ def test_a_common_passage_makes_no_group(spark, monkeypatch):
     assert all(found[5000 + i].class_id == i for i in range(0, 60, 3))
 
 
+def test_pairs_of_large_buckets_that_are_not_split_are_found(spark):
+    """One pick or two, one depth: most pairs meet only in buckets of the common passage."""
+    passage = " ".join(f"footer{i}" for i in range(60))
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(40)) + " " + passage) for i in range(200)]
+    rows += [(5000 + i, rows[i][1].replace(f"d{i}w7 ", "other ")) for i in range(0, 200, 2)]
+    rows += [(7000, rows[0][1]), (7000, rows[0][1])]
+    found = join(spark.createDataFrame(rows, "doc_id long, text string"), recall=0.5, depth=1, small=8, block=16).collect()
+    links, roots = expected(rows)
+    assert {(r.doc_id, r.class_id, r.n_links) for r in found} == {(d, rows[roots[i]][0], links[i]) for i, (d, _) in enumerate(rows)}
+    assert sum(n > 0 for n in links.values()) == 202
+
+
+def test_rarest_shingles_that_many_sets_share(spark):
+    """The exact way alone, in blocks: chains of sets near the threshold, all over one passage."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(21)
+    rows = []
+    for i in range(150):
+        own = [f"w{j}" for j in range(60)] + [f"x{rng.randint(0, 3)}y{j}" for j in range(12)]
+        rows.append((i, " ".join(own[: 60 + rng.randint(0, 12)])))
+    rows = list({t: (i, t) for i, t in rows}.values())
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = df.select("doc_id", jaccard_join.text_key(F.col("text")).alias("text_key"), "text")
+    described = keyed.mapInArrow(jaccard_join._describe(3), f"doc_id long, text_key {jaccard_join._KEY}, node binary, size long, sketch array<int>, first array<long>").cache()
+    weights = described.select("node", F.struct("doc_id", "text_key").alias("row"))
+    for block in (8, 1000):
+        edges = jaccard_join._by_rarest(keyed, weights, described, described.select("node"), 0.8, 4, block)
+        name = {bytes(r.node): r.doc_id for r in described.collect()}
+        root = {r.node: r.root for r in connected_components(edges.select("a", "b")).collect()}
+        group = {name[bytes(k)]: name[bytes(v)] for k, v in root.items()}
+        sets = {d: shingles(t) for d, t in rows}
+        pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+        assert len(pairs) > 300 and all(group[a] == group[b] for a, b in pairs)
+
+
 def test_nulls_repeats_and_short_texts(spark):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "a  b"), (6, "a b c"), (7, long), (7, long), (None, long), (8, long + " x"), (None, None), (9, "z " * 200_000), (10, "z " * 200_001)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,3 +41,14 @@ def explode_rows(df: DataFrame, keep: Sequence[str | Column], array: Column, nam
     """
     rows = df.select(*keep, F.explode_outer(array).alias(name))
     return rows.filter(F.col(name).isNotNull())
+
+
+def array_pieces(array, most: int = 1 << 20) -> Iterator:
+    """Slices of an Arrow array, of about ``most`` bytes each; at least one.
+
+    Spark sends rows to Python by number, not by size; what a batch of long texts is turned into
+    there is several times its size, so that is done piece by piece.
+    """
+    rows = max(1, len(array) * most // max(1, array.nbytes))
+    for first in range(0, max(1, len(array)), rows):
+        yield array.slice(first, rows)

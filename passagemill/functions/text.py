@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from passagemill import constants as C
-from passagemill.functions.common import bind
+from passagemill.functions.common import array_pieces, bind
 
 
 def _nfc_udf():
@@ -19,8 +19,10 @@ def _nfc_udf():
 
         import pyarrow as pa
 
-        done = [None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()]
-        return pa.array(done, pa.string())
+        def done(part):
+            return pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in part.to_pylist()], pa.string())
+
+        return pa.concat_arrays([done(part) for part in array_pieces(texts)])
 
     return to_nfc
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagemill import constants as C
-from passagemill.functions.common import explode_rows, run_once
+from passagemill.functions.common import array_pieces, explode_rows, run_once
 from passagemill.functions.text import tokenize
 from passagemill.sources.scratch import stored
 
@@ -110,6 +111,9 @@ def model_scorer(model: DataFrame, nested: bool = False):
             return pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
 
         def means(lists):
+            return np.concatenate([means_of(part) for part in array_pieces(lists)])
+
+        def means_of(lists):
             n = sizes(lists)
             coded = lists.flatten().dictionary_encode()
             at = held["index"].get_indexer(coded.dictionary.to_pandas())
@@ -151,11 +155,15 @@ def min_unigram_score(
 
 
 def score_text(df: DataFrame, scorer_factory: Callable, text: str, out: str = "score") -> DataFrame:
-    """Score with a caller's model: the factory runs once per task and gives Series → Series."""
+    """Score with a caller's model: the factory runs once per task and gives Series → Series.
+
+    The model gets a batch of Spark in pieces of about a megabyte, one after the other.
+    """
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = scorer_factory()
         for texts in batches:
-            yield scorer(texts)
+            scores = (pd.Series(scorer(part.to_pandas())) for part in array_pieces(texts))
+            yield pa.concat_arrays([pa.Array.from_pandas(x, type=pa.float64()) for x in scores])
 
-    return df.withColumn(out, F.pandas_udf(run, "double")(F.col(text)))
+    return df.withColumn(out, F.arrow_udf(run, "double")(F.col(text)))

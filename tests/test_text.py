@@ -121,3 +121,24 @@ def test_natural_order(spark):
         return [int(t) if t.isdigit() else t.lower() for t in re.split(r"(\d+)", s)]
 
     assert got == sorted(names, key=key)
+
+
+def test_long_texts_reach_the_model_in_pieces(spark):
+    from passagemill.operators import lm
+
+    def factory():
+        return lambda texts: texts.str.len().astype(float) * (1 if texts.str.len().sum() < 4_000_000 else -1)
+
+    df = spark.range(40).selectExpr("id", "repeat('x', 400000) AS t").repartition(1)
+    assert {r.score for r in lm.score_text(df, factory, "t").collect()} == {400000.0}
+
+
+def test_arrays_are_cut_whole():
+    import pyarrow as pa
+
+    from passagemill.functions.common import array_pieces
+
+    for values in ([], [None], ["a" * 1000, None, "b"] * 50):
+        array = pa.array(values, pa.string())
+        parts = list(array_pieces(array, 5000))
+        assert pa.concat_arrays(parts).equals(array) and (len(parts) > 5) == (len(values) > 5)

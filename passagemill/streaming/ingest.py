@@ -92,10 +92,11 @@ _FAILURE = "row STRING, attempt INT, due DOUBLE"
 
 
 def _decisions(attempts: int):
-    """What to ask, per id: passages of a new id at once, a failed one again when it is due.
+    """What to ask again, per id: a passage that failed, when it is due.
 
-    The state is what was asked so far, by passage and attempt, and the failures that wait. A
-    report of an attempt that the state has had already, as a repeated batch makes, changes nothing.
+    The state is what was asked so far, by passage and attempt (1 if it has none), and the failures
+    that wait. A report of an attempt that the state has had already, as a repeated batch makes,
+    changes nothing.
     """
 
     def decide(key, frames, state):
@@ -104,18 +105,12 @@ def _decisions(attempts: int):
 
         import pandas as pd
 
-        known = json.loads(state.get[0]) if state.exists else None
-        asked, waiting = (known["asked"], known["waiting"]) if known else ({}, [])
+        known = json.loads(state.get[0]) if state.exists else {"asked": {}, "waiting": []}
+        asked, waiting = known["asked"], known["waiting"]
         ask, now = [], time.time()
         for frame in () if state.hasTimedOut else frames:
             for row, attempt, due in zip(frame["row"], frame["attempt"], frame["due"]):
-                if not isinstance(row, str):
-                    continue
-                if attempt == 0:
-                    if known is None:
-                        ask.append((row, 1))
-                        asked[row] = 1
-                elif attempt == asked.get(row) and attempt < attempts and all(row != w[0] for w in waiting):
+                if isinstance(row, str) and attempt == asked.get(row, 1) and attempt < attempts and all(row != w[0] for w in waiting):
                     waiting.append([row, int(attempt) + 1, float(due)])
         for row, attempt, due in waiting:
             if due <= now:
@@ -155,8 +150,9 @@ def generate_stream(
 
     With ``attempts`` above 1 a failed passage is asked again ``retry_after`` seconds after it
     failed, ``attempts`` times in all. Failures come back to the stream through files next to the
-    cache; the engine's state counts the attempts of each id and holds a timer, over restarts. A
-    stream that has ended asks what fell due when it runs the next time. State grows with the ids.
+    cache; the engine's state counts the attempts of each id that failed and holds a timer, over restarts. A
+    stream that has ended asks what fell due when it runs the next time. New passages pass by the
+    state, which grows with the ids that fail.
     """
     spark, schema = source.sparkSession, cache_schema(source, answer)
     passages = source.na.drop(subset=[*id_cols, text])
@@ -188,14 +184,14 @@ def generate_stream(
         # A stream that ends runs one batch; a row without a passage sees to it that timers are looked at.
         tick = [] if every else [(None, 0, 0.0)]
         spark.createDataFrame(tick, _FAILURE).write.mode("append").parquet(failures)
-        new = passages.select(F.to_json(F.struct(*columns)).alias("row"), F.lit(0).alias("attempt"), F.lit(0.0).alias("due"))
+        new = passages.select(F.to_json(F.struct(*columns)).alias("row"), F.lit(1).alias("attempt"))
         failed = spark.readStream.schema(_FAILURE).parquet(failures)
-        both = new.unionByName(failed)
         ids = F.from_json("row", source.schema)
-        keyed = both.select(*[ids[c].alias(f"_k{i}") for i, c in enumerate(id_cols)], "row", "attempt", "due")
-        passages = keyed.groupBy(*[f"_k{i}" for i in range(len(id_cols))]).applyInPandasWithState(
+        keyed = failed.select(*[ids[c].alias(f"_k{i}") for i, c in enumerate(id_cols)], "row", "attempt", "due")
+        again = keyed.groupBy(*[f"_k{i}" for i in range(len(id_cols))]).applyInPandasWithState(
             _decisions(attempts), "row STRING, attempt INT", "known STRING", "append", "ProcessingTimeTimeout"
         )
+        passages = new.unionByName(again)
     writer = passages.writeStream.foreachBatch(append_counted if attempts > 1 else append).option("checkpointLocation", checkpoint)
     if every:
         return writer.trigger(processingTime=every).start()

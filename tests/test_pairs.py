@@ -342,3 +342,24 @@ def test_sketches_of_commits_merge(spark):
 def test_stub_is_deterministic():
     client = X.echo_client_factory()
     assert client("x about\nhello\nEND $1 \\") == client("x about\nhello\nEND $1 \\")
+
+
+def test_new_passages_need_no_state():
+    """Only failures reach the state: the first attempt is not in it, and a repeated report changes nothing."""
+    import json
+
+    import pandas as pd
+
+    from passagemill.streaming.ingest import _decisions
+
+    class State:
+        exists, hasTimedOut, get = False, False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    state, decide = State(), _decisions(3)
+    report = lambda n: pd.DataFrame({"row": ["p"], "attempt": [n], "due": [0.0]})
+    ask = lambda n: [tuple(x) for f in decide(("k",), [report(n)], state) for x in f.to_numpy()]
+    assert ask(1) == [("p", 2)] and ask(1) == [] and ask(2) == [("p", 3)] and ask(3) == []
+    assert json.loads(state.get[0]) == {"asked": {"p": 3}, "waiting": []}

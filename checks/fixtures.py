@@ -125,7 +125,7 @@ def tei_folder(spark: SparkSession, sf: str) -> str:
     spark.range(0).write.mode("overwrite").parquet(folder)  # creates the folder
     docs = tei_documents(spark, sf)
     name = F.element_at(F.split("path", "/"), -1)
-    write_files(docs.select(name.alias("name"), "content").repartition(8), _uri(folder))
+    write_files(docs.select(name.alias("name"), "content"), _uri(folder))
     return folder
 
 

@@ -76,6 +76,8 @@ BROADCAST_MODEL_ROWS = 2_000_000
 BROADCAST_MODEL_BYTES = 64 << 20
 # Splits of source files whose places are sent to every task (40 bytes each).
 MOST_SPLITS = 1_000_000
+# Partitions of small files that one task reads, one after the other.
+PARTS_PER_TASK = 16
 # Exact samples up to this size use one top-k pass; larger ones use counted hash prefixes.
 TOP_K_ROWS = 100_000
 # Answers that a task holds back before it hands them on.

@@ -69,8 +69,14 @@ def document_id(path):
 
 
 def read_tei(spark: SparkSession, folder: str) -> DataFrame:
-    """The ``*.xml`` files of one flat folder as ``(path, doc_id, content)``."""
+    """The ``*.xml`` files of one flat folder as ``(path, doc_id, content)``.
+
+    Spark counts a file as 4 MB and so puts about thirty into a partition. Partitions of small
+    files are taken together, without a shuffle, so that there is not a task for every few of them.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(folder)
+    cores = spark.sparkContext.defaultParallelism
+    files = files.coalesce(max(4 * cores, files.rdd.getNumPartitions() // C.PARTS_PER_TASK))
     return files.select("path", document_id(F.col("path")).alias("doc_id"), "content")
 
 

@@ -254,3 +254,13 @@ def test_line_order_across_splits(spark):
         assert [r.value for r in df.orderBy("seq").collect()] == [f"{i:06d}" for i in range(5000)]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    from passagemill.sources import readers
+
+    for i in range(700):
+        (tmp_path / f"{i}.xml").write_text(f"<a>{i}</a>")
+    files = readers.read_tei(spark, str(tmp_path))
+    assert files.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert sorted(int(r.doc_id) for r in files.collect()) == list(range(700))

@@ -210,7 +210,8 @@ def _by_rarest(keyed: DataFrame, weights: DataFrame, sets: DataFrame, left: Data
     members = stored(left.join(weights.select("node", "row"), "node").select("node", "row.doc_id", "row.text_key"), "left-members")
     same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_key") == F.col("m.text_key"))
     wanted = keyed.filter(may_be_named(members, F.col("doc_id"), F.col("text_key")))
-    texts = wanted.alias("d").join(members.alias("m"), same).select("node", "text")
+    # Written first: a task that also looked the rows up would hold two Python processes, which keep their memory.
+    texts = stored(wanted.alias("d").join(members.alias("m"), same).select("node", "text"), "left-texts")
     tokens = stored(texts.mapInArrow(_shingled, "node binary, size long, token long"), "shingles")
     shared = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
     own = tokens.join(shared, "token").groupBy("node", "size").agg(F.array_sort(F.collect_set(F.struct("n", "token"))).alias("held"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import mix
+from .tokens import HELD, mix
 from .windows import _ranges
 
 #: The space of pieces; scores are kept as whole millionths, so sums and comparisons are exact.
@@ -399,15 +399,12 @@ def decoder(vocabulary: Vocabulary):
     return decode
 
 
-_held: dict[tuple[str, int], tuple] = {}
-
-
 def _of_worker(token: str, shared, n: int) -> tuple:
     """Encoder and decoder of this worker process: what it has segmented helps its later tasks."""
-    if (token, n) not in _held:
-        _held.clear()
-        _held[token, n] = (Encoder(shared.value, n), decoder(shared.value))
-    return _held[token, n]
+    if (token, n) not in HELD:
+        HELD.clear()
+        HELD[token, n] = (Encoder(shared.value, n), decoder(shared.value))
+    return HELD[token, n]
 
 
 def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, vocabulary: Vocabulary | None = None) -> DataFrame:

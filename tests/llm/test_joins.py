@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from conftest import plan_of
 
 from passagemill.llm import decontaminate, jaccard_join, urls
 from passagemill.llm.components import connected_components
@@ -131,6 +132,21 @@ def test_rarest_shingles_that_many_sets_share(spark):
         assert len(pairs) > 300 and all(group[a] == group[b] for a, b in pairs)
 
 
+def test_the_rarest_shingles_need_one_python_process_a_task(spark, monkeypatch):
+    """Looking rows up and cutting them into shingles are stages of their own, so no task holds two processes."""
+    rows = [(i, f"own{i} " * 40 + " ".join(f"footer{j}" for j in range(60))) for i in range(60)]
+    stored, plans = jaccard_join.stored, {}
+
+    def seen(df, label, **rest):
+        plans.setdefault(label, []).append(plan_of(df))
+        return stored(df, label, **rest)
+
+    monkeypatch.setattr(jaccard_join, "stored", seen)
+    join(spark.createDataFrame(rows, "doc_id long, text string"), depth=1, small=8, block=16).collect()
+    assert all("MapInArrow" in plan and "ArrowEvalPython" not in plan for plan in plans["shingles"])
+    assert plans["shingles"]
+
+
 def test_nulls_repeats_and_short_texts(spark):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "a  b"), (6, "a b c"), (7, long), (7, long), (None, long), (8, long + " x"), (None, None), (9, "z " * 200_000), (10, "z " * 200_001)]

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from passagemill.llm import pieces
@@ -134,3 +135,16 @@ def test_decoding_of_ids_that_are_none(spark, vocabulary):
     found = sorted(((r.doc_id, r.text) for r in pieces.decode_pieces(df, vocabulary=vocabulary).collect()), key=repr)
     assert found == [(1, "hello\ufffd\ufffd"), (2, "\ufffd"), (3, "\ufffd hello"), (4, ""), (5, "hello"), (5, None)]
     assert pieces.decode_pieces(df.limit(0), vocabulary=vocabulary).collect() == []
+
+
+def test_reading_words_lets_go_what_pieces_hold():
+    """A worker process that goes on with another query does not keep the segments of the last one."""
+    from passagemill.llm import tokens
+
+    class Shared:
+        value = pieces.load_vocabulary()
+
+    held = pieces._of_worker("query", Shared, 4)
+    assert pieces._of_worker("query", Shared, 4) is held
+    list(tokens.words_of(pa.array(["a b"])))
+    assert not tokens.HELD

@@ -24,7 +24,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +38,8 @@ SHINGLE, SKETCH, SMALL, DEPTH, BLOCK = 5, 48, 64, 4, 512
 #: Share of a set's sketch that it picks again inside a bucket, members that a large bucket is held against, and
 #: the share of common values from which a set is so near to such a member that its partners agree with it as well.
 AGAIN, HUBS, CORE = 6, 3, 0.85
-#: Memberships of buckets that a task searches, about.
-TASK_ROWS = 2_000
+#: Memberships of buckets that a task searches, about, and those that it holds against members at once.
+TASK_ROWS, AT_ONCE = 2_000, 2_048
 #: Bytes of shingle sets that a task compares at once, on average.
 TASK_BYTES = 8 << 20
 
@@ -175,11 +174,13 @@ def _proposals(scope: Scope, sets: DataFrame, threshold: float, small: int, dept
             break
         hubs = _hubs(large, sets)
         agreed = stored(_agreement(large, hubs, sets, threshold), "agreement")
-        edges = edges.unionByName(agreed.filter("hub is not null and hub <> node").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-        told = agreed.groupBy("path", "node").agg(F.max(F.col("hub").isNotNull()).alias("agrees"), F.max("core").alias("core"))
+        # A set is linked to one member, and the members that one set agrees with to each other, once for all sets.
+        edges = edges.unionByName(agreed.filter("size(near) > 0").select(F.col("node").alias("a"), F.col("near")[0].alias("b")))
+        several = agreed.filter("size(near) > 1").select("near").distinct()
+        edges = edges.unionByName(several.select(F.explode("near").alias("a"), F.col("near")[0].alias("b")))
         # One that splitting did not shrink is not split again.
         shrunk = F.lit(level < depth) & (F.col("parent").isNull() | (2 * F.col("n") <= F.col("parent")))
-        rest = stored(told.join(large, ["path", "node"]).filter("not core").select("path", "node", "agrees", shrunk.alias("shrunk")), "rest")
+        rest = agreed.filter("not core").select("path", "node", (F.size("near") > 0).alias("agrees"), shrunk.alias("shrunk"))
         scope.drop(counts, met)
         sizes = rest.groupBy("path").agg(F.count("*").alias("n"), F.min("agrees").alias("done"), F.first("shrunk").alias("shrunk")).filter("n > 1")
         # Where all sets agree with some member, the members are linked, and the exact comparison decides.
@@ -280,21 +281,20 @@ def _hubs(large: DataFrame, sets: DataFrame) -> DataFrame:
     picks = [F.min(F.struct(F.xxhash64(F.lit(k), "node"), "node"))["node"] for k in range(HUBS)]
     hubs = large.groupBy("path").agg(F.array_distinct(F.array(*picks)).alias("hubs")).select("path", F.explode("hubs").alias("hub"))
     hubs = sets.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("sketch").alias("hub_sketch")).join(hubs, "hub")
-    hubs = hubs.groupBy("path").agg(F.collect_list(F.struct("hub", "hub_size", "hub_sketch")).alias("hubs"))
+    hubs = hubs.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("hub", "hub_size", "hub_sketch"))).alias("hubs"))
     values = [F.coalesce(F.get("hubs", F.lit(k))["hub_sketch"], F.array().cast("array<int>")) for k in range(HUBS)]
     both = [F.array_intersect(x, y) for i, x in enumerate(values) for y in values[:i]]
     return stored(hubs.select("path", "hubs", F.array_distinct(F.concat(*both)).alias("shared")), "hubs")
 
 
 def _agreement(large: DataFrame, hubs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """``path, node, hub, core`` for large buckets: the members of it that a set's sketch agrees with, or null, and whether it is very near.
+    """``path, node, n, parent, near, core`` for each membership of large buckets: the members that a set's sketch agrees with, and whether it is very near to one.
 
     The members are one row per bucket, so a bucket of any size is spread over tasks.
     """
-    rows = large.select("path", "node").join(sets.select("node", "size", "sketch"), "node").join(hubs.select("path", "hubs"), "path")
-    return rows.select("path", "node", "size", "sketch", F.explode("hubs").alias("h")).select(
-        "path", "node", "size", "sketch", "h.hub", "h.hub_size", "h.hub_sketch"
-    ).mapInArrow(_agree(threshold), "path long, node binary, hub binary, core boolean")
+    rows = large.join(sets.select("node", "size", "sketch"), "node").join(hubs.select("path", "hubs"), "path")
+    rows = rows.select("path", "node", "n", "parent", "size", "sketch", "hubs.hub", "hubs.hub_size", "hubs.hub_sketch")
+    return rows.mapInArrow(_agree(threshold), "path long, node binary, n long, parent long, near array<binary>, core boolean")
 
 
 def _bound(threshold: float) -> float:
@@ -310,11 +310,11 @@ def _agree(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            size, hub_size = (batch.column(c).to_numpy() for c in ("size", "hub_size"))
-            values = np.concatenate([padded(batch.column("sketch")), padded(batch.column("hub_sketch"))], 1)
+        for batch in (whole.slice(i, AT_ONCE) for whole in batches for i in range(0, whole.num_rows, AT_ONCE)):
+            many = batch.column("hub").value_lengths().to_numpy(zero_copy_only=False)
+            own = np.repeat(np.arange(len(many)), many)
+            size, hub_size = batch.column("size").to_numpy()[own], batch.column("hub_size").flatten().to_numpy()
+            values = np.concatenate([padded(batch.column("sketch"))[own], padded(batch.column("hub_sketch").flatten())], 1)
             values = np.sort(np.where(values < 0, 1 << 40, values), 1)
             real = values < 1 << 40
             again = np.zeros(values.shape, bool)
@@ -324,9 +324,12 @@ def _agree(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             common, union = (again & seen).sum(1), (real & ~again & seen).sum(1)
             fits = np.minimum(size, hub_size) >= threshold * np.maximum(size, hub_size)
             near = (common >= _bound(threshold) * union) & fits
-            hub = pc.if_else(pa.array(near), batch.column("hub"), pa.scalar(None, pa.binary()))
-            core = pa.array(near & (common >= max(CORE, threshold) * union))
-            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("node"), hub, core], names=["path", "node", "hub", "core"])
+            core = np.zeros(len(many), bool)
+            core[own[near & (common >= max(CORE, threshold) * union)]] = True
+            offsets = np.searchsorted(own[near], np.arange(len(many) + 1)).astype(np.int32)
+            agreed = pa.ListArray.from_arrays(pa.array(offsets), batch.column("hub").flatten().filter(pa.array(near)).cast(pa.binary()))
+            kept = [batch.column(c) for c in ("path", "node", "n", "parent")]
+            yield pa.RecordBatch.from_arrays([*kept, agreed, pa.array(core)], names=["path", "node", "n", "parent", "near", "core"])
 
     return run
 

@@ -132,6 +132,34 @@ def test_rarest_shingles_that_many_sets_share(spark):
         assert len(pairs) > 300 and all(group[a] == group[b] for a, b in pairs)
 
 
+def test_members_of_large_buckets_are_one_row_each(spark, monkeypatch):
+    """However many members a set is held against, it stays one row, and links to them are not repeated by bucket."""
+    rng = random.Random(31)
+    words = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        own = list(words)
+        own[rng.randrange(200)] = f"v{i}"
+        rows.append((i, " ".join(own)))
+    agreement, stored, counts, plans = jaccard_join._agreement, jaccard_join.stored, [], {}
+
+    def agreed(large, *rest):
+        found = agreement(large, *rest)
+        counts.append((large.count(), found.count()))
+        return found
+
+    def seen(df, label, **rest):
+        plans.setdefault(label, []).append(plan_of(df))
+        return stored(df, label, **rest)
+
+    monkeypatch.setattr(jaccard_join, "_agreement", agreed)
+    monkeypatch.setattr(jaccard_join, "stored", seen)
+    found = join(spark.createDataFrame(rows, "doc_id long, text string"), small=16, block=64).collect()
+    assert counts and all(one == other > 16 for one, other in counts)
+    assert not any("explode(hubs)" in plan for plan in plans["agreement"])
+    assert {r.class_id for r in found} == {0} and all(r.n_links == expected(rows)[0][r.doc_id] for r in found[:5])
+
+
 def test_the_rarest_shingles_need_one_python_process_a_task(spark, monkeypatch):
     """Looking rows up and cutting them into shingles are stages of their own, so no task holds two processes."""
     rows = [(i, f"own{i} " * 40 + " ".join(f"footer{j}" for j in range(60))) for i in range(60)]

@@ -349,3 +349,55 @@ def test_a_counted_tree_folds_as_its_strings(spark):
     tree = secrets.Automaton.of_tree([(*k, n) for k, n in steps.items()]).tables()
     own = secrets.Automaton(words).tables()
     assert sorted(secrets.log_likelihood(tree, w) for w in words) == pytest.approx(sorted(secrets.log_likelihood(own, w) for w in words))
+
+
+def same_formats(a, b, words):
+    assert len(a.automata) == len(b.automata) and a.least == pytest.approx(b.least) and a.short == pytest.approx(b.short)
+    for x, y in zip((*a.automata, a.ordinary), (*b.automata, b.ordinary)):
+        assert len(x[0]) == len(y[0])
+        assert [secrets.log_likelihood(x, w) for w in words] == pytest.approx([secrets.log_likelihood(y, w) for w in words])
+
+
+def test_formats_come_from_whole_strings(spark):
+    """Of labels and of an ordinary word, what stands behind 1,024 characters counts, also if only there strings differ."""
+    rng = random.Random(14)
+    hexes = "".join(rng.choices("0123456789abcdef", k=1100))
+    labels = sorted(hexes + "-" + "".join(rng.choices("GHJK", k=200)) for _ in range(40))
+    words = ["z" * 1500, "y" * 1030 + "F" * 900, "y" * 1030 + "F" * 901]
+    df = spark.createDataFrame(list(enumerate([f'token = "{x}"' for x in labels] + words)), "doc_id long, text string")
+    whole = secrets.infer_formats([(0, x.encode()) for x in labels] + [(2, hexes.encode())], [w.encode() for w in words])
+    for per_kind in (400, 10):
+        found = secrets.learn_formats(df, "text", 16, per_kind)
+        same_formats(found, whole, [x.encode() for x in labels + words])
+        assert not any(found.holds(w.encode()) for w in words)
+
+
+def test_counted_strings_fold_as_on_the_driver(spark):
+    """Nodes that one string passes each make a state together: all end in the same characters."""
+    rng = random.Random(15)
+    labels = ["".join(rng.choices("0123456789abcdef", k=rng.randint(18, 22))) + "-=" + "".join(rng.choices("GHJK", k=5)) for _ in range(300)]
+    df = spark.createDataFrame([(i, f'token = "{x}" and onthereandthereon') for i, x in enumerate(labels)], "doc_id long, text string")
+    counted, whole = (secrets.learn_formats(df, "text", 16, n) for n in (10, 10**6))
+    same_formats(counted, whole, [x.encode() for x in labels])
+
+
+def test_a_tree_too_large_for_the_driver(spark, monkeypatch):
+    """Compared by Spark from the first node to the last: the states are those of the driver."""
+    rng = random.Random(16)
+    words = sorted({"g" + "".join(rng.choices("01ab", k=rng.randint(7, 9))) + rng.choice(["", "", "-K"]) for _ in range(600)})
+    own = secrets.Automaton([w.encode() for w in words]).tables()
+    assert len(own[0]) > 2
+    monkeypatch.setattr(secrets, "TREE", 0)
+    monkeypatch.setattr(secrets, "NEAR", 2)
+    found = secrets._folded(spark.createDataFrame([(w.encode(),) for w in words], "word binary"))
+    assert len(found[0]) == len(own[0])
+    assert [secrets.log_likelihood(found, w.encode()) for w in words] == pytest.approx([secrets.log_likelihood(own, w.encode()) for w in words])
+
+
+def test_branches_that_a_merge_brings_are_folded():
+    """A merge hands steps on to states behind the one that it merges into; these are compared as well."""
+    rng = random.Random(17)
+    some = lambda chars, k: "".join(rng.choices(chars, k=k))
+    words = {some("GHJK", 4) + "-" + some("0123456789", 6) + "-" + some("ghijk", 5) for _ in range(25)} | {some("0123456789abcdef", 32) for _ in range(25)}
+    step, _, _ = secrets.Automaton([w.encode() for w in sorted(words)]).tables()
+    assert len(step) < 30
